@@ -1,0 +1,128 @@
+"""Tables that change as a whole: each version is a folder, a marker file makes it count.
+
+Built-in tables cannot be merged into, so a transition writes the next version from the
+last one. There is one writer.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+MARKER = "_COMMITTED"
+
+
+class Snapshots:
+    """Versioned tables below one folder, all replaced together."""
+
+    def __init__(self, spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType]):
+        self.spark, self.folder, self.schemas = spark, folder.rstrip("/"), dict(schemas)
+
+    # -- files, through the file system Spark itself uses
+
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.folder, *parts)))
+
+    def _files(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[int]:
+        files = self._files()
+        if not files.exists(self._path()):
+            return []
+        names = [s.getPath().getName() for s in files.listStatus(self._path())]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+    @staticmethod
+    def _name(version: int) -> str:
+        return f"v{version:010d}"
+
+    # -- reading
+
+    @property
+    def version(self) -> int | None:
+        """The last committed version."""
+        files = self._files()
+        for version in reversed(self._versions()):
+            if files.exists(self._path(self._name(version), MARKER)):
+                return version
+        return None
+
+    @property
+    def exists(self) -> bool:
+        return self.version is not None
+
+    def note(self) -> dict:
+        """What was written down with the last commit, for example the stream batch."""
+        version = self.version
+        if version is None:
+            return {}
+        stream = self._files().open(self._path(self._name(version), MARKER))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def table_path(self, name: str, version: int | None = None) -> str:
+        version = self.version if version is None else version
+        return f"{self.folder}/{self._name(version)}/{name}"
+
+    def read(self, name: str) -> DataFrame:
+        schema = self.schemas[name]
+        version = self.version
+        if version is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.table_path(name, version))
+
+    # -- writing
+
+    def prepare(self, tables: Mapping[str, DataFrame], max_records: int = 0) -> int:
+        """Write the next version without making it count. Tables left out are carried
+        over from the last version."""
+        versions = self._versions()
+        version = versions[-1] + 1 if versions else 1
+        for name, schema in self.schemas.items():
+            df = tables[name] if name in tables else self.read(name)
+            (
+                df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields))
+                .write.option("maxRecordsPerFile", max_records)
+                .parquet(self.table_path(name, version))
+            )
+        return version
+
+    def commit(self, version: int, note: Mapping | None = None, keep: int = 2) -> None:
+        """Make a prepared version the current one and drop those before the last ``keep``."""
+        files = self._files()
+        out = files.create(self._path(self._name(version), MARKER), False)
+        out.write(bytearray(json.dumps(dict(note or {})).encode()))
+        out.close()
+        for old in self._versions():
+            if old <= version - keep:
+                files.delete(self._path(self._name(old)), True)
+
+    def replace(
+        self, tables: Mapping[str, DataFrame], note: Mapping | None = None, max_records: int = 0
+    ) -> int:
+        version = self.prepare(tables, max_records)
+        self.commit(version, self.note() if note is None else note)
+        return version
+
+    def append(self, name: str, df: DataFrame, max_records: int = 0) -> None:
+        """Add rows to the current version; Spark's job commit makes them visible at once."""
+        if not self.exists:
+            self.reset()
+        schema = self.schemas[name]
+        (
+            df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields))
+            .write.mode("append")
+            .option("maxRecordsPerFile", max_records)
+            .parquet(self.table_path(name))
+        )
+
+    def reset(self) -> int:
+        """Empty all tables, creating them if they are not there yet."""
+        empty = {n: self.spark.createDataFrame([], s) for n, s in self.schemas.items()}
+        return self.replace(empty, note={})
