@@ -587,15 +587,15 @@ def log_row_count(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {LOG_SQL}, found AS (
     SELECT doc_id, [trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') FOR x IN all_lines
-                    IF regexp_matches(x, '{logs.ERROR_LINE}')] AS hits FROM log_lines),
+                    IF regexp_matches(x, '{'|'.join(logs.ERROR_PATTERNS)}')] AS hits FROM log_lines),
 ordered AS (SELECT doc_id, hits, [x FOR x IN hits IF contains(x, 'Syntax error')] AS syntax FROM found)
 SELECT doc_id, coalesce(syntax[1], hits[1], '') AS error, len(list_distinct(hits)) AS distinct_errors FROM ordered
 """)
 def log_errors(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = document_logs(spark, folder).select("doc_id", logs.split_lines(F.col("log")).alias("lines"))
-    return parsed.select(
-        "doc_id", logs.first_error(F.col("lines")).alias("error"),
-        F.size(logs.error_lines(F.col("lines"))).cast("bigint").alias("distinct_errors"),
+    found = document_logs(spark, folder).select("doc_id", logs.error_lines(F.col("log")).alias("errors"))
+    return found.select(
+        "doc_id", logs.pick_error(F.col("errors")).alias("error"),
+        F.size("errors").cast("bigint").alias("distinct_errors"),
     )
 
 

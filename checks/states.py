@@ -280,11 +280,14 @@ CYCLE = (
 
 
 def refresh_flow(spark: SparkSession, folder: str) -> DataFrame:
-    """Scan, enrich, prioritise, put into an empty queue, claim: the flagship."""
+    """Scan, enrich, prioritise, put into an empty queue, claim: the flagship.
+
+    As in the running system the new queue is stored before rows are claimed from it.
+    """
     events = fx.table(spark, folder, "events")
     found = tracking_scan(events, fx.source_table(), "ts", fx.WATERMARK, fx.ASOF)
     empty = spark.createDataFrame([], QUEUE)
-    after = cycle(found, fx.metadata_rows(spark, folder), empty, fx.ASOF, fx.CATALOG)
+    after = written(cycle(found, fx.metadata(spark, folder), empty, fx.ASOF, fx.CATALOG), "queue")
     order = [F.desc("priority"), F.asc("event_time"), F.asc("source_table")]
     ranks = queue.top_rows(queue.claimable(after), DEFAULT_SLOTS, order).select("source_table", "claim_rank")
     return after.join(F.broadcast(ranks), "source_table", "left").withColumn(

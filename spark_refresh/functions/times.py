@@ -6,7 +6,7 @@ cast to text, both of which Spark does without a zone.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +17,10 @@ TEXT_PATTERN = "yyyy-M-d H:m:s"
 TEXT_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
+# Fixed value: seconds from the start of the first year to 1970.
+SECONDS_TO_1970 = 62_135_596_800
+
+
 def wall(value: datetime | str) -> Column:
     """A wall clock literal; it folds to a constant, so filters on it push down."""
     text = value if isinstance(value, str) else value.isoformat(sep=" ")
@@ -29,14 +33,16 @@ def as_wall(value: Column | datetime | str) -> Column:
 
 def plus_seconds(c: Column, seconds: Column | int) -> Column:
     amount = F.lit(seconds) if isinstance(seconds, int) else seconds
-    zero = F.lit(0)
-    return c + F.make_dt_interval(zero, zero, zero, amount.cast("decimal(18,6)"))
+    return c + amount.cast("bigint") * F.lit(timedelta(seconds=1))
 
 
 def wall_seconds(c: Column) -> Column:
-    """Whole seconds since 1970-01-01 00:00:00 on the same clock."""
-    days = F.unix_date(c.cast("date")).cast("bigint")
-    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    """Whole seconds since 1970-01-01 00:00:00 on the same clock, rounded down.
+
+    Counted from the first year, before which no time lies, as casts cut towards zero.
+    """
+    since = (c - wall("0001-01-01 00:00:00")).cast("interval second").cast("bigint")
+    return since - SECONDS_TO_1970
 
 
 def seconds_to_wall(seconds: Column) -> Column:
@@ -45,7 +51,7 @@ def seconds_to_wall(seconds: Column) -> Column:
 
 def drop_fraction(c: Column) -> Column:
     """The time without its fraction of a second."""
-    return plus_seconds(c, F.second(c) - F.date_part(F.lit("SECOND"), c))
+    return seconds_to_wall(wall_seconds(c))
 
 
 def to_epoch(c: Column, zone: str = ZONE) -> Column:
@@ -92,13 +98,16 @@ def format_text(c: Column) -> Column:
 def short_text(c: Column) -> Column:
     """Short local form, for example ``3/18/25 4:26 AM``."""
     half_day = F.hour(c) % 12
-    shown = F.format_string(
-        "%d/%d/%02d %d:%02d %s",
-        F.month(c), F.day(c), F.year(c) % 100,
-        F.when(half_day == 0, F.lit(12)).otherwise(half_day), F.minute(c),
-        F.when(F.hour(c) < 12, F.lit("AM")).otherwise(F.lit("PM")),
+
+    def two_digits(n: Column) -> Column:
+        return F.lpad(n.cast("string"), 2, "0")
+
+    return F.concat(
+        F.month(c).cast("string"), F.lit("/"), F.dayofmonth(c).cast("string"), F.lit("/"),
+        two_digits(F.year(c) % 100), F.lit(" "),
+        F.when(half_day == 0, F.lit("12")).otherwise(half_day.cast("string")), F.lit(":"),
+        two_digits(F.minute(c)), F.when(F.hour(c) < 12, F.lit(" AM")).otherwise(F.lit(" PM")),
     )
-    return F.when(c.isNotNull(), shown)
 
 
 def minutes_between(start: Column, end: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.priority import score
@@ -47,15 +47,22 @@ def refresh_cycle(
     both = waiting.join(arriving, "source_table", "full_outer")
 
     is_new, is_queued = F.col("status").isNull(), F.col("status") == QUEUED
-    got, repeated = F.col("n").isNotNull(), F.col("n") > 1
+    got = F.col("n").isNotNull()
+    updated = F.when(is_new, F.col("n") > 1).otherwise(is_queued & got)
 
-    def earned(event_time: str, attrs: str) -> Column:
-        return score(
-            F.col(event_time), asof, F.col(f"{attrs}.priority"),
-            F.col(f"{attrs}.min_staleness"), F.col(f"{attrs}.max_staleness"),
-        )
-
-    aged = F.when(got, earned("last_event", "own")).otherwise(earned("event_time", "own"))
+    # Exactly one score per row: of the last event where it updates the row, else of the
+    # event the row stands for.
+    rated = both.withColumns({
+        "updated": updated,
+        "rated_event": F.when(updated, F.col("last_event")).otherwise(
+            F.coalesce("event_time", "first_event")
+        ),
+        "rules": F.coalesce("own", "attrs"),
+    })
+    earned = score(
+        F.col("rated_event"), asof,
+        F.col("rules.priority"), F.col("rules.min_staleness"), F.col("rules.max_staleness"),
+    )
     values = {
         "target_table": F.when(
             is_new, F.concat_ws(".", F.lit(catalog), F.col("attrs.target_table"))
@@ -64,13 +71,10 @@ def refresh_cycle(
         "strategy": F.coalesce("strategy", "attrs.strategy"),
         "lock_rows": F.coalesce("lock_rows", F.lit(True)),
         "status": F.coalesce("status", F.lit(QUEUED)),
-        "priority": F.when(is_new & repeated, earned("last_event", "attrs"))
-        .when(is_new, earned("first_event", "attrs"))
-        .when(is_queued, or_missing(aged, F.col("own").isNotNull()))
+        "priority": F.when(is_new | is_queued, or_missing(earned, F.col("rules").isNotNull()))
         .otherwise(F.col("priority")),
-        "event_time_latest": F.when(is_new & repeated, F.col("last_event"))
-        .when(is_queued & got, F.col("last_event"))
+        "event_time_latest": F.when(F.col("updated"), F.col("last_event"))
         .when(is_queued, F.coalesce("event_time_latest", "event_time"))
         .otherwise(F.col("event_time_latest")),
     }
-    return both.select(*(values.get(n, F.col(n)).alias(n) for n in QUEUE.names))
+    return rated.select(*(values.get(n, F.col(n)).alias(n) for n in QUEUE.names))

@@ -28,7 +28,7 @@ def run_report(runs: DataFrame, zone: str = ZONE) -> DataFrame:
         F.col("status").alias("STATUS"),
         local_short(start, zone).alias("START"),
         local_short(end, zone).alias("END"),
-        F.format_string("%.2f", minutes_between(start, end)).alias("DURATION_MINS"),
+        minutes_between(start, end).cast("decimal(18,2)").cast("string").alias("DURATION_MINS"),
         F.col("num_records").alias("NUM_RECORDS"),
         stripped(F.col("error")).alias("ERROR"),
     )
