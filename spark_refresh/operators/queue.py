@@ -23,6 +23,7 @@ from ..functions.times import as_wall
 from ..schemas import (
     DEFAULT_SLOTS, FAILED, HISTORY, QUEUE, QUEUED, RUNNING, RUNNING_ROW, SUCCESS,
 )
+from ..sources.scratch import written
 
 PAIR = ["source_table", "event_time"]
 
@@ -198,8 +199,12 @@ def queue_after_claim(queue: DataFrame, claimed: DataFrame, asof: datetime | str
 def claim(
     queue: DataFrame, history: DataFrame, asof: datetime | str, slots: Mapping[str, int] | None = None
 ) -> Claim:
-    """Take rows and mark them running in queue and history."""
-    claimed = claim_rows(queue, slots)
+    """Take rows and mark them running in queue and history.
+
+    The rows taken are stored first: they are few, and all three results must agree on
+    them.
+    """
+    claimed = written(claim_rows(queue, slots), "claimed")
     return Claim(
         claimed,
         queue_after_claim(queue, claimed, asof),

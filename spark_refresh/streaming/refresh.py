@@ -20,7 +20,6 @@ from ..functions.times import ZONE, drop_fraction
 from ..operators.queue import claim, finish, last_load_time, requeue
 from ..plans.refresh import refresh_cycle
 from ..schemas import HISTORY, QUEUE
-from ..sources.scratch import written
 from ..sources.snapshots import Snapshots
 
 # Fixed value: seconds between two looks at the tracking table.
@@ -111,7 +110,7 @@ def claim_and_finish(
     queue, history = state.read("queue"), state.read("history")
     taken = claim(queue, history, asof, slots)
     state.replace({"queue": taken.queue, "history": taken.history})
-    finished = load(written(taken.claimed, "claimed"))
+    finished = load(taken.claimed)
     done = finish(state.read("queue"), state.read("history"), finished)
     state.replace({"queue": done.queue, "history": done.history})
 
