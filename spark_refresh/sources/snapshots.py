@@ -1,7 +1,8 @@
-"""Tables that change as a whole: each version is a folder, a marker file makes it count.
+"""Tables that change as a whole: a version is a folder, a commit file makes it count.
 
-Built-in tables cannot be merged into, so a transition writes the next version from the
-last one. There is one writer.
+Built-in tables cannot be merged into, so a transition writes the next version of a table
+from the last one. Several tables are committed together by one small file that names the
+version of each; tables that did not change are not written again. There is one writer.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-MARKER = "_COMMITTED"
+COMMITS = "_commits"
 
 
 class Snapshots:
-    """Versioned tables below one folder, all replaced together."""
+    """Versioned tables below one folder."""
 
     def __init__(self, spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType]):
         self.spark, self.folder, self.schemas = spark, folder.rstrip("/"), dict(schemas)
@@ -29,98 +30,108 @@ class Snapshots:
     def _files(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _versions(self) -> list[int]:
-        files = self._files()
-        if not files.exists(self._path()):
+    def _versions(self, *parts: str) -> list[int]:
+        """Versions found in a folder, committed or not."""
+        files, path = self._files(), self._path(*parts)
+        if not files.exists(path):
             return []
-        names = [s.getPath().getName() for s in files.listStatus(self._path())]
-        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+        names = (s.getPath().getName() for s in files.listStatus(path))
+        return sorted(int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit())
 
     @staticmethod
     def _name(version: int) -> str:
         return f"v{version:010d}"
 
+    def _commit(self, version: int) -> dict:
+        stream = self._files().open(self._path(COMMITS, self._name(version)))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     # -- reading
 
     @property
     def version(self) -> int | None:
         """The last committed version."""
-        files = self._files()
-        for version in reversed(self._versions()):
-            if files.exists(self._path(self._name(version), MARKER)):
-                return version
-        return None
+        return max(self._versions(COMMITS), default=None)
 
     @property
     def exists(self) -> bool:
         return self.version is not None
 
+    def _current(self) -> dict:
+        version = self.version
+        return {"tables": {}, "note": {}} if version is None else self._commit(version)
+
     def note(self) -> dict:
         """What was written down with the last commit, for example the stream batch."""
-        version = self.version
-        if version is None:
-            return {}
-        stream = self._files().open(self._path(self._name(version), MARKER))
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self._current()["note"]
 
-    def table_path(self, name: str, version: int | None = None) -> str:
-        version = self.version if version is None else version
-        return f"{self.folder}/{self._name(version)}/{name}"
+    def table_path(self, name: str, version: int) -> str:
+        return f"{self.folder}/{name}/{self._name(version)}"
 
     def read(self, name: str) -> DataFrame:
-        schema = self.schemas[name]
-        version = self.version
+        schema, version = self.schemas[name], self._current()["tables"].get(name)
         if version is None:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.table_path(name, version))
 
     # -- writing
 
+    def _write(self, name: str, df: DataFrame, version: int, max_records: int, mode: str) -> None:
+        columns = (df[f.name].cast(f.dataType).alias(f.name) for f in self.schemas[name].fields)
+        (
+            df.select(*columns)
+            .write.mode(mode)
+            .option("maxRecordsPerFile", max_records)
+            .parquet(self.table_path(name, version))
+        )
+
     def prepare(self, tables: Mapping[str, DataFrame], max_records: int = 0) -> int:
-        """Write the next version without making it count. Tables left out are carried
-        over from the last version."""
-        versions = self._versions()
-        version = versions[-1] + 1 if versions else 1
-        for name, schema in self.schemas.items():
-            df = tables[name] if name in tables else self.read(name)
-            (
-                df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields))
-                .write.option("maxRecordsPerFile", max_records)
-                .parquet(self.table_path(name, version))
-            )
+        """Write the next version of some tables without making it count."""
+        used = [v for part in (COMMITS, *self.schemas) for v in self._versions(part)]
+        version = max(used, default=0) + 1
+        for name, df in tables.items():
+            self._write(name, df, version, max_records, "errorifexists")
         return version
 
     def commit(self, version: int, note: Mapping | None = None, keep: int = 2) -> None:
-        """Make a prepared version the current one and drop those before the last ``keep``."""
-        files = self._files()
-        out = files.create(self._path(self._name(version), MARKER), False)
-        out.write(bytearray(json.dumps(dict(note or {})).encode()))
+        """Make a prepared version the current one; without a note the last one stays.
+
+        Versions no longer named by the last ``keep`` commits are removed.
+        """
+        files, current = self._files(), self._current()
+        written = {n for n in self.schemas if files.exists(self._path(n, self._name(version)))}
+        entry = {
+            "tables": current["tables"] | dict.fromkeys(sorted(written), version),
+            "note": current["note"] if note is None else dict(note),
+        }
+        out = files.create(self._path(COMMITS, self._name(version)), False)
+        out.write(bytearray(json.dumps(entry).encode()))
         out.close()
-        for old in self._versions():
-            if old <= version - keep:
-                files.delete(self._path(self._name(old)), True)
+
+        commits = self._versions(COMMITS)
+        named = [self._commit(v)["tables"] for v in commits[-keep:]]
+        for name in self.schemas:
+            for old in set(self._versions(name)) - {t.get(name) for t in named}:
+                if old < version:
+                    files.delete(self._path(name, self._name(old)), True)
+        for old in commits[:-keep]:
+            files.delete(self._path(COMMITS, self._name(old)), False)
 
     def replace(
         self, tables: Mapping[str, DataFrame], note: Mapping | None = None, max_records: int = 0
     ) -> int:
         version = self.prepare(tables, max_records)
-        self.commit(version, self.note() if note is None else note)
+        self.commit(version, note)
         return version
 
     def append(self, name: str, df: DataFrame, max_records: int = 0) -> None:
         """Add rows to the current version; Spark's job commit makes them visible at once."""
-        if not self.exists:
-            self.reset()
-        schema = self.schemas[name]
-        (
-            df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields))
-            .write.mode("append")
-            .option("maxRecordsPerFile", max_records)
-            .parquet(self.table_path(name))
-        )
+        if name not in self._current()["tables"]:
+            self.replace({name: self.spark.createDataFrame([], self.schemas[name])})
+        self._write(name, df, self._current()["tables"][name], max_records, "append")
 
     def reset(self) -> int:
         """Empty all tables, creating them if they are not there yet."""

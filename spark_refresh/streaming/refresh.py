@@ -53,11 +53,13 @@ def tracking_stream(
     event_time: str,
     max_files: int | None = None,
     repeat_delay: str | None = None,
+    heartbeat: bool = False,
 ) -> DataFrame:
     """Tracking events from files as they arrive.
 
     With ``repeat_delay`` an event delivered again within that time is dropped before it
-    reaches the queue, where it would do no harm either.
+    reaches the queue, where it would do no harm either. With ``heartbeat`` every trigger
+    is a cycle, also without new files: waiting tables grow older and more urgent.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
@@ -73,6 +75,10 @@ def tracking_stream(
             .dropDuplicatesWithinWatermark(["source_table", "event_time"])
             .drop("seen_at")
         )
+    if heartbeat:
+        none = [F.lit(None).cast(t).alias(n) for n, t in events.dtypes]
+        ticks = spark.readStream.format("rate").option("numPartitions", 1).load()
+        events = events.unionByName(ticks.select(*none))
     return events
 
 
@@ -87,6 +93,7 @@ def apply_events(
 ) -> None:
     """One cycle on the committed state. Events at or before the watermark are late and
     never read; the watermark is what the state knows, else ``start``."""
+    events = events.filter(F.col("source_table").isNotNull())
     queue, history = state.read("queue"), state.read("history")
     mark = last_load_time(queue, history).first()[0]
     mark = start if mark is None else mark
@@ -126,6 +133,7 @@ def start_refresh(
     load: Loader | None = None,
     slots: Mapping[str, int] | None = None,
     available_now: bool = False,
+    cadence: str = CADENCE,
 ):
     """Start the query. ``metadata`` is read anew for each batch. With ``load`` each batch
     also claims rows and works them off."""
@@ -139,5 +147,5 @@ def start_refresh(
             claim_and_finish(state, now, load, slots)
 
     writer = events.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if available_now else {"processingTime": CADENCE}
+    trigger = {"availableNow": True} if available_now else {"processingTime": cadence}
     return writer.trigger(**trigger).start()

@@ -119,6 +119,28 @@ def test_repeated_events_are_dropped(spark, metadata):
     assert row.event_time == DAY and row.event_time_latest in (None, DAY)
 
 
+def test_waiting_tables_grow_older_without_events(spark, metadata):
+    folder, state, clock = fresh_folder(spark, "events"), new_state(spark), [DAY]
+    frame(spark, TRACKER, [{"source_table": NAMES[0], "event_time": DAY}]).coalesce(1).write.parquet(folder)
+
+    def later():
+        clock[0] += timedelta(hours=12)
+        return clock[0]
+
+    events = stream.tracking_stream(spark, folder, TRACKER, F.col("source_table"), "event_time", heartbeat=True)
+    run = stream.start_refresh(
+        events, lambda: metadata, state, fresh_folder(spark, "checkpoint"), "lake", asof=later, cadence="1 second"
+    )
+    try:
+        limit = time.time() + 60
+        while time.time() < limit and (state.note().get(stream.BATCH, -1) < 3):
+            time.sleep(0.5)
+    finally:
+        run.stop()
+    row = by_key(state.read("queue"))[NAMES[0]]
+    assert (row.priority, row.event_time, row.event_time_latest) == (25, DAY, DAY)
+
+
 def test_state_machine(spark, metadata):
     """Tables go from queued over running to done, one cycle after the other."""
     folder, state, loaded = fresh_folder(spark, "events"), new_state(spark), []

@@ -203,11 +203,25 @@ def test_uncommitted_version_does_not_count(spark):
     assert (s.read("a").count(), s.note()) == (2, {"batch": 7})
 
 
+def test_only_changed_tables_are_written(spark):
+    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET, "b": RUN})
+    s.reset()
+    row = spark.createDataFrame([(1, "x", None, None)], TARGET)
+    for _ in range(3):
+        s.replace({"a": row})
+    assert (s._versions("a"), s._versions("b"), s.version) == ([3, 4], [1], 4)
+    assert (s.read("a").count(), s.read("b").count()) == (1, 0)
+
+
 def test_old_versions_are_dropped(spark):
     s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET})
     for _ in range(5):
         s.reset()
-    assert s._versions() == [4, 5]
+    assert s._versions("a") == [4, 5]
+    left_over = s.prepare({"a": s.read("a")})
+    assert s.version == 5 and left_over == 6
+    s.reset()
+    assert s._versions("a") == [5, 7]
 
 
 # -- reports and batches
