@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from spark_refresh.functions.times import wall
 from spark_refresh.operators import batch, keys, queue
+from spark_refresh.plans import batch as batch_plan
+from spark_refresh.plans import transfer
 from spark_refresh.plans.refresh import refresh_cycle as cycle
 from spark_refresh.schemas import DEFAULT_SLOTS, QUEUE
 from spark_refresh.sources.scratch import fresh_folder, written
@@ -351,3 +353,31 @@ def stream_queue_state(spark: SparkSession, folder: str) -> DataFrame:
     state = run_stream(spark, folder, load=finish_all)
     both = queue.State(state.read("queue"), state.read("history"))
     return tagged(both, "source_table", "event_time", "status", "priority")
+
+
+@query(f"""
+WITH {ALL_EVENTS}, {CLAIMED.format(queue='refreshed', slots=SLOTS_SQL)}, sizes AS (
+    SELECT source_table, count(*) AS n FROM tracker GROUP BY source_table)
+SELECT source_table, event_time, CASE WHEN source_table LIKE '%.T3' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       CASE WHEN source_table LIKE '%.T3' THEN 0 ELSE n END AS num_records,
+       CASE WHEN source_table LIKE '%.T3' THEN 'source is gone' ELSE '' END AS error
+FROM claimed JOIN sizes USING (source_table)
+""")
+def event_load(spark: SparkSession, folder: str) -> DataFrame:
+    """From events to copied tables: queue, claim, copy each claimed table, history. The
+    rows of a table are the events that name it, one folder per table."""
+    base = fresh_folder(spark, "event-load")
+    events = fx.table(spark, folder, "events").withColumn("source_table", fx.source_table())
+    events.write.partitionBy("source_table").parquet(f"{base}/source")
+    sources = spark.read.parquet(f"{base}/source")
+
+    def load(row) -> int:
+        name = row["source_table"]
+        if name.endswith(".T3"):
+            raise RuntimeError("source is gone")
+        rows = sources.filter(F.col("source_table") == name).drop("source_table")
+        target = transfer.target_folder(spark, f"{base}/{row['target_table']}", rows.schema)
+        return transfer.copy_table(rows, target, f"{base}/stage/{name}")
+
+    state = run_stream(spark, folder, load=lambda claimed: batch_plan.load_claimed(spark, claimed, load))
+    return state.read("history").select("source_table", "event_time", "status", "num_records", "error")

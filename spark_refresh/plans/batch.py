@@ -13,7 +13,9 @@ from threading import Lock
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.times import ZONE, from_epoch, minutes_between
 from ..schemas import DEFAULT_SLOTS, RUN
 from .report import append_report
 from .transfer import outcome
@@ -52,6 +54,48 @@ def _work_off(
             done(f.result())
 
 
+def load_claimed(
+    spark: SparkSession,
+    claimed: DataFrame,
+    load: Callable[[Row], int],
+    slots: Mapping[str, int] | None = None,
+    zone: str = ZONE,
+) -> DataFrame:
+    """Copy the claimed tables side by side; what :func:`~spark_refresh.operators.queue.finish`
+    needs to know of them.
+
+    The claimed rows, at most the number of slots, are all the driver holds. A copy that
+    fails is FAILED with the time it ended.
+    """
+    slots = DEFAULT_SLOTS if slots is None else slots
+    rows = claimed.collect()
+    pools = {s: ThreadPoolExecutor(k, thread_name_prefix=s) for s, k in slots.items() if k > 0}
+    try:
+        runs = [
+            pools[row["strategy"]].submit(
+                _in_pool, spark, row["strategy"],
+                lambda row=row: outcome(row["source_table"], row["strategy"], lambda: load(row)),
+            )
+            for row in rows
+        ]
+        done = [
+            (row["event_time"], *(run.result()[n] for n in RUN.names)) for row, run in zip(rows, runs)
+        ]
+    finally:
+        for pool in pools.values():
+            pool.shutdown()
+    schema = T.StructType([T.StructField("event_time", T.TimestampNTZType()), *RUN.fields])
+    return spark.createDataFrame(done, schema).select(
+        F.col("table").alias("source_table"),
+        "event_time",
+        "status",
+        from_epoch(F.floor("end"), zone).alias("finish_time"),
+        minutes_between(F.col("start"), F.col("end")).alias("duration_min"),
+        "num_records",
+        "error",
+    )
+
+
 def batch_reload(
     spark: SparkSession,
     queue: DataFrame,

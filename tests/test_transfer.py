@@ -105,6 +105,15 @@ def test_wrong_counts_stop():
         transfer.check_counts(3, 2)
 
 
+def test_reload_describes_the_run(source, target, spark):
+    good = transfer.reload_table(spark, "s.a", "TPT", lambda: source, target)
+    assert (good["table"], good["strategy"], good["status"], good["num_records"], good["error"]) == ("s.a", "TPT", "SUCCESS", 3, "")
+    assert good["end"] >= good["start"]
+    gone = transfer.reload_table(spark, "s.b", "TPT", lambda: spark.read.parquet("/nowhere"), target)
+    assert gone["status"] == "FAILED" and "nowhere" in gone["error"] and gone["num_records"] == 0
+    assert target.read("data").count() == 3
+
+
 def test_truncate(source, entries, target, spark):
     transfer.copy_table(source, target, fresh_folder(spark, "stage"), catalogue=entries)
     transfer.truncate(target)
@@ -249,6 +258,22 @@ def test_history_report(spark):
     assert sorted((r.source_table, r.error, r.num_records) for r in target.read("data").collect()) == [("a", None, None), ("c", "it's bad", None)]
 
 
+def test_claimed_tables_are_loaded(spark):
+    from helpers import queue_frame, queue_row
+    claimed = queue_frame(spark, *(queue_row(f"s.t{i}", strategy="WriteNOS" if i == 2 else "TPT") for i in range(4)))
+
+    def load(row):
+        if row["source_table"] == "s.t1":
+            raise RuntimeError("no such table")
+        return 7
+
+    done = {r.source_table: r for r in batch.load_claimed(spark, claimed, load).collect()}
+    assert {n: (r.status, r.num_records, r.error) for n, r in done.items()} == {
+        "s.t0": ("SUCCESS", 7, ""), "s.t1": ("FAILED", 0, "no such table"), "s.t2": ("SUCCESS", 7, ""), "s.t3": ("SUCCESS", 7, "")
+    }
+    assert all(r.finish_time.year >= 2025 and r.duration_min >= 0 for r in done.values())
+
+
 def test_batch_goes_on_after_a_failure(spark):
     rows = [(f"s.t{i}", f"lake.s.t{i}", "TPT" if i % 3 else "WriteNOS", True, i) for i in range(12)]
     manifest = spark.createDataFrame(rows, "source string, target string, strategy string, lock_rows boolean, line_no long")
