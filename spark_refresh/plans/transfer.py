@@ -49,6 +49,19 @@ class Stage:
     rows: int
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, if they come in fewer partitions than there are cores, as
+    from one connection or a file of a few splits.
+
+    A large source is left as it is, without a shuffle, and so is a file that makes up a
+    single split: it is too small to gain from it.
+    """
+    cores, found = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    if found >= cores or (found == 1 and df.inputFiles()):
+        return df
+    return df.repartition(cores)
+
+
 def export(
     source: DataFrame,
     columns: Iterable[Column],
@@ -56,8 +69,12 @@ def export(
     where: str | None = None,
     file_bytes: int = STAGE_FILE_BYTES,
 ) -> Stage:
-    """Write the projected source as Parquet. Rows are counted while they are written."""
-    chosen = (source.where(F.expr(where)) if where else source).select(*columns)
+    """Write the projected source as Parquet. Rows are counted while they are written.
+
+    The condition and the choice of columns reach the scan; the casts run after the rows
+    were spread.
+    """
+    chosen = spread(source.where(F.expr(where)) if where else source).select(*columns)
     seen = Observation()
     (
         chosen.observe(seen, F.count(F.lit(1)).alias("rows"))

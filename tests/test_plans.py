@@ -89,6 +89,20 @@ def test_table_with_most_events_is_split(spark, join):
             spark.conf.unset(key)
 
 
+def test_only_a_source_in_few_pieces_is_spread(spark, tmp_path):
+    from spark_refresh.plans.transfer import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one_file = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    spark.range(1000, numPartitions=2 * cores).write.parquet(str(tmp_path / "many"))
+    for df, shuffled in (
+        (spark.range(1000, numPartitions=1), True), (spark.range(1000, numPartitions=cores), False),
+        (one_file, False), (spark.read.parquet(str(tmp_path / "many")), False),
+    ):
+        assert ("RoundRobin" in plan(spread(df))) is shuffled
+        assert spread(df).count() == df.count()
+
+
 def test_events_are_combined_before_the_shuffle(spark):
     empty = queue_frame(spark)
     text = plan(refresh_cycle(fx.recent(spark, SMALL), fx.metadata(spark, SMALL), empty, fx.ASOF, "lake"))
