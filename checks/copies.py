@@ -410,7 +410,10 @@ def count_validation(spark: SparkSession, folder: str) -> DataFrame:
     return frames[0].unionByName(frames[1])
 
 
-RELOADED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
+RELOADED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def batch_sql() -> str:

@@ -212,7 +212,7 @@ incoming AS (
            CAST(l_quantity AS INTEGER) % 26 AS priority,
            row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
                               l_quantity, l_extendedprice, l_discount, l_tax) AS seq
-    FROM lineitem WHERE l_linenumber <= 2
+    FROM lineitem
 )"""
 
 
@@ -229,8 +229,7 @@ def incoming(spark: SparkSession, folder: str) -> DataFrame:
         "priority": F.col("l_quantity").cast("int") % 26,
         "event_time_latest": F.lit(None).cast("timestamp_ntz"),
     }
-    lines = table(spark, folder, "lineitem").filter(F.col("l_linenumber") <= 2)
-    return lines.select(
+    return table(spark, folder, "lineitem").select(
         *(columns[n].alias(n) for n in QUEUE.names),
         *(c for c in INCOMING_ORDER if c != "event_time"),
     )

@@ -100,19 +100,20 @@ MANY = 500
 
 @query(f"""
 WITH {STATE}, {CLAIMED.format(queue='queue', slots=MANY)}
-SELECT * FROM history h WHERE NOT (h.status <> 'RUNNING' AND EXISTS (
+SELECT * REPLACE (coalesce(num_records, -1) AS num_records) FROM history h WHERE NOT (h.status <> 'RUNNING' AND EXISTS (
     SELECT 1 FROM claimed c WHERE c.source_table = h.source_table AND c.event_time = h.event_time))
 UNION ALL BY NAME
 SELECT source_table, target_table, 'RUNNING' AS status, event_time, TIMESTAMP '{fx.ASOF}' AS trigger_time,
        CAST(NULL AS TIMESTAMP) AS finish_time, CAST(NULL AS DOUBLE) AS duration_min, strategy, lock_rows, priority,
-       CAST(NULL AS VARCHAR) AS error, CAST(NULL AS BIGINT) AS num_records
+       CAST(NULL AS VARCHAR) AS error, -1 AS num_records
 FROM claimed c WHERE NOT EXISTS (
     SELECT 1 FROM history h WHERE c.source_table = h.source_table AND c.event_time = h.event_time AND h.status = 'RUNNING')
 """)
 def claim_history(spark: SparkSession, folder: str) -> DataFrame:
     """History after a claim large enough to meet events that were processed before."""
     slots = {"TPT": MANY, "WriteNOS": MANY}
-    return queue.claim(fx.queue(spark, folder), fx.history(spark, folder), fx.ASOF, slots).history
+    after = queue.claim(fx.queue(spark, folder), fx.history(spark, folder), fx.ASOF, slots).history
+    return after.withColumn("num_records", F.coalesce("num_records", F.lit(-1).cast("bigint")))
 
 
 def tagged(state: queue.State, *names: str) -> DataFrame:
@@ -188,7 +189,7 @@ def pk_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT 'queue' AS name, count(*) FILTER (o_orderstatus IN ('O', 'P')) AS rows_before, 0 AS rows_after FROM orders
+SELECT 'queue' AS name, count(*) FILTER (o_orderstatus IN ('O', 'P')) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM orders
 UNION ALL
 SELECT 'history', count(*) FILTER (o_orderstatus = 'F' OR (o_orderstatus = 'P' AND o_orderkey % 3 <> 0)
     OR (o_orderstatus = 'O' AND o_orderkey % 11 = 0)), 0 FROM orders

@@ -18,6 +18,9 @@ def con():
 def test_same_rows(spark, con, name):
     df = entry_points.queries()[name](spark, SMALL)
     assert difference(df, con, entry_points.oracle_sql()[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for python_or_cross in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoopJoin"):
+        assert python_or_cross not in plan
 
 
 def test_entry_has_rows(spark):

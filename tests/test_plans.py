@@ -10,7 +10,6 @@ from conftest import SMALL
 from helpers import history_frame, queue_frame, queue_row
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from spark_refresh.operators import enrich, queue
 from spark_refresh.plans.refresh import refresh_cycle
 from spark_refresh.sources.scratch import written
@@ -20,13 +19,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
-def test_no_python_workers_and_no_cross_joins(spark, name):
-    text = plan(entry_points.queries()[name](spark, SMALL))
-    for node in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoopJoin"):
-        assert node not in text
-
-
 def test_scan_gets_bounds_and_columns(spark):
     df = fx.recent(spark, SMALL)
     text = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))

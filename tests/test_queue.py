@@ -217,7 +217,7 @@ def as_frame(spark, rows):
     return queue_frame(spark, *(queue_row(n, priority=p, time=DAY + timedelta(days=d)) for n, p, d in rows))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=7, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(old=ROWS, new=ROWS, running=st.sets(st.sampled_from("ABCD")))
 def test_upsert_equals_one_row_after_the_other(spark, old, new, running):
     state = one_by_one({}, old)
@@ -235,7 +235,7 @@ def test_upsert_equals_one_row_after_the_other(spark, old, new, running):
     assert sorted(twice.collect()) == sorted(thrice.collect())
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=ROWS, slots=st.integers(0, 3))
 def test_claim_takes_the_best(spark, rows, slots):
     best = {name: (-p, d, name) for name, p, d in rows if p > 0}

@@ -50,7 +50,7 @@ def step(state: dict, new: list[tuple[str, int]], known: set[str], asof: int) ->
 EVENTS = st.lists(st.tuples(st.sampled_from("ABCX"), st.integers(0, 110)), max_size=10)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=7, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(first=EVENTS, second=EVENTS, running=st.sets(st.sampled_from("ABC")))
 def test_cycles_equal_the_rules(spark, first, second, running):
     known, attrs = set("ABC"), metadata(spark, *"ABC")

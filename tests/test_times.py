@@ -95,7 +95,7 @@ def test_top_of_hour(spark, minute, passed):
     assert value(spark, times.past_top_of_hour(times.wall(f"2025-01-01 01:{minute:02d}:59"))) is passed
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-10**9, 4 * 10**9), min_size=1, max_size=50))
 def test_epoch_round_trip(spark, seconds):
     df = spark.createDataFrame([(s,) for s in seconds], "s long")
