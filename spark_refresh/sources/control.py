@@ -17,15 +17,21 @@ METADATA_FIELDS = (
 )
 
 
+def is_whole_number(c: Column) -> Column:
+    return F.coalesce(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.lit(False))
+
+
 def metadata_problem(fields: Column) -> Column:
     """What is wrong with a metadata line, NULL if nothing is."""
-    target = F.get(fields, F.lit(1))
+    target, floor = F.get(fields, F.lit(1)), F.get(fields, F.lit(5))
+    numbers = is_whole_number(F.get(fields, F.lit(4))) & is_whole_number(F.get(fields, F.lit(6)))
     return (
         F.when(F.size(fields) != len(METADATA_FIELDS), F.lit("should have 7 fields"))
         .when(~is_source_name(F.get(fields, F.lit(0))), F.lit("source must have 2 namespaces"))
         .when(~is_source_name(target), F.lit("target must have 2 namespaces"))
         .when(~is_strategy(F.get(fields, F.lit(2))), F.lit("invalid method"))
         .when(~is_bool(F.get(fields, F.lit(3))), F.lit("invalid disabled status"))
+        .when(~numbers | ((floor != "") & ~is_whole_number(floor)), F.lit("invalid number"))
     )
 
 

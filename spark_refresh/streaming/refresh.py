@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.times import ZONE, drop_fraction
-from ..operators.queue import claim, finish, last_load_time, requeue
+from ..functions.times import ZONE, as_wall, drop_fraction
+from ..operators.enrich import unmatched
+from ..operators.queue import claim, finish, ignored_events, last_load_time, requeue
 from ..plans.refresh import refresh_cycle
 from ..schemas import HISTORY, QUEUE
 from ..sources.snapshots import Snapshots
+from ..sources.tracking import tracking_scan
 
 # Fixed value: seconds between two looks at the tracking table.
 CADENCE = "120 seconds"
@@ -82,6 +84,27 @@ def tracking_stream(
     return events
 
 
+def known_until(state: Snapshots, start: datetime | str | None = None) -> datetime | str | None:
+    """The watermark: the latest event the state knows of, else ``start``."""
+    mark = last_load_time(state.read("queue"), state.read("history")).first()[0]
+    return start if mark is None else mark
+
+
+def passed_over(
+    events: DataFrame, metadata: DataFrame, queue: DataFrame, mark: datetime | str | None
+) -> dict[str, DataFrame]:
+    """What a cycle leaves out of its events, for an audit: ``late`` ones, those of tables
+    without metadata (``unmatched``), and per running table the ``ignored`` ones."""
+    late = events.limit(0) if mark is None else events.filter(F.col("event_time") <= as_wall(mark))
+    new = events if mark is None else events.filter(F.col("event_time") > as_wall(mark))
+    names = metadata.select("source_table")
+    return {
+        "late": late,
+        "unmatched": unmatched(new, metadata),
+        "ignored": ignored_events(queue, new).join(names, "source_table", "left_semi"),
+    }
+
+
 def apply_events(
     events: DataFrame,
     metadata: DataFrame,
@@ -90,19 +113,42 @@ def apply_events(
     catalog: str,
     start: datetime | str | None = None,
     note: Mapping | None = None,
+    audit_folder: str | None = None,
 ) -> None:
     """One cycle on the committed state. Events at or before the watermark are late and
-    never read; the watermark is what the state knows, else ``start``."""
+    never read. With ``audit_folder`` what is left out is written there, again under the
+    same names if the cycle is repeated."""
     events = events.filter(F.col("source_table").isNotNull())
-    queue, history = state.read("queue"), state.read("history")
-    mark = last_load_time(queue, history).first()[0]
-    mark = start if mark is None else mark
+    queue, mark = state.read("queue"), known_until(state, start)
+    if audit_folder:
+        for name, df in passed_over(events, metadata, queue, mark).items():
+            df.write.mode("overwrite").parquet(f"{audit_folder}/{name}")
     if mark is not None:
-        text = mark if isinstance(mark, str) else mark.isoformat(sep=" ")
-        events = events.filter(F.col("event_time") > F.lit(text).cast("timestamp_ntz"))
+        events = events.filter(F.col("event_time") > as_wall(mark))
     state.replace({"queue": refresh_cycle(events, metadata, queue, asof, catalog)}, note=note)
 
 
+def poll(
+    tracking: DataFrame,
+    source_table: Column,
+    event_time: str,
+    metadata: DataFrame,
+    state: Snapshots,
+    asof: datetime | str,
+    catalog: str,
+    start: datetime | str,
+    note: Mapping | None = None,
+) -> None:
+    """One cycle over a tracking table that is read as a whole, such as one over JDBC.
+
+    Only what happened between the watermark and ``asof`` is read: both bounds go to the
+    source.
+    """
+    found = tracking_scan(tracking, source_table, event_time, known_until(state, start), asof)
+    after = refresh_cycle(found, metadata, state.read("queue"), asof, catalog)
+    state.replace({"queue": after}, note=note)
+
+
 Loader = Callable[[DataFrame], DataFrame]
 
 
@@ -134,18 +180,64 @@ def start_refresh(
     slots: Mapping[str, int] | None = None,
     available_now: bool = False,
     cadence: str = CADENCE,
+    audit_folder: str | None = None,
 ):
     """Start the query. ``metadata`` is read anew for each batch. With ``load`` each batch
     also claims rows and works them off."""
 
+    def cycle(batch: DataFrame, batch_id: int, now: datetime | str) -> None:
+        audit = f"{audit_folder}/batch={batch_id}" if audit_folder else None
+        apply_events(batch, metadata(), state, now, catalog, start, {BATCH: batch_id}, audit)
+
+    on_batch = _once_per_batch(state, cycle, asof, load, slots)
+    return _started(events, on_batch, checkpoint, available_now, cadence)
+
+
+def start_polling(
+    spark: SparkSession,
+    tracking: Callable[[], DataFrame],
+    source_table: Column,
+    event_time: str,
+    metadata: Callable[[], DataFrame],
+    state: Snapshots,
+    checkpoint: str,
+    catalog: str,
+    start: datetime | str,
+    asof: Callable[[], datetime | str] = local_now,
+    load: Loader | None = None,
+    slots: Mapping[str, int] | None = None,
+    cadence: str = CADENCE,
+):
+    """The same for a tracking table that cannot be streamed: a clock starts the cycles,
+    and each reads what is new in the table."""
+
+    def cycle(_: DataFrame, batch_id: int, now: datetime | str) -> None:
+        poll(tracking(), source_table, event_time, metadata(), state, now, catalog, start, {BATCH: batch_id})
+
+    clock = spark.readStream.format("rate").option("numPartitions", 1).load()
+    on_batch = _once_per_batch(state, cycle, asof, load, slots)
+    return _started(clock, on_batch, checkpoint, False, cadence)
+
+
+def _once_per_batch(
+    state: Snapshots,
+    cycle: Callable[[DataFrame, int, datetime | str], None],
+    asof: Callable[[], datetime | str],
+    load: Loader | None,
+    slots: Mapping[str, int] | None,
+) -> Callable[[DataFrame, int], None]:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if state.note().get(BATCH, -1) >= batch_id:
             return
         now = asof()
-        apply_events(batch, metadata(), state, now, catalog, start, {BATCH: batch_id})
+        cycle(batch, batch_id, now)
         if load:
             claim_and_finish(state, now, load, slots)
 
-    writer = events.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return on_batch
+
+
+def _started(df: DataFrame, on_batch, checkpoint: str, available_now: bool, cadence: str):
     trigger = {"availableNow": True} if available_now else {"processingTime": cadence}
+    writer = df.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()

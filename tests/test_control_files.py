@@ -38,7 +38,7 @@ def test_metadata_line(spark, write):
 
 @pytest.mark.parametrize("line", [
     "s.a,t.a,TPT,false,1,10", "s.a,t.a,TPT,false,1,10,20,30", "a,t.a,TPT,false,1,10,20", "s.a,t,TPT,false,1,10,20",
-    "s.a,t.a,tpt,false,1,10,20", "s.a,t.a,TPT,no,1,10,20", "s.a,t.a,TPT,false,x,10,20", "s.a,t.a,TPT,false,1,10,", "",
+    "s.a,t.a,tpt,false,1,10,20", "s.a,t.a,TPT,no,1,10,20", "s.a,t.a,TPT,false,x,10,20", "s.a,t.a,TPT,false,1,10,", "s.a,t.a,TPT,false,1,y,20", "",
 ])
 def test_bad_metadata_line_stops(spark, write, line):
     path = write(f"{GOOD}\n{line}\n")
@@ -48,6 +48,15 @@ def test_bad_metadata_line_stops(spark, write, line):
         control.read_metadata(spark, path).filter(F.col("source_table") == "s.a").collect()
 
 
+def test_bad_numbers_stop_without_ansi_casts_too(spark, write):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="invalid number"):
+            control.read_metadata(spark, write(GOOD + "\ns.b,,TPT,false,x,1,1\n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_blank_source_is_a_missing_one(spark, write):
     rows = control.read_metadata(spark, write(",t.a,TPT,false,1,1,1\n")).collect()
     assert rows == [(None, "t.a", "TPT", False, 1, 1, 1)]

@@ -141,6 +141,51 @@ def test_waiting_tables_grow_older_without_events(spark, metadata):
     assert (row.priority, row.event_time, row.event_time_latest) == (25, DAY, DAY)
 
 
+def test_what_is_left_out_is_written_down(spark, metadata):
+    folder, state, audit = fresh_folder(spark, "events"), new_state(spark), fresh_folder(spark, "audit")
+    state.replace({"queue": queue_frame(spark, queue_row(NAMES[0], status="R"))})
+    rows = [(NAMES[0], 5), (NAMES[0], 6), (NAMES[1], -5), (NAMES[2], 7), ("s.none", 8), ("s.none", 0)]
+    frame(spark, TRACKER, [{"source_table": n, "event_time": DAY + timedelta(seconds=s)} for n, s in rows]).coalesce(1).write.parquet(folder)
+    start(spark, folder, metadata, state, fresh_folder(spark, "checkpoint"), audit_folder=audit)
+
+    def read(name):
+        return sorted(tuple(r)[:2] for r in spark.read.parquet(f"{audit}/batch=0/{name}").collect())
+
+    assert read("late") == [("s.none", DAY), (NAMES[1], DAY - timedelta(seconds=5))]
+    assert read("unmatched") == [("s.none", DAY + timedelta(seconds=8))]
+    assert read("ignored") == [(NAMES[0], 2)]
+    assert sorted(by_key(state.read("queue"))) == [NAMES[0], NAMES[2]]
+
+
+def test_polling_a_table_reads_each_event_once(spark, metadata):
+    """Two polls of a growing table end in the state of two cycles; the second reads only
+    what is new, and nothing after its own time."""
+    state, at = new_state(spark), lambda s: DAY + timedelta(seconds=s)
+    first = [{"source_table": NAMES[0], "event_time": at(10)}, {"source_table": NAMES[1], "event_time": at(500)}]
+    more = first + [{"source_table": NAMES[0], "event_time": at(90)}, {"source_table": NAMES[2], "event_time": at(10)}]
+    for rows, asof in ((first, at(100)), (more, at(200)), (more, at(200))):
+        stream.poll(frame(spark, TRACKER, rows), F.col("source_table"), "event_time", metadata, state, asof, "lake", DAY)
+    got = by_key(state.read("queue"))
+    assert list(got) == [NAMES[0]]
+    assert (got[NAMES[0]].event_time, got[NAMES[0]].event_time_latest) == (at(10), at(90))
+    assert stream.known_until(state) == at(90)
+
+
+def test_polling_by_the_clock(spark, metadata):
+    state, table = new_state(spark), frame(spark, TRACKER, [{"source_table": NAMES[0], "event_time": DAY + timedelta(seconds=1)}])
+    run = stream.start_polling(
+        spark, lambda: table, F.col("source_table"), "event_time", lambda: metadata, state, fresh_folder(spark, "checkpoint"),
+        "lake", DAY, asof=lambda: ASOF, cadence="1 second",
+    )
+    try:
+        limit = time.time() + 60
+        while time.time() < limit and state.note().get(stream.BATCH, -1) < 2:
+            time.sleep(0.5)
+    finally:
+        run.stop()
+    assert list(by_key(state.read("queue"))) == [NAMES[0]]
+
+
 def test_state_machine(spark, metadata):
     """Tables go from queued over running to done, one cycle after the other."""
     folder, state, loaded = fresh_folder(spark, "events"), new_state(spark), []
@@ -184,3 +229,5 @@ def test_recover_empties_on_request(spark):
     stream.recover(state, reset=True)
     assert state.read("queue").count() == state.read("history").count() == 0
     assert queue.last_load_time(state.read("queue"), state.read("history")).first()[0] is None
+    never_made = stream.queue_state(spark, fresh_folder(spark, "state"))
+    assert queue.queue_length(never_made.read("queue")).first()[0] == 0
