@@ -390,8 +390,8 @@ SELECT event_id, CAST(epoch(event_time) AS BIGINT) + 7 * 3600 AS epoch_seconds F
 def ts_to_epoch(spark: SparkSession, folder: str) -> DataFrame:
     """Through the text form, as event times are stored."""
     text = times.format_text(F.col("event_time"))
-    return fx.tracker(spark, folder).select(
-        "event_id", times.to_epoch(times.require_text(text)).alias("epoch_seconds")
+    return fx.tracker(spark, folder).select("event_id", text.alias("text")).select(
+        "event_id", times.to_epoch(times.require_text(F.col("text"))).alias("epoch_seconds")
     )
 
 

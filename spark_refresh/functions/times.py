@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 # The zone of all event times and the text form they are stored in.
 ZONE = "America/Phoenix"
-TEXT_PATTERN = "yyyy-M-d H:m:s"
 TEXT_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
@@ -67,15 +66,14 @@ def from_epoch(seconds: Column, zone: str = ZONE) -> Column:
 def parse_text(c: Column) -> Column:
     """Text to wall clock time, NULL where the text is not a valid time.
 
-    Fields may be unpadded. The text is read as UTC and taken back to a clock
-    reading through its epoch, so a gap in the session zone cannot shift it.
+    Fields may be unpadded and further apart than one blank. The cast to TIMESTAMP_NTZ
+    reads them without a zone; the shape leaves out what else it would take.
     """
     spaced = F.regexp_replace(c, r"\s+", " ")
-    instant = F.try_to_timestamp(
-        F.when(c.rlike(TEXT_SHAPE), F.concat(spaced, F.lit(" +0000"))),
-        F.lit(TEXT_PATTERN + " Z"),
+    return F.when(
+        c.rlike(TEXT_SHAPE),
+        F.coalesce(c.try_cast("timestamp_ntz"), spaced.try_cast("timestamp_ntz")),
     )
-    return seconds_to_wall(F.unix_seconds(instant))
 
 
 def is_valid_text(c: Column) -> Column:

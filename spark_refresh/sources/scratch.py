@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _folder_of_this_machine(application: str) -> str:
+    return tempfile.mkdtemp(prefix="spark-refresh-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for such data.
 
-    Without that setting the session runs on one machine (tests), and a folder of that
+    Without that setting the session must run on one machine (tests), and a folder of that
     machine serves; on a cluster the setting is required.
     """
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
@@ -21,9 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="spark-refresh-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _folder_of_this_machine(spark.sparkContext.applicationId)
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -32,7 +32,8 @@ def test_epochs_compare_like_numbers(spark):
     assert value(spark, early == 1742300815)
 
 
-@pytest.mark.parametrize("text", [None, "", "2025-03-18", "18.03.2025 05:26:55", "2025-02-30 00:00:00", "2025-03-18 25:00:00", "25-3-18 1:1:1"])
+@pytest.mark.parametrize("text", [None, "", "2025-03-18", "18.03.2025 05:26:55", "2025-02-30 00:00:00", "2025-03-18 25:00:00", "25-3-18 1:1:1", "2025-03-18 24:00:00", "2025-03-18 00:00:60", "2025-03-18T01:00:00",
+    "2025-03-18 01:00:00Z", "2025-03-18 01:00", "12025-03-18 01:00:00", "2025-03-18 01:00:00.5", " 2025-03-18 01:00:00"])
 def test_bad_text(spark, text):
     c = F.lit(text).cast("string")
     assert value(spark, times.is_valid_text(c)) is False
@@ -40,8 +41,9 @@ def test_bad_text(spark, text):
         value(spark, times.require_text(c))
 
 
-def test_unpadded_text(spark):
-    assert value(spark, times.parse_text(F.lit("2025-3-1 4:5:6"))) == datetime(2025, 3, 1, 4, 5, 6)
+@pytest.mark.parametrize("text", ["2025-3-1 4:5:6", "2025-03-01   04:05:06", "2025-03-01\t4:05:06"])
+def test_unpadded_text(spark, text):
+    assert value(spark, times.parse_text(F.lit(text))) == datetime(2025, 3, 1, 4, 5, 6)
 
 
 def test_gap_of_the_session_zone(spark):

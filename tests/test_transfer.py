@@ -194,6 +194,18 @@ def test_working_folder_is_the_named_one(spark):
     assert shared_folder(spark) == spark.conf.get(SETTING)
 
 
+def test_without_the_setting_only_one_machine_will_do():
+    from types import SimpleNamespace as Part
+
+    def session(master):
+        context = Part(getConf=lambda: {}, master=master, applicationId="app")
+        return Part(conf=Part(get=lambda key, default: default), sparkContext=context)
+
+    assert shared_folder(session("local[8]")) == shared_folder(session("local[8]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://somewhere"))
+
+
 # -- snapshots
 
 
