@@ -54,14 +54,13 @@ def tracking_stream(
     source_table: Column,
     event_time: str,
     max_files: int | None = None,
-    repeat_delay: str | None = None,
     heartbeat: bool = False,
 ) -> DataFrame:
     """Tracking events from files as they arrive.
 
-    With ``repeat_delay`` an event delivered again within that time is dropped before it
-    reaches the queue, where it would do no harm either. With ``heartbeat`` every trigger
-    is a cycle, also without new files: waiting tables grow older and more urgent.
+    With ``heartbeat`` every trigger is a cycle, also without new files: waiting tables
+    grow older and more urgent. An event delivered again needs no care here: within a
+    batch its copies are combined in each task, after it the watermark has passed it.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
@@ -70,13 +69,6 @@ def tracking_stream(
         source_table.alias("source_table"),
         drop_fraction(F.col(event_time).cast("timestamp_ntz")).alias("event_time"),
     )
-    if repeat_delay:
-        stamped = events.withColumn("seen_at", F.col("event_time").cast("timestamp"))
-        events = (
-            stamped.withWatermark("seen_at", repeat_delay)
-            .dropDuplicatesWithinWatermark(["source_table", "event_time"])
-            .drop("seen_at")
-        )
     if heartbeat:
         none = [F.lit(None).cast(t).alias(n) for n, t in events.dtypes]
         ticks = spark.readStream.format("rate").option("numPartitions", 1).load()

@@ -39,7 +39,7 @@ def write_events(spark, folder, batch: int):
 
 def start(spark, folder, metadata, state, checkpoint, **more):
     events = stream.tracking_stream(
-        spark, folder, TRACKER, F.col("source_table"), "event_time", max_files=1, repeat_delay=more.pop("repeat_delay", None)
+        spark, folder, TRACKER, F.col("source_table"), "event_time", max_files=1
     )
     run = stream.start_refresh(
         events, lambda: metadata, state, checkpoint, "lake", asof=lambda: ASOF, available_now=True, **more
@@ -110,13 +110,15 @@ def test_configured_start(spark, metadata):
     assert list(by_key(state.read("queue"))) == [NAMES[1]]
 
 
-def test_repeated_events_are_dropped(spark, metadata):
+def test_event_delivered_again_makes_no_second_row(spark, metadata):
     folder, state = fresh_folder(spark, "events"), new_state(spark)
-    once = frame(spark, TRACKER, [{"source_table": NAMES[0], "event_time": DAY}] * 5).coalesce(1)
-    once.write.parquet(folder)
-    start(spark, folder, metadata, state, fresh_folder(spark, "checkpoint"), repeat_delay="1 hour")
-    row = by_key(state.read("queue"))[NAMES[0]]
-    assert row.event_time == DAY and row.event_time_latest in (None, DAY)
+    for copies in (5, 2):
+        again = frame(spark, TRACKER, [{"source_table": NAMES[0], "event_time": DAY}] * copies)
+        again.coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.05)
+    start(spark, folder, metadata, state, fresh_folder(spark, "checkpoint"))
+    assert state.note() == {stream.BATCH: 1}
+    assert [(r.source_table, r.event_time, r.event_time_latest) for r in state.read("queue").collect()] == [(NAMES[0], DAY, DAY)]
 
 
 def test_waiting_tables_grow_older_without_events(spark, metadata):
