@@ -307,6 +307,44 @@ def refresh_cycle(spark: SparkSession, folder: str) -> DataFrame:
     return refresh_flow(spark, folder)
 
 
+SECOND = f"""
+WITH {fx.TRACKER}, {fx.RECENT}, {fx.METADATA}, early AS (
+    SELECT source_table, min(event_time) AS f1, max(event_time) AS l1, count(*) AS n1 FROM tracker
+    WHERE event_time <= TIMESTAMP '{fx.WATERMARK}' AND source_table NOT LIKE '%.T2' GROUP BY source_table),
+arriving AS (
+    SELECT source_table, min(event_time) AS first_event, max(event_time) AS last_event, count(*) AS n FROM recent
+    WHERE source_table NOT LIKE '%.T4' GROUP BY source_table),
+joined AS (
+    SELECT *, CASE WHEN f1 IS NULL THEN 'new' WHEN source_table LIKE '%.T5' THEN 'R' ELSE 'Q' END AS was,
+           CASE WHEN n1 > 1 THEN l1 END AS latest
+    FROM metadata LEFT JOIN early USING (source_table) LEFT JOIN arriving USING (source_table)
+    WHERE f1 IS NOT NULL OR n IS NOT NULL)
+SELECT source_table, 'lake.' || target_table AS target_table, coalesce(f1, first_event) AS event_time,
+       CAST(NULL AS TIMESTAMP) AS trigger_time, strategy, TRUE AS lock_rows,
+       CASE was WHEN 'R' THEN 'R' ELSE 'Q' END AS status,
+       CASE WHEN was = 'R' THEN {fx.score_sql('l1', fx.WATERMARK)}
+            WHEN n IS NOT NULL THEN {fx.score_sql('last_event')} ELSE {fx.score_sql('f1')} END AS priority,
+       CASE WHEN was = 'R' THEN latest WHEN was = 'new' THEN CASE WHEN n > 1 THEN last_event END
+            WHEN n IS NOT NULL THEN last_event ELSE coalesce(latest, f1) END AS event_time_latest
+FROM joined
+"""
+
+
+@query(SECOND)
+def refresh_waiting(spark: SparkSession, folder: str) -> DataFrame:
+    """A second cycle, on a queue in which tables wait or run: some get new events, some
+    get none, and some tables are new."""
+    attrs, name = fx.metadata(spark, folder), F.col("source_table")
+    early = fx.tracker(spark, folder).filter(
+        (F.col("event_time") <= wall(fx.WATERMARK)) & ~name.like("%.T2")
+    )
+    first = cycle(early, attrs, spark.createDataFrame([], QUEUE), fx.WATERMARK, fx.CATALOG)
+    running = F.when(name.like("%.T5"), F.lit("R")).otherwise(F.col("status"))
+    state = written(first.withColumn("status", running), "queue")
+    new = fx.recent(spark, folder).filter(~name.like("%.T4"))
+    return cycle(new, attrs, state, fx.ASOF, fx.CATALOG)
+
+
 ALL_EVENTS = (
     f"{fx.TRACKER}, {fx.METADATA}, "
     + REFRESHED.format(events="tracker", score=fx.score_sql("last_event", fx.LADDER_ASOF))
