@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, packing
+from . import bpe_count, packing, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,13 @@ def op2_linear_grouping_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_piece_bpe_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_count.count_tokens(table(spark, folder, "documents"))
+
+
+@query()
+def op7_sampled_splitter_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"))
+
+
+@query()
+def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
