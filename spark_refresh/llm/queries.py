@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, packing, sharding, toxicity
+from . import bpe_count, extraction, packing, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op2_linear_grouping_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"))
 
 
+@query()
+def op5_tree_scored_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
+
+
 @query()
 def op6_piece_bpe_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_count.count_tokens(table(spark, folder, "documents"))
