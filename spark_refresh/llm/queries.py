@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, extraction, packing, sharding, toxicity
+from . import bpe_count, extraction, packing, repeats, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op7_sampled_splitter_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"))
 
 
+@query()
+def op8_repeated_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.deduplicate(table(spark, folder, "documents"))
+
+
 @query()
 def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
