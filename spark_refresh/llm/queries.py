@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, extraction, packing, repeats, sharding, toxicity
+from . import bpe_count, extraction, near_duplicates, packing, repeats, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_order_minhash_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, folder, "documents"))
+
+
 @query()
 def op2_linear_grouping_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"))
