@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, extraction, near_duplicates, packing, repeats, sharding, toxicity
+from . import bpe_count, extraction, near_duplicates, packing, repeats, sharding, surrogates, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op8_repeated_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op10_keyed_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"))
