@@ -32,7 +32,8 @@ from .common import stored
 ORDER = 6
 BITS = 10  # of a symbol; higher code points are folded
 DISCOUNT = 0.75
-SLOTS, CONTEXTS = 1 << 22, 1 << 20
+SLOTS, CONTEXTS = 1 << 21, 1 << 19
+CHECK = 0x7FFF  # bits of a check value
 FITTED = 20_000
 BROADCAST_LABELS = 1_000_000  # rows, of 16 bytes; more labels are joined by shuffling
 SHARED = 50.0  # counts by which the shared probability weighs in a class
@@ -174,8 +175,8 @@ def fixed_table(rows: DataFrame, key: str, value: str, n: str, slots: int):
 
     best = rows.groupBy((F.col("hash") % slots).cast("int").alias("slot")).agg(
         F.max(F.struct(F.col(n), F.col("hash"), F.col(value).cast("float").alias("value"))).alias("best"))
-    found = best.select("slot", "best.value", F.shiftright("best.hash", 40).cast("int").alias("check")).toArrow()
-    values, checks = np.zeros(slots, np.float32), np.full(slots, -1, np.int32)
+    found = best.select("slot", "best.value", F.shiftright("best.hash", 40).bitwiseAND(CHECK).cast("short").alias("check")).toArrow()
+    values, checks = np.zeros(slots, np.float16), np.full(slots, -1, np.int16)
     at = found.column("slot").to_numpy()
     values[at], checks[at] = found.column("value").to_numpy(), found.column("check").to_numpy()
     return values, checks
@@ -212,7 +213,7 @@ class Model:
         values, checks = table
         h = xxhash64_longs(keys) >> np.uint64(1)
         slot = (h & np.uint64(len(values) - 1)).astype(np.int64)
-        return values[slot], checks[slot] == (h >> np.uint64(40)).astype(np.int32)
+        return values[slot], checks[slot] == (h >> np.uint64(40) & np.uint64(CHECK)).astype(np.int16)
 
     def measures(self, text: str) -> tuple[float, float]:
         """Per word, how far the log-ratio lies above the median word, and how far beyond one unit above.
