@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, extraction, near_duplicates, packing, repeats, sharding, surrogates, toxicity
+from . import bpe_count, decontamination, extraction, near_duplicates, packing, repeats, sharding, surrogates, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2_linear_grouping_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"))
 
 
+@query()
+def op4_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query()
 def op5_tree_scored_text(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(table(spark, folder, "pages"))

@@ -14,8 +14,6 @@ no column. An empty table gives no rows.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +31,7 @@ def binary_search(keys: list, key: Column) -> Column:
     if not keys:
         return F.lit(0)
     steps = [1 << i for i in range(len(keys).bit_length() - 1, -1, -1)]
-    sorted_keys = F.from_json(F.lit(json.dumps([{"h": h, "d": d} for h, d in keys])), "array<struct<h:bigint,d:bigint>>")
+    sorted_keys = F.arrays_zip(longs([h for h, _ in keys]).alias("h"), longs([d for _, d in keys]).alias("d"))
 
     def step(at: Column, width: Column) -> Column:
         inside = (at + width) <= len(keys)
@@ -43,7 +41,8 @@ def binary_search(keys: list, key: Column) -> Column:
 
 
 def longs(values: list[int]) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+    """A constant array; Spark folds it once, as it does not fold parsed text."""
+    return F.expr(f"array({', '.join(f'{v}L' if v > -(1 << 63) else 'bigint(-9223372036854775808)' for v in values)})")
 
 
 def splitters(sized: DataFrame, ranges: int, total: int) -> list[tuple[int, int]]:
