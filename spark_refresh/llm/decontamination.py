@@ -29,7 +29,7 @@ WINDOW = 5
 SHARE = 0.8
 LITERALS = 3
 MOST_BITS = 20  # the bit map has at most 2^20 bits
-NAME = r"(?<=[\p{L}\p{N},;:%&*#$)'’\"] )\p{Lu}[\p{L}'’]+"
+NAME = r"(?<=[\p{L}\p{N},;:%&*#$)'’\"] )\p{Lu}\p{Ll}[\p{L}'’]*"
 UNITS = ("kg|g|mg|lbs?|pounds?|ounces?|km|cm|mm|m|miles?|feet|foot|inch(?:es)?|yards?|l|ml|litres?|liters?|gallons?|h|hours?|minutes?|seconds?|"
          "days?|weeks?|months?|years?|dollars?|cents?|euros?|pence|percent|degrees?|mph|kmh|kw|watts?|volts?|hz|kb|mb|gb|tb")
 NUMBER = r"\d+(?:[.,]\d+)*"

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, decontamination, extraction, near_duplicates, packing, repeats, sharding, surrogates, toxicity
+import corpus_pipeline
+
+from . import bpe_count, decontamination, extraction, hashing_search, near_duplicates, packing, repeats, sharding, surrogates, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +35,11 @@ def op2_linear_grouping_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"))
 
 
+@query()
+def op3_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return hashing_search.search(table(spark, folder, "embeddings"))
+
+
 @query()
 def op4_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -66,3 +73,8 @@ def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_keyed_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

@@ -37,15 +37,11 @@ def _word_hashes(words: list[str], memory: dict[str, int]):
 
     if len(memory) > 500_000:
         memory.clear()
-    digest = xxhash.xxh64_intdigest
-    try:
-        found = [memory[w] for w in words]
-    except KeyError:
-        for w in set(words):
-            if w not in memory:
-                memory[w] = digest(w)
-        found = [memory[w] for w in words]
-    return np.array(found, np.uint64)
+    missing = [w for w in set(words) if w not in memory]
+    if missing:
+        digest = xxhash.xxh64_intdigest
+        memory.update((w, digest(w) >> 1) for w in missing)
+    return np.fromiter(map(memory.__getitem__, words), np.int64, len(words)).astype(np.uint64)
 
 
 def _mixed(x):
@@ -149,39 +145,40 @@ def _located(left, right):
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("doc", pa.int64()), ("h", pa.int64()), ("first", pa.int32()), ("text", pa.string())])
     memory: dict[str, int] = {}
     automaton = ahocorasick.Automaton()
+    documents, seen = [], skipped  # copies, and rows that come again
     if wanted:
-        for value in left.column("text"):  # the words of the wanted phrases
+        for doc, value in zip(left.column("doc").to_pylist(), left.column("text"), strict=True):
             words = WORD.findall(value.as_py())
-            if len(words) >= WINDOW:
-                phrases, places = picked(_word_hashes(words, memory))
-                for place, phrase in zip(places.tolist(), phrases[places].astype(np.int64).tolist(), strict=True):
-                    if phrase in wanted:
-                        automaton.add_word(" " + " ".join(words[place : place + PHRASE]) + " ", 1)
+            if len(words) < WINDOW:
+                continue
+            joined, h = _identity(words)
+            if (doc, h) in seen:
+                continue
+            seen.add((doc, h))
+            hashes = _word_hashes(words, memory)
+            documents.append((doc, h, joined, hashes, np.fromiter(map(len, words), np.int32, len(words))))
+            phrases, places = picked(hashes)
+            for place, phrase in zip(places.tolist(), phrases[places].astype(np.int64).tolist(), strict=True):
+                if phrase in wanted:
+                    automaton.add_word(" " + " ".join(words[place : place + PHRASE]) + " ", 1)
     if not len(automaton):
         return schema.empty_table()
     automaton.make_automaton()
-    out, seen = [], skipped  # copies, and rows that come again
-    for doc, value in zip(left.column("doc").to_pylist(), left.column("text"), strict=True):
-        words = WORD.findall(value.as_py())
-        if len(words) < WINDOW:
-            continue
-        joined, h = _identity(words)
-        if (doc, h) in seen:
-            continue
-        seen.add((doc, h))
+    out = []
+    for doc, h, joined, hashes, lengths in documents:
         ends = np.fromiter((end for end, _ in automaton.iter(f" {joined} ")), np.int64)
         if not len(ends):
             continue
-        after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)  # place of the space after each word
+        after = np.cumsum(lengths.astype(np.int64) + 1)  # place of the space after each word
         last = np.searchsorted(after, ends)
-        room = len(words) - WINDOW + 1
+        room = len(hashes) - WINDOW + 1
         edges = np.zeros(room + 1, np.int64)
         np.add.at(edges, np.clip(last - WINDOW + 1, 0, room), 1)
         np.add.at(edges, np.clip(last - PHRASE + 2, 0, room), -1)
         starts = np.flatnonzero(np.cumsum(edges)[:-1] > 0)
         n = len(starts)
         if n:
-            a, b = windows(_word_hashes(words, memory))
+            a, b = windows(hashes)
             out.append(pa.Table.from_arrays(
                 [pa.array(a[starts].astype(np.int64)), pa.array((b[starts] >> np.uint64(33)).astype(np.int32)),
                  pa.array(np.full(n, doc, np.int64)), pa.array(np.full(n, h, np.int64)), pa.array(starts.astype(np.int32)),
