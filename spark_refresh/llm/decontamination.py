@@ -8,7 +8,7 @@
    (1 - SHARE) of them and one more: the windows that fewest documents have make the
    candidates, so a phrase that many items and documents share does not multiply.
 4. A candidate counts if it holds ``SHARE`` of the item's windows and its slots are consistent:
-   each value in the item stands for one value in the document (for as many as there are
+   nearly each value in the item stands for one value in the document (for as many as there are
    repetitions of the item's windows), which tells re-parameterised questions from chance.
 
 Windows with fewer than ``LITERALS`` words are not counted; an item without any other is
@@ -27,6 +27,7 @@ from .sharding import longs
 
 WINDOW = 5
 SHARE = 0.8
+CONSISTENT = 0.9  # of an item's values
 LITERALS = 3
 MOST_BITS = 20  # the bit map has at most 2^20 bits
 NAME = r"(?<=[\p{L}\p{N},;:%&*#$)'’\"] )\p{Lu}\p{Ll}[\p{L}'’]*"
@@ -114,16 +115,18 @@ def contaminated(
     enough = stored(enough.groupBy("doc_id", "item_id").agg(F.max("share").alias("share")), "enough")
 
     slotted = windows.where(F.exists("values", lambda v: v < "\x04")).select("item_id", "hash", "values")
+    inside = windows.groupBy("item_id", "hash").agg(F.count("*").alias("inside"))
     found = enough.join(hits, "doc_id").select("doc_id", "item_id", "found", F.explode("hits").alias("hit")).select(
-        "doc_id", "item_id", F.col("hit.hash").alias("hash"), F.slice("found", F.col("hit.place") + 1, WINDOW).alias("there"))
+        "doc_id", "item_id", F.col("hit.place").alias("at"), F.col("hit.hash").alias("hash"), F.slice("found", F.col("hit.place") + 1, WINDOW).alias("there"))
     facing = found.join(slotted, ["item_id", "hash"]).select(
-        "doc_id", "item_id", "hash", F.explode(F.arrays_zip(F.col("values"), F.col("there"))).alias("slot")).where(F.col("slot.values") < "\x04")
-    repeats = facing.groupBy("doc_id", "item_id", "hash", F.col("slot.values").alias("value")).agg(F.count("*").alias("times"))
+        "doc_id", "item_id", "hash", "at", F.explode(F.arrays_zip(F.col("values"), F.col("there"))).alias("slot")).where(F.col("slot.values") < "\x04")
+    repeats = facing.groupBy("doc_id", "item_id", "hash", F.col("slot.values").alias("value")).agg(F.count_distinct("at").alias("times"))
+    repeats = repeats.join(inside, ["item_id", "hash"]).withColumn("times", F.ceil(F.col("times") / F.col("inside")))
     most = repeats.groupBy("doc_id", "item_id", "value").agg(F.max("times").alias("times"))
     meant = facing.groupBy("doc_id", "item_id", F.col("slot.values").alias("value")).agg(F.count_distinct(F.lower("slot.there")).alias("kinds"))
     agreed = meant.join(most, ["doc_id", "item_id", "value"]).groupBy("doc_id", "item_id").agg(
         F.count("*").alias("slots"), F.avg((F.col("kinds") <= F.col("times")).cast("double")).alias("consistent"))
     judged = enough.join(agreed, ["doc_id", "item_id"], "left").select(
         "doc_id", "item_id", "share", F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("consistent", F.lit(1.0)).alias("consistent"))
-    return judged.where(F.col("consistent") >= SHARE).select(
+    return judged.where(F.col("consistent") >= CONSISTENT).select(
         F.col("doc_id").cast(df.schema[doc_id].dataType).alias("doc_id"), "item_id", "share", "slots", "consistent")

@@ -24,16 +24,16 @@ from .common import fresh, stored
 ATTEMPTS = 40
 #: Each kind and its pattern, in order of preference.
 KINDS = {
-    "email": r"[\p{L}\p{N}_%+-]+(?:\.[\p{L}\p{N}_%+-]+)*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": r"(?<=(?i:token|secret|password|passwd|api_key|apikey|key) ?[=:] ?[\"'])[\p{L}\p{N}_+/=-]{12,}(?=[\"'])|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{30,}|\bsk-[A-Za-z0-9-]{20,}",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}.-])(?:\d{4}[ -]?){3}\d{4}(?![\p{L}\p{N}]|[.-]\d)",
-    "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4}|\b0\d{2,4}[ /-]\d{3,4}[ -]?\d{3,5})(?![\p{L}\p{N}])",
-    "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
-    "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
-    "name_m": r"(?<=\b(?:Mr|Mr\.|Sir|Herr|Herrn|Monsieur|Señor|Sr\.) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
-    "name_f": r"(?<=\b(?:Mrs|Mrs\.|Ms|Ms\.|Miss|Madam|Frau|Madame|Mme|Señora|Sra\.) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
-    "name": r"(?<=\b(?:Dr|Dr\.|Prof|Prof\.|Professor|Doctor) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
+    "email": r"(?<![\p{L}\p{N}_%+-])[\p{L}\p{N}_%+-]+(?:\.[\p{L}\p{N}_%+-]+)*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "secret": r"(?<=[\"'])(?=[^\s\"']{12})(?<=(?i:token|secret|password|passwd|api_key|apikey|key) ?[=:] ?[\"'])[\p{L}\p{N}_+/=-]{12,}(?=[\"'])|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{30,}|\bsk-[A-Za-z0-9-]{20,}",
+    "iban": r"(?=[A-Z]{2}\d)(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "card": r"(?=\d{4})(?<![\p{L}\p{N}.-])(?:\d{4}[ -]?){3}\d{4}(?![\p{L}\p{N}]|[.-]\d)",
+    "phone": r"(?=[+(\d])(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4}|\b0\d{2,4}[ /-]\d{3,4}[ -]?\d{3,5})(?![\p{L}\p{N}])",
+    "ssn": r"(?=\d{3}-)(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
+    "ip": r"(?=\d{1,3}\.\d)(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
+    "name_m": r"(?<= )(?=\p{Lu})(?<=\b(?:Mr|Mr\.|Sir|Herr|Herrn|Monsieur|Señor|Sr\.) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
+    "name_f": r"(?<= )(?=\p{Lu})(?<=\b(?:Mrs|Mrs\.|Ms|Ms\.|Miss|Madam|Frau|Madame|Mme|Señora|Sra\.) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
+    "name": r"(?<= )(?=\p{Lu})(?<=\b(?:Dr|Dr\.|Prof|Prof\.|Professor|Doctor) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
 }
 #: Syllables of given names by gender and of other names; a surrogate name is made of them.
 ENDINGS = {"name_m": ("on", "us", "or", "im", "ed", "ar", "el", "as"), "name_f": ("a", "ia", "elle", "ina", "ira", "ea", "isa", "ora"), "name": ("in", "en", "is", "an", "yn", "em", "il", "al")}
@@ -41,8 +41,21 @@ SYLLABLES = tuple(c + v for c in "bdfghklmnprstvz" for v in "aeiou") + tuple(c +
 CYRILLIC = tuple(c + v for c in "бвгдзклмнпрст" for v in "аеиоу")
 GREEK = tuple(c + v for c in "βγδζκλμνπρστ" for v in "αειου")
 FOUND = "|".join(f"(?:{p})" for p in KINDS.values())
-#: A text without any of these has no entity; cheaper than the patterns.
-HINT = r"@|\d[\d .\-/()]{5}|\d\.\d|[=:] ?[\"']|_|sk-|AKIA|ASIA|\b(?:Mr|Mrs|Ms|Miss|Sir|Madam|Herrn?|Frau|Monsieur|Madame|Mme|Señora?|Sra?|Dr|Prof|Professor|Doctor)\b"
+#: A text without any of these has no entity; each begins with a set of characters, so that it fails fast.
+HINTS = (
+    r"[0-9@]", r"[=:] ?[\"'][^ \"']{12}",
+    r"(?=[MSHFDP])(?<!\p{L})(?:M(?:rs?|s|iss|adame?|me|onsieur)|S(?:ir|eñora?|ra?)|Herrn?|Frau|Dr|Doctor|Prof(?:essor)?)\.? \p{Lu}",
+)
+MARKS = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "sk-")
+
+
+def may_hold(text: Column) -> Column:
+    hint = F.regexp_like(text, F.lit(HINTS[0]))
+    for mark in MARKS:
+        hint = hint | F.contains(text, F.lit(mark))
+    for pattern in HINTS[1:]:
+        hint = hint | F.regexp_like(text, F.lit(pattern))
+    return F.coalesce(hint, F.lit(False))
 
 
 def kind_of(entity: Column, context: Column) -> Column:
@@ -67,11 +80,15 @@ def checksum_holds(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add) % 10 == 0
 
 
-def _check_digit(digits: Column) -> Column:
-    """The digit that, put in place of the last, makes the number a card's."""
-    tries = F.sequence(F.lit(0), F.lit(9))
-    stem = F.substr(digits, F.lit(1), F.length(digits) - 1)
-    return F.concat(stem, F.get(F.filter(tries, lambda d: checksum_holds(F.concat(stem, d.cast("string")))), F.lit(0)).cast("string"))
+def _with_check_digit(digits: Column) -> Column:
+    """The number with the last digit that makes it a card's; ``digits`` should be a plain column."""
+    def add(total: Column, at: Column) -> Column:
+        digit = F.substr(digits, F.length(digits) - at, F.lit(1)).cast("int")
+        doubled = digit * 2 - F.when(digit > 4, 9).otherwise(0)
+        return total + F.when(at % 2 == 1, doubled).otherwise(digit)
+
+    rest = F.aggregate(F.sequence(F.lit(1), F.length(digits) - 1), F.lit(0), add)
+    return F.concat(F.substr(digits, F.lit(1), F.length(digits) - 1), ((10 - rest % 10) % 10).cast("string"))
 
 
 def canonical(entity: Column, kind: Column) -> Column:
@@ -95,16 +112,20 @@ def _of(choices: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, choices)), index + 1)
 
 
-def _letters(text: Column, stream: Column) -> Column:
+def lettered(text: Column, stream: Column) -> Column:
     """Each digit and letter replaced by one of its class: digit, Latin, Greek or Cyrillic, of the same case."""
     sets = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
             "абвгдежзиклмнопрстуфхцчшщэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ")
     classes = (r"\p{Nd}", r"[\p{IsLatin}&&[^\p{Lu}]]", r"[\p{IsLatin}&&\p{Lu}]", r"[\p{IsGreek}&&\p{L}&&[^\p{Lu}]]", r"[\p{IsGreek}&&\p{Lu}]", r"[\p{IsCyrillic}&&\p{L}&&[^\p{Lu}]]", r"[\p{IsCyrillic}&&\p{Lu}]")
 
     def one(character: Column, at: Column) -> Column:
-        out = F.when(F.lit(False), character)
+        def drawn(members: str) -> Column:
+            return F.substr(F.lit(members), _number(stream, at, len(members)) + 1, F.lit(1))
+
+        out = F.when((character >= "0") & (character <= "9"), drawn(sets[0])).when((character >= "a") & (character <= "z"), drawn(sets[1]))
+        out = out.when((character >= "A") & (character <= "Z"), drawn(sets[2])).when(character <= "~", character)
         for members, wanted in zip(sets, classes, strict=True):
-            out = out.when(F.regexp_like(character, F.lit(wanted)), F.substr(F.lit(members), _number(stream, at, len(members)) + 1, F.lit(1)))
+            out = out.when(F.regexp_like(character, F.lit(wanted)), drawn(members))
         return out.otherwise(character)
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -130,26 +151,18 @@ def stream_of(entity: Column, kind: Column, attempt: Column, key: str) -> Column
     return F.concat(*_draws(F.concat_ws("\x1e", kind, entity), attempt, key, 4))
 
 
-def surrogate(entity: Column, kind: Column, stream: Column) -> Column:
-    """The surrogate of a canonical entity that a stream of hex digits chooses."""
+def surrogate(entity: Column, kind: Column, stream: Column, drawn: Column) -> Column:
+    """The surrogate of a canonical entity, from its stream and its letters and digits as drawn (``lettered``)."""
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: _number(stream, i, F.when(i == 0, 223).otherwise(256)) + F.when(i == 0, 1).otherwise(0)), ".")
-    user, host = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
-    domain = F.concat(_letters(F.regexp_replace(host, r"\.[^.]+$", ""), F.substr(stream, F.lit(65))), F.regexp_extract(host, r"(\.[^.]+)$", 1))
-    email = F.concat(_letters(user, stream), F.lit("@"), domain)
-    code = F.when(kind == "iban", F.concat(F.substr(entity, F.lit(1), F.lit(2)), _letters(F.substr(entity, F.lit(3)), stream)))
-    prefixed = F.regexp_extract(entity, r"^(AKIA|ASIA|gh[pos]_|sk-)", 1)
-    secret = F.concat(prefixed, _hexed(F.substr(entity, F.length(prefixed) + 1), stream))
-    phone = F.when(entity.startswith("+1"), F.concat(F.lit("+1"), _letters(F.substr(entity, F.lit(3)), stream))).otherwise(_letters(entity, stream))
-    return (F.when(kind == "ip", octets).when(kind == "email", email).when(kind == "iban", code).when(kind == "secret", secret).when(kind == "phone", phone)
-            .when(kind == "card", _check_digit(_letters(entity, stream)))
-            .when(kind.startswith("name"), _name(entity, kind, stream)).otherwise(_letters(entity, stream)))
-
-
-def _hexed(text: Column, stream: Column) -> Column:
-    """Hexadecimal text stays hexadecimal; other text keeps its classes."""
-    length = F.length(text)
+    email = F.concat(F.regexp_replace(drawn, r"\.[^.]*$", ""), F.regexp_extract(entity, r"(\.[^.]+)$", 1))
+    prefix = F.regexp_extract(entity, r"^(AKIA|ASIA|gh[pos]_|sk-)", 1)
+    length = F.length(entity)
     tiled = F.substr(F.repeat(stream, F.ceil(length / F.length(stream)).cast("int") + 1), F.lit(1), length)
-    return F.when(F.regexp_like(text, F.lit(r"^[0-9a-f]+$")), tiled).otherwise(_letters(text, stream))
+    secret = F.when(F.regexp_like(entity, F.lit(r"^[0-9a-f]+$")), tiled).otherwise(F.concat(prefix, F.substr(drawn, F.length(prefix) + 1)))
+    phone = F.when(entity.startswith("+1"), F.concat(F.lit("+1"), F.substr(drawn, F.lit(3)))).otherwise(drawn)
+    return (F.when(kind == "ip", octets).when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone)
+            .when(kind == "iban", F.concat(F.left(entity, F.lit(2)), F.substr(drawn, F.lit(3)))).when(kind == "card", _with_check_digit(drawn))
+            .when(kind.startswith("name"), _name(entity, kind, stream)).otherwise(drawn))
 
 
 def regrouped(mention: Column, entity: Column, replacement: Column, kind: Column) -> Column:
@@ -179,7 +192,8 @@ def assigned(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFra
     taken_forms = known.select(F.col("entity").alias("drawn"))
     for attempt in range(attempts):
         streamed = open_.withColumn("stream", stream_of(F.col("entity"), F.col("sort"), F.lit(attempt), key))
-        drawn = streamed.select("entity", "sort", surrogate(F.col("entity"), F.col("kind"), F.col("stream")).alias("drawn"))
+        streamed = streamed.withColumn("letters", lettered(F.col("entity"), F.col("stream")))
+        drawn = stored(streamed.select("entity", "sort", surrogate(F.col("entity"), F.col("kind"), F.col("stream"), F.col("letters")).alias("drawn")), "drawn")
         order = F.struct(F.xxhash64("entity", "sort").alias("x"), "entity", "sort")
         first = drawn.groupBy("drawn").agg(F.min(order).alias("first"))
         free = first.join(taken_forms, "drawn", "left_anti")
@@ -202,14 +216,13 @@ def replace(df: DataFrame, text: str = "text", key: str = "surrogates", counts:
     surrogates, and come back to their text by a row number's place in a stored table.
     """
     names = df.columns
-    flag, found, pieces, row = (fresh(df, x) for x in ("flag", "found", "pieces", "row"))
+    found, pieces, row = (fresh(df, x) for x in ("found", "pieces", "row"))
     body = F.col(f"`{text}`").cast("string")
-    hits = F.when(F.regexp_like(body, F.lit(HINT)), F.regexp_extract_all(body, F.lit(f"({FOUND})"), F.lit(0)))
-    marked = df.withColumn(found, hits)
-    has = F.coalesce(F.size(found), F.lit(0)) > 0
-    plain = marked.where(~has).select(*(F.col(f"`{c}`") for c in names), *([F.lit(0).alias("n_entities")] if counts else []))
+    plain = df.where(~may_hold(body)).select(*(F.col(f"`{c}`") for c in names), *([F.lit(0).alias("n_entities")] if counts else []))
     cut = stored(
-        marked.where(has).withColumn(pieces, F.split(body, FOUND)).withColumn(row, F.monotonically_increasing_id()), "cut")
+        df.where(may_hold(body)).withColumns({
+            found: F.regexp_extract_all(body, F.lit(f"({FOUND})"), F.lit(0)), pieces: F.split(body, FOUND), row: F.monotonically_increasing_id()}),
+        "cut")
     both = F.transform(F.col(found), lambda m, i: F.struct(m.alias("mention"), F.right(F.get(F.col(pieces), i), F.lit(12)).alias("before")))
     each = cut.select(row, F.posexplode(both).alias("at", "both")).select(row, "at", "both.mention", "both.before")
     kinds = each.select(row, "at", "mention", kind_of(F.col("mention"), F.col("before")).alias("kind"))
@@ -222,9 +235,11 @@ def replace(df: DataFrame, text: str = "text", key: str = "surrogates", counts:
     new = typed.join(given, ["entity", "sort"], "left").select(
         row, "at", F.coalesce(replaced, "mention").alias("new"), F.col("surrogate").isNotNull().cast("int").alias("changed"))
     lists = new.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("_new"), F.sum("changed").cast("int").alias("_changed"))
-    joined = cut.join(lists, row)
+    joined = cut.join(lists, row, "left")
     after = F.transform("_new", lambda x: x["new"])
     woven = F.array_join(F.flatten(F.zip_with(F.col(pieces), after, lambda a, b: F.array(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))), "")
-    changed = joined.select(*(woven.alias(text) if c == text else F.col(f"`{c}`") for c in names), *([F.col("_changed").alias("n_entities")] if counts else []))
+    whole = F.when(F.col("_changed") > 0, woven).otherwise(body).alias(text)
+    changed = joined.select(
+        *(whole if c == text else F.col(f"`{c}`") for c in names), *([F.coalesce("_changed", F.lit(0)).alias("n_entities")] if counts else []))
     return plain.unionByName(changed)
 
