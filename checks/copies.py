@@ -527,7 +527,7 @@ EXIT = logs.EXIT_TEXT
 
 LOG_SQL = """
 raw AS (
-    SELECT doc_id, text || chr(10) || CASE doc_id % 5 WHEN 0 THEN 'ExtractorException in pipeline' || chr(10) || '  Syntax error near line ' || doc_id || chr(10)
+    SELECT doc_id, text || chr(10) || CASE doc_id % 5 WHEN 0 THEN 'ExtractorException, code 9' || chr(10) || '  Syntax error: entry ' || doc_id || chr(10)
                                          WHEN 1 THEN 'HiveSQLException: no table' || chr(10) WHEN 2 THEN 'Illegal Parquet type' || chr(10) ELSE '' END
         || CASE doc_id % 7 WHEN 0 THEN '' ELSE '`lake`.`t' || doc_id || '`    ' || (doc_id * 3) || '    ====   00:00:00    ' || chr(10) END
         || CASE doc_id % 4 WHEN 0 THEN 'replicant exited with error code: 1' || chr(10) || 'Resuming'
@@ -548,7 +548,7 @@ def document_logs(spark: SparkSession, folder: str) -> DataFrame:
     text = number.cast("string")
     five, seven, four = number % 5, number % 7, number % 4
     errors = (
-        F.when(five == 0, F.concat(F.lit("ExtractorException in pipeline\n  Syntax error near line "), text, F.lit("\n")))
+        F.when(five == 0, F.concat(F.lit("ExtractorException, code 9\n  Syntax error: entry "), text, F.lit("\n")))
         .when(five == 1, F.lit("HiveSQLException: no table\n")).when(five == 2, F.lit("Illegal Parquet type\n"))
         .otherwise(F.lit(""))
     )

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .times import utc_wall
+
 # Type codes of the source catalogue.
 TIME_CODES = ("TS", "SZ", "MI", "DM", "HM", "HS", "AT", "TZ")
 DATE_CODE = "DA"
@@ -31,11 +33,7 @@ SOURCE_TYPE_NAME = {
     "binary": "BINARY",
 }
 
-# Digits of a number whose own are unknown and which is not a decimal
-# in the target either.
-DEFAULT_DECIMAL = T.DecimalType(38, 10)
-
-TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+ZONED_TEXT = r"(?i)(?:Z|UTC|GMT|[+-]\d{1,2}(?::?\d{2})?|[a-z]+/[a-z_/+-]+\d*)$"
 
 
 def declared_length(column_format: str) -> int:
@@ -54,15 +52,13 @@ def text_of_length(c: Column, length: int) -> Column:
 def time_text(c: Column, length: int, kind: T.DataType | None = None) -> Column:
     """Time, timestamp or interval as text of at most ``length`` characters.
 
-    Timestamps are written with six decimals. NTZ values are cast to text, which needs
-    no zone, and padded.
+    Timestamps are written with six decimals: NTZ values as they are, others as the wall
+    clock of UTC, which has no hour twice. Neither depends on the session zone.
     """
-    if isinstance(kind, T.TimestampNTZType):
-        shown = c.cast("string")
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        shown = (c if isinstance(kind, T.TimestampNTZType) else utc_wall(c)).cast("string")
         whole = F.substring(shown, 1, 19)
         text = F.concat(whole, F.lit("."), F.rpad(F.substring(shown, 21, 6), 6, "0"))
-    elif isinstance(kind, T.TimestampType):
-        text = F.date_format(c, TIMESTAMP_TEXT)
     else:
         text = c.cast("string")
     return F.substring(text, 1, length)
@@ -109,7 +105,8 @@ def staged_column(
     elif code == DATE_CODE:
         staged = date_text(c)
     elif code in CHARACTER_CODES:
-        staged = text_of_length(c, declared_length(entry["ColumnFormat"]))
+        unbounded = not str(entry["ColumnFormat"] or "").strip() and int(entry["ColumnLength"]) < 0
+        staged = c.cast("string") if unbounded else text_of_length(c, declared_length(entry["ColumnFormat"]))
     elif code in NUMBER_CODES:
         precision, scale = int(entry["DecimalTotalDigits"]), int(entry["DecimalFractionalDigits"])
         if precision >= 0 and scale >= 0:
@@ -134,20 +131,38 @@ def source_projection(
     return [staged_column(e, types, kinds.get(e["ColumnName"])) for e in catalogue]
 
 
-def target_casts(target: T.StructType | Iterable[tuple[str, str]]) -> list[Column]:
+def _staged_value(name: str, target: str, staged: T.StructType | None) -> Column:
+    """A staged column as it is cast: times staged as text, and NTZ times, are read in UTC
+    where the target is an instant."""
+    c = F.col(f"`{name}`")
+    kind = staged[name].dataType if staged and name in staged.names else None
+    if target.strip().lower() != "timestamp" or not isinstance(kind, (T.StringType, T.TimestampNTZType)):
+        return c
+    text = F.trim(c.cast("string"))
+    whole = F.when(F.length(text) <= 10, F.concat(text, F.lit(" 00:00:00"))).otherwise(text)
+    return F.when(text.rlike(ZONED_TEXT) & (F.length(text) > 10), text).otherwise(F.concat(whole, F.lit("Z")))
+
+
+def target_casts(
+    target: T.StructType | Iterable[tuple[str, str]], staged: T.StructType | None = None
+) -> list[Column]:
     """The select list of a typed load: every target column, by name."""
-    return [F.col(f"`{n}`").cast(t).alias(n) for n, t in target_types(target).items()]
+    return [_staged_value(n, t, staged).cast(t).alias(n) for n, t in target_types(target).items()]
 
 
-def tried_casts(target: T.StructType | Iterable[tuple[str, str]]) -> list[Column]:
+def tried_casts(
+    target: T.StructType | Iterable[tuple[str, str]], staged: T.StructType | None = None
+) -> list[Column]:
     """Like :func:`target_casts`, but NULL where a value does not fit the type."""
-    return [F.col(f"`{n}`").try_cast(t).alias(n) for n, t in target_types(target).items()]
+    return [_staged_value(n, t, staged).try_cast(t).alias(n) for n, t in target_types(target).items()]
 
 
-def has_misfit(target: T.StructType | Iterable[tuple[str, str]]) -> Column:
+def has_misfit(
+    target: T.StructType | Iterable[tuple[str, str]], staged: T.StructType | None = None
+) -> Column:
     """True where a value is lost by the cast to its target type."""
     found = F.lit(False)
     for n, t in target_types(target).items():
-        c = F.col(f"`{n}`")
+        c = _staged_value(n, t, staged)
         found = found | (c.isNotNull() & c.try_cast(t).isNull())
     return found

@@ -33,8 +33,8 @@ def last_part(c: Column) -> Column:
 
 
 def without_catalog(c: Column) -> Column:
-    """``catalog.schema.table`` to ``schema.table``."""
-    return F.array_join(F.slice(name_parts(c), 2, 1_000), ".")
+    """``catalog.schema.table`` to ``schema.table``; a name without a dot stays as it is."""
+    return F.substring(c, F.instr(c, ".") + 1, F.length(c))
 
 
 def short_id(table: Column) -> Column:

@@ -7,6 +7,7 @@ cast to text, both of which Spark does without a zone.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,6 +49,22 @@ def seconds_to_wall(seconds: Column) -> Column:
     return plus_seconds(wall("1970-01-01 00:00:00"), seconds)
 
 
+def utc_wall(c: Column) -> Column:
+    """The wall clock of UTC at an instant, to the microsecond, whatever the session zone is."""
+    return wall("1970-01-01 00:00:00") + F.unix_micros(c) * F.lit(timedelta(microseconds=1))
+
+
+def zone_wall(c: Column, zone: str = ZONE) -> Column:
+    """The wall clock of ``zone`` at an instant."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall(c))
+
+
+def instant(value: datetime | str, zone: str = ZONE) -> Column:
+    """The instant at which the clock of ``zone`` shows a time; a literal, so filters push down."""
+    shown = value if isinstance(value, datetime) else datetime.fromisoformat(value)
+    return F.lit(shown.replace(tzinfo=ZoneInfo(zone)))
+
+
 def drop_fraction(c: Column) -> Column:
     """The time without its fraction of a second."""
     return seconds_to_wall(wall_seconds(c))

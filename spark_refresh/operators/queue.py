@@ -85,6 +85,8 @@ def upsert(queue: DataFrame, incoming: DataFrame, order: Sequence[str]) -> DataF
     its time as the latest event. A running one is left as it is.
     """
     merged = queue.join(combine_incoming(incoming, order), "source_table", "full_outer")
+    stop = F.raise_error(F.lit("incoming rows must be queued")).cast("boolean")
+    merged = merged.filter(F.when(F.coalesce("wrong", F.lit(False)), stop).otherwise(True))
     is_new, is_queued = F.col("status").isNull(), F.col("status") == QUEUED
     got, repeated = F.col("n").isNotNull(), F.col("n") > 1
 
@@ -94,9 +96,6 @@ def upsert(queue: DataFrame, incoming: DataFrame, order: Sequence[str]) -> DataF
             return F.when((is_new & repeated) | (is_queued & got), F.col("last.priority")).otherwise(kept)
         if name == "event_time_latest":
             return F.when((is_new & repeated) | (is_queued & got), F.col("last.event_time")).otherwise(kept)
-        if name == "status":
-            message = F.lit("incoming rows must be queued")
-            return F.when(F.col("wrong"), F.raise_error(message).cast("string")).otherwise(kept)
         return kept
 
     names = [n for n in QUEUE.names if n != "source_table"]

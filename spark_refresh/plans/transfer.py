@@ -49,17 +49,21 @@ class Stage:
     rows: int
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores, if they come in fewer partitions than there are cores, as
-    from one connection or a file of a few splits.
+# Endings of files that their readers cannot split.
+UNSPLITTABLE = (".gz", ".deflate", ".xz", ".zst", ".lz4", ".snappy")
+COLUMNAR = (".parquet", ".orc", ".avro")
 
-    A large source is left as it is, without a shuffle, and so is a file that makes up a
-    single split: it is too small to gain from it.
+
+def spread(df: DataFrame, unsplit: bool | None = None) -> DataFrame:
+    """The rows over all cores where their reader cannot split them.
+
+    ``unsplit`` says so, as for one connection; else the names of the files tell. Whatever
+    can be split is left as it is: no shuffle, and nothing is run to find out.
     """
-    cores, found = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-    if found >= cores or (found == 1 and df.inputFiles()):
-        return df
-    return df.repartition(cores)
+    if unsplit is None:
+        files = df.inputFiles()
+        unsplit = any(f.endswith(UNSPLITTABLE) and not any(c in f for c in COLUMNAR) for f in files)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if unsplit else df
 
 
 def export(
@@ -103,7 +107,7 @@ def exported_rows(file_counts: DataFrame) -> DataFrame:
 
 def typed(df: DataFrame, target: T.StructType | Iterable[tuple[str, str]]) -> DataFrame:
     """Staged rows with the columns and types of the target."""
-    return df.select(*target_casts(target))
+    return df.select(*target_casts(target, df.schema))
 
 
 def load_with_quarantine(
@@ -111,10 +115,10 @@ def load_with_quarantine(
 ) -> None:
     """Write rows with their target types; rows with a value that does not fit are kept
     aside as they came. One pass writes both, told apart by the ``quarantined`` folder."""
-    misfit = has_misfit(target)
+    misfit = has_misfit(target, df.schema)
     raw = F.when(misfit, F.to_json(F.struct(*df.columns)))
     (
-        df.select(*tried_casts(target), raw.alias("raw_row"), misfit.alias("quarantined"))
+        df.select(*tried_casts(target, df.schema), raw.alias("raw_row"), misfit.alias("quarantined"))
         .write.option("maxRecordsPerFile", APPLY_ROWS)
         .partitionBy("quarantined")
         .parquet(folder)
@@ -194,11 +198,14 @@ def copy_to_catalog(
     rows = typed(staged(spark, stage.folder), types)
     named = spark.table(table).columns
     rows = rows.select(*(F.col(n) if n in rows.columns else F.lit(None).alias(n) for n in named))
-    before = spark.table(table).count() if where and validate_counts else 0
-    rows.write.insertInto(table, overwrite=not where)
+    # the typed rows are complete and counted before the target is touched
+    loaded = f"{stage_folder}-typed"
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(loaded)
     if validate_counts:
-        spark.catalog.refreshTable(table)
-        check_counts(stage.rows, spark.table(table).count() - before)
+        check_counts(stage.rows, seen.get["rows"])
+    spark.read.schema(rows.schema).parquet(loaded).write.insertInto(table, overwrite=not where)
+    spark.catalog.refreshTable(table)
     return stage.rows
 
 

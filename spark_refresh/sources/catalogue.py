@@ -30,6 +30,7 @@ CATALOGUE = T.StructType([
 ])
 
 TIMESTAMP_LENGTH = 26
+UNBOUNDED = -1
 
 
 def source_columns(
@@ -39,7 +40,8 @@ def source_columns(
 ) -> list[dict]:
     """Catalogue rows of a table Spark reads.
 
-    ``lengths`` declares character lengths. ``numbers`` declares digits of number
+    ``lengths`` declares character lengths; text without one is unbounded (length -1, no
+    format) and copied as it is. ``numbers`` declares digits of number
     columns; (-1, -1) stands for a number without declared digits.
     """
     lengths, numbers = lengths or {}, numbers or {}
@@ -52,8 +54,8 @@ def source_columns(
         elif isinstance(field.dataType, T.DecimalType):
             digits = (field.dataType.precision, field.dataType.scale)
         elif code == "CF":
-            length = lengths.get(field.name, 64_000)
-            shape = f"X({length})"
+            length = lengths.get(field.name, UNBOUNDED)
+            shape = f"X({length})" if length != UNBOUNDED else ""
         elif code == "TS":
             length = TIMESTAMP_LENGTH
         rows.append(dict(zip(CATALOGUE.names, (field.name, code, length, shape, *digits))))

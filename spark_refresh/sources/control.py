@@ -110,11 +110,12 @@ def parse_manifest(
     parts = lines.withColumn("line", stripped(F.col("line"))).withColumn(
         "fields", F.split("line", ",")
     )
+    # a filter, as the check must hold whatever columns are taken from the result
+    parts = parts.filter(or_stop(F.lit(True), manifest_problem(F.col("fields")), F.col("line"), "boolean"))
     source = F.get("fields", F.lit(0))
     target = F.coalesce(F.nullif(F.get("fields", F.lit(1)), F.lit("")), source)
-    problem = manifest_problem(F.col("fields"))
     return parts.select(
-        or_stop(source, problem, F.col("line"), "string").alias("source"),
+        source.alias("source"),
         F.concat_ws(".", F.lit(catalog), target).alias("target"),
         F.get("fields", F.lit(2)).alias("strategy"),
         F.coalesce(parse_bool(F.get("fields", F.lit(3))), F.lit(lock_rows_default)).alias("lock_rows"),

@@ -22,7 +22,7 @@ from ..operators.queue import claim, finish, ignored_events, last_load_time, req
 from ..plans.refresh import refresh_cycle
 from ..schemas import HISTORY, QUEUE
 from ..sources.snapshots import Snapshots
-from ..sources.tracking import tracking_scan
+from ..sources.tracking import event_wall, tracking_scan
 
 # Fixed value: seconds between two looks at the tracking table.
 CADENCE = "120 seconds"
@@ -65,9 +65,10 @@ def tracking_stream(
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    events = reader.parquet(path).select(
+    raw = reader.parquet(path)
+    events = raw.select(
         source_table.alias("source_table"),
-        drop_fraction(F.col(event_time).cast("timestamp_ntz")).alias("event_time"),
+        drop_fraction(event_wall(raw, event_time)).alias("event_time"),
     )
     if heartbeat:
         none = [F.lit(None).cast(t).alias(n) for n, t in events.dtypes]

@@ -81,18 +81,21 @@ def test_table_with_most_events_is_split(spark, join):
             spark.conf.unset(key)
 
 
-def test_only_a_source_in_few_pieces_is_spread(spark, tmp_path):
+def test_only_what_cannot_be_split_is_spread(spark, tmp_path):
     from spark_refresh.plans.transfer import spread
 
     cores = spark.sparkContext.defaultParallelism
     one_file = spark.read.parquet(f"{SMALL}/lineitem.parquet")
     spark.range(1000, numPartitions=2 * cores).write.parquet(str(tmp_path / "many"))
-    for df, shuffled in (
-        (spark.range(1000, numPartitions=1), True), (spark.range(1000, numPartitions=cores), False),
-        (one_file, False), (spark.read.parquet(str(tmp_path / "many")), False),
+    spark.range(1000, numPartitions=2).write.parquet(str(tmp_path / "two"))
+    spark.range(1000).select(F.col("id").cast("string")).coalesce(1).write.option("compression", "gzip").text(str(tmp_path / "packed"))
+    for df, unsplit, shuffled in (
+        (spark.range(1000, numPartitions=1), True, True), (spark.range(1000, numPartitions=cores), None, False),
+        (one_file, None, False), (spark.read.parquet(str(tmp_path / "many")), None, False), (spark.read.parquet(str(tmp_path / "two")), None, False),
+        (spark.read.text(str(tmp_path / "packed")), None, True), (spark.read.text(str(tmp_path / "packed")), False, False),
     ):
-        assert ("RoundRobin" in plan(spread(df))) is shuffled
-        assert spread(df).count() == df.count()
+        assert ("RoundRobin" in plan(spread(df, unsplit))) is shuffled
+        assert spread(df, unsplit).count() == df.count()
 
 
 def test_events_are_combined_before_the_shuffle(spark):

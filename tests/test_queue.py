@@ -15,39 +15,46 @@ ORDER = ("event_time", "lock_rows", "target_table")
 ASOF = t("2025-02-01")
 
 
-# -- carried-over cases
+# -- transitions
 
 
-def test_claim_by_strategy(spark):
+def test_claim_takes_the_most_urgent_of_a_strategy_with_slots(spark):
     q = queue_frame(
         spark,
-        queue_row("source1", strategy="strategy_a", priority=5),
-        queue_row("source2", strategy="strategy_b", priority=8, time=t("2025-01-02"), lock_rows=False),
-        queue_row("source3", strategy="strategy_b", priority=2, time=t("2025-01-03")),
+        queue_row("fin.ledger", strategy="TPT", priority=900),
+        queue_row("fin.rates", strategy="WriteNOS", priority=30, time=t("2024-11-05 10:00:00")),
+        queue_row("fin.books", strategy="WriteNOS", priority=31, time=t("2024-11-06 11:30:00"), lock_rows=False),
     )
-    claim = queue.claim(q, history_frame(spark), ASOF, {"strategy_b": 1})
-    row = claim.claimed.collect()
-    assert [(r.source_table, r.target_table, r.lock_rows, r.event_time) for r in row] == [
-        ("source2", "lake.source2", False, t("2025-01-02"))
-    ]
+    claim = queue.claim(q, history_frame(spark), ASOF, {"WriteNOS": 1})
+    (row,) = claim.claimed.collect()
+    assert (row.source_table, row.lock_rows, row.event_time) == ("fin.books", False, t("2024-11-06 11:30:00"))
     after = by_key(claim.queue)
-    assert after["source2"].status == "R" and after["source2"].trigger_time == ASOF
-    assert after["source1"].status == after["source3"].status == "Q"
-    assert [(r.source_table, r.status, r.trigger_time) for r in claim.history.collect()] == [("source2", "RUNNING", ASOF)]
+    assert {n: r.status for n, r in after.items()} == {"fin.ledger": "Q", "fin.rates": "Q", "fin.books": "R"}
+    assert after["fin.books"].trigger_time == ASOF
+    (started,) = claim.history.collect()
+    assert (started.source_table, started.status, started.trigger_time) == ("fin.books", "RUNNING", ASOF)
 
 
-def test_upsert_updates_and_inserts(spark):
-    q = queue_frame(spark, queue_row("A", priority=1))
-    new = queue_frame(spark, queue_row("A", priority=10), queue_row("B", priority=99, time=t("2025-01-02")))
+def test_upsert_of_a_known_and_a_new_table(spark):
+    q = queue_frame(spark, queue_row("hr.shift", priority=44))
+    later = t("2025-01-09 07:00:00")
+    new = queue_frame(spark, queue_row("hr.shift", priority=17), queue_row("hr.leave", priority=3, time=later))
     after = by_key(queue.upsert(q, new, ORDER))
-    assert (after["A"].priority, after["B"].priority) == (10, 99)
-    assert after["A"].event_time_latest == DAY and after["B"].event_time_latest is None
+    assert (after["hr.shift"].priority, after["hr.shift"].event_time_latest) == (17, DAY)
+    assert (after["hr.leave"].priority, after["hr.leave"].event_time, after["hr.leave"].event_time_latest) == (3, later, None)
 
 
-def test_queued_rows_only(spark):
-    q = queue_frame(spark, queue_row("s1"), queue_row("s2", status="F"), queue_row("s3"))
-    assert sorted(by_key(queue.in_queue(q))) == ["s1", "s3"]
-    assert queue.queue_length(q).first()[0] == 2
+@pytest.mark.parametrize("column", ["priority", "strategy", "event_time", None])
+def test_upsert_stops_at_rows_that_are_not_queued(spark, column):
+    after = queue.upsert(queue_frame(spark), queue_frame(spark, queue_row("hr.shift", status="R")), ORDER)
+    with pytest.raises(Exception, match="must be queued"):
+        after.select(column).collect() if column else after.count()
+
+
+def test_only_queued_rows_wait(spark):
+    q = queue_frame(spark, *(queue_row(f"w{i}", status="QRFQQ"[i]) for i in range(5)))
+    assert sorted(by_key(queue.in_queue(q))) == ["w0", "w3", "w4"]
+    assert queue.queue_length(q).first()[0] == 3
 
 
 def finished(spark, *rows):
@@ -56,23 +63,24 @@ def finished(spark, *rows):
     return spark.createDataFrame(list(rows), schema)
 
 
-def test_finish(spark):
-    q = queue_frame(spark, queue_row("Z", status="R"), queue_row("Y", status="Q"))
-    h = history_frame(spark, history_row("Z"), history_row("Z", status="FAILED", time=t("2024-12-31")))
-    end = t("2025-01-01 00:02:30")
-    state = queue.finish(q, h, finished(spark, ("Z", DAY, "SUCCESS", end, 2.5, 999, ""), ("Y", DAY, "SUCCESS", end, 1.0, 1, "")))
-    assert list(by_key(state.queue)) == ["Y"]
+def test_finish_closes_running_rows_only(spark):
+    older = t("2024-10-10 04:00:00")
+    q = queue_frame(spark, queue_row("hr.shift", status="R"), queue_row("hr.leave"))
+    h = history_frame(spark, history_row("hr.shift"), history_row("hr.shift", status="FAILED", time=older))
+    end = t("2025-01-01 01:15:00")
+    state = queue.finish(q, h, finished(spark, ("hr.shift", DAY, "SUCCESS", end, 75.0, 41_207, ""), ("hr.leave", DAY, "SUCCESS", end, 9.0, 8, "")))
+    assert list(by_key(state.queue)) == ["hr.leave"]
     rows = {r.event_time: r for r in state.history.collect()}
-    done = rows[DAY]
-    assert (done.status, done.finish_time, done.duration_min, done.num_records) == ("SUCCESS", end, 2.5, 999)
-    assert rows[t("2024-12-31")].status == "FAILED" and len(rows) == 2
+    assert set(rows) == {DAY, older} and rows[older].status == "FAILED"
+    assert rows[DAY].status == "SUCCESS" and rows[DAY].finish_time == end
+    assert (rows[DAY].duration_min, rows[DAY].num_records) == (75.0, 41_207)
 
 
-def test_high_watermark(spark):
-    first = queue_frame(spark, queue_row("A", time=t("2025-01-01 00:00:01")), queue_row("B", time=t("2025-01-02 00:00:01")))
-    again = queue_frame(spark, queue_row("A", time=t("2025-01-03 00:00:01")))
-    q = queue.upsert(queue.upsert(queue_frame(spark), first, ORDER), again, ORDER)
-    assert queue.last_load_time(q, history_frame(spark)).first()[0] == t("2025-01-03 00:00:01")
+def test_watermark_follows_the_latest_event(spark):
+    one = queue_frame(spark, queue_row("hr.shift", time=t("2024-12-24 06:00:00")), queue_row("fin.books", time=t("2024-12-26 19:20:00")))
+    two = queue_frame(spark, queue_row("hr.shift", time=t("2024-12-31 22:10:05")))
+    q = queue.upsert(queue.upsert(queue_frame(spark), one, ORDER), two, ORDER)
+    assert queue.last_load_time(q, history_frame(spark)).first()[0] == t("2024-12-31 22:10:05")
 
 
 def test_watermark_of_empty_state(spark):
@@ -81,7 +89,7 @@ def test_watermark_of_empty_state(spark):
     assert queue.watermark(*empty, "2025-01-01 00:00:00").first()[0] == DAY
 
 
-# -- rules without a carried-over case
+# -- further rules
 
 
 def test_running_table_ignores_events(spark):
