@@ -628,3 +628,43 @@ def load_outcome(spark: SparkSession, folder: str) -> DataFrame:
     return run.select(
         "o_orderkey", logs.load_status(*facts).alias("status"), logs.load_message(*facts).alias("message")
     )
+
+
+# -- copies that must lose nothing
+
+
+@query("""
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(length(text)) AS BIGINT) AS total, CAST(max(length(text)) AS BIGINT) AS longest,
+       'SUCCESS' AS status
+FROM documents
+""")
+def copy_long_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Text without a declared length is copied whole."""
+    schema = struct(doc_id=LONG, text=TEXT)
+    target = transfer.target_folder(spark, fresh_folder(spark, "target"), schema)
+    run = transfer.reload_table(
+        spark, "crawl.documents", "TPT", lambda: fx.table(spark, folder, "documents").select("doc_id", "text"), target
+    )
+    return target.read("data").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("text")).alias("total"),
+        F.max(F.length("text")).cast("bigint").alias("longest"),
+        F.lit(run["status"]).alias("status"),
+    )
+
+
+# Within the hour that the clocks of New York show twice in 2024, and around it.
+TWICE = 1_730_606_400
+
+
+@query(f"""
+SELECT o_orderkey, CAST({TWICE} + o_orderkey % 14400 AS BIGINT) * 1000000 + o_custkey % 1000000 AS micros
+FROM orders
+""")
+def copy_timestamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Instants come out of a copy as they went in, also where a clock shows them twice."""
+    micros = (F.lit(TWICE) + F.col("o_orderkey") % 14_400).cast("bigint") * 1_000_000 + F.col("o_custkey") % 1_000_000
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", F.timestamp_micros(micros).alias("loaded"))
+    target = transfer.target_folder(spark, fresh_folder(spark, "target"), struct(o_orderkey=LONG, loaded=T.TimestampType()))
+    transfer.copy_table(orders, target, fresh_folder(spark, "stage"))
+    return target.read("data").select("o_orderkey", F.unix_micros("loaded").alias("micros"))

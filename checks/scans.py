@@ -449,3 +449,11 @@ GROUP BY n_name, o_orderstatus"""
 def sql_passthrough(spark: SparkSession, folder: str) -> DataFrame:
     views = {n: fx.table(spark, folder, n) for n in ("orders", "customer", "nation")}
     return catalogue.run_sql(spark, PASSTHROUGH, views)
+
+
+@query(f"WITH {fx.TRACKER} , {fx.RECENT} SELECT source_table, event_time, event_id FROM recent")
+def tracking_scan_zoned(spark: SparkSession, folder: str) -> DataFrame:
+    """Events stored as instants are shown on the clock of the tracking zone, whatever the session zone is."""
+    events = fx.table(spark, folder, "events")
+    stored = events.withColumn("ts", F.timestamp_seconds(times.to_epoch(F.col("ts"))))
+    return tracking.tracking_scan(stored, fx.source_table(), "ts", fx.WATERMARK, fx.ASOF, "event_id")

@@ -28,8 +28,8 @@ def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata"])
-@pytest.mark.parametrize("name", ["ts_to_epoch", "epoch_to_ts", "validate_ts", "run_report", "priority_score", "tracking_scan"])
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata", "America/New_York"])
+@pytest.mark.parametrize("name", ["ts_to_epoch", "epoch_to_ts", "validate_ts", "run_report", "priority_score", "tracking_scan", "tracking_scan_zoned", "copy_timestamps"])
 def test_session_zone_does_not_matter(spark, con, name, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
