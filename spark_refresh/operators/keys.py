@@ -13,8 +13,9 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def require_unique(df: DataFrame, *keys: str) -> None:
-    """Stop if a key occurs twice; shows up to five of them."""
-    found = duplicate_keys(df, *keys).limit(5).collect()
+    """Stop if a key occurs twice; says how many do and shows up to five of them."""
+    twice = duplicate_keys(df, *keys)
+    found = twice.limit(5).collect()
     if found:
         shown = ", ".join(str(tuple(row[k] for k in keys)) for row in found)
-        raise ValueError(f"duplicate {keys}: {shown}")
+        raise ValueError(f"{twice.count()} duplicate {keys}: {shown}")

@@ -131,8 +131,10 @@ def batch_reload(
             if len(buffer) >= REPORT_ROWS:
                 flush()
 
-        _work_off(spark, queue.filter(F.col("strategy") == strategy), strategy, count, load, done)
-        flush()
+        try:
+            _work_off(spark, queue.filter(F.col("strategy") == strategy), strategy, count, load, done)
+        finally:  # what has finished is reported, also if the queue cannot be read on
+            flush()
 
     errors: list[BaseException] = []
 

@@ -168,17 +168,12 @@ def copy_table(
     rows = typed(staged(spark, stage.folder), schema)
     per_file = records_per_file(schema)
 
-    if where:
-        before = target.read("data").count() if validate_counts else 0
-        target.append("data", rows, per_file)
-        if validate_counts:
-            check_counts(stage.rows, target.read("data").count() - before)
-    else:
-        version = target.prepare({"data": rows}, per_file)
-        if validate_counts:
-            path = target.table_path("data", version)
-            check_counts(stage.rows, spark.read.schema(schema).parquet(path).count())
-        target.commit(version)
+    # what is loaded counts only once its rows were counted, as a new table or a part of it
+    version = target.prepare({"data": rows}, per_file)
+    if validate_counts:
+        path = target.table_path("data", version)
+        check_counts(stage.rows, spark.read.schema(schema).parquet(path).count())
+    target.commit(version, append=bool(where))
     return stage.rows
 
 

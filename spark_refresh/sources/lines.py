@@ -48,10 +48,15 @@ def ranked_from_end(
     """Rank rows by a unique whole number, 0 for the last one, without sorting them in
     one task.
 
-    Rows are ranked within ranges of ``width`` numbers, so no range holds more rows than
-    that; only the row counts of the ranges are summed up in one place.
+    Rows are ranked within ranges of about ``width`` rows, however far apart their numbers
+    are: the bounds are approximate quantiles. Only the row counts of the ranges are summed
+    up in one place.
     """
-    piece = F.floor(F.col(order) / width)
+    pieces = -(-df.count() // width)
+    shares = [i / pieces for i in range(1, pieces)]
+    bounds = df.agg(F.percentile_approx(order, shares, 100 * pieces)).first()[0] if shares else []
+    above = [F.col(order) > b for b in sorted(set(bounds))]
+    piece = sum((a.cast("long") for a in above), F.lit(0).cast("long"))
     after = Window.orderBy(F.desc("piece")).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         df.groupBy(piece.alias("piece"))

@@ -2,7 +2,9 @@
 
 Built-in tables cannot be merged into, so a transition writes the next version of a table
 from the last one. Several tables are committed together by one small file that names the
-version of each; tables that did not change are not written again. There is one writer.
+versions of each; tables that did not change are not written again, and rows that are
+appended are a further version beside the earlier ones. A commit appears by renaming a
+complete file; one that cannot be read is passed over. There is one writer.
 """
 
 from __future__ import annotations
@@ -14,13 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 COMMITS = "_commits"
+KEEP = 6  # a cycle commits three times
 
 
 class Snapshots:
     """Versioned tables below one folder."""
 
-    def __init__(self, spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType]):
+    def __init__(
+        self, spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], keep: int = KEEP
+    ):
+        """``keep`` is the number of commits whose files stay for readers that hold them."""
         self.spark, self.folder, self.schemas = spark, folder.rstrip("/"), dict(schemas)
+        self.keep = max(1, keep)
 
     # -- files, through the file system Spark itself uses
 
@@ -42,27 +49,46 @@ class Snapshots:
     def _name(version: int) -> str:
         return f"v{version:010d}"
 
-    def _commit(self, version: int) -> dict:
+    def _commit(self, version: int) -> dict | None:
+        """What a commit says, None if it cannot be read."""
         stream = self._files().open(self._path(COMMITS, self._name(version)))
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
+        try:
+            entry = json.loads(text)
+        except ValueError:
+            return None
+        return entry if isinstance(entry, dict) and {"tables", "note"} <= set(entry) else None
+
+    def _last(self) -> tuple[int, dict] | None:
+        """The last commit that can be read."""
+        for version in reversed(self._versions(COMMITS)):
+            entry = self._commit(version)
+            if entry is not None:
+                return version, entry
+        return None
 
     # -- reading
 
     @property
     def version(self) -> int | None:
         """The last committed version."""
-        return max(self._versions(COMMITS), default=None)
+        last = self._last()
+        return last[0] if last else None
 
     @property
     def exists(self) -> bool:
         return self.version is not None
 
     def _current(self) -> dict:
-        version = self.version
-        return {"tables": {}, "note": {}} if version is None else self._commit(version)
+        last = self._last()
+        return last[1] if last else {"tables": {}, "note": {}}
+
+    def versions_of(self, name: str) -> list[int]:
+        """The versions that make up a table now: the last full one and what was appended."""
+        return list(self._current()["tables"].get(name, []))
 
     def note(self) -> dict:
         """What was written down with the last commit, for example the stream batch."""
@@ -72,19 +98,18 @@ class Snapshots:
         return f"{self.folder}/{name}/{self._name(version)}"
 
     def read(self, name: str) -> DataFrame:
-        schema, version = self.schemas[name], self._current()["tables"].get(name)
-        if version is None:
+        schema, versions = self.schemas[name], self.versions_of(name)
+        if not versions:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.table_path(name, version))
+        return self.spark.read.schema(schema).parquet(*(self.table_path(name, v) for v in versions))
 
     # -- writing
 
-    def _write(self, name: str, df: DataFrame, version: int, max_records: int, mode: str) -> None:
+    def _write(self, name: str, df: DataFrame, version: int, max_records: int) -> None:
         columns = (df[f.name].cast(f.dataType).alias(f.name) for f in self.schemas[name].fields)
         (
             df.select(*columns)
-            .write.mode(mode)
-            .option("maxRecordsPerFile", max_records)
+            .write.option("maxRecordsPerFile", max_records)
             .parquet(self.table_path(name, version))
         )
 
@@ -93,45 +118,50 @@ class Snapshots:
         used = [v for part in (COMMITS, *self.schemas) for v in self._versions(part)]
         version = max(used, default=0) + 1
         for name, df in tables.items():
-            self._write(name, df, version, max_records, "errorifexists")
+            self._write(name, df, version, max_records)
         return version
 
-    def commit(self, version: int, note: Mapping | None = None, keep: int = 2) -> None:
-        """Make a prepared version the current one; without a note the last one stays.
+    def commit(
+        self, version: int, note: Mapping | None = None, keep: int | None = None, append: bool = False
+    ) -> None:
+        """Make a prepared version the current one, or with ``append`` a part of it; without
+        a note the last one stays.
 
         Versions no longer named by the last ``keep`` commits are removed.
         """
-        files, current = self._files(), self._current()
-        written = {n for n in self.schemas if files.exists(self._path(n, self._name(version)))}
+        files, current, keep = self._files(), self._current(), keep or self.keep
+        written = sorted(n for n in self.schemas if files.exists(self._path(n, self._name(version))))
         entry = {
-            "tables": current["tables"] | dict.fromkeys(sorted(written), version),
+            "tables": current["tables"] | {n: [*(current["tables"].get(n, []) if append else []), version] for n in written},
             "note": current["note"] if note is None else dict(note),
         }
-        out = files.create(self._path(COMMITS, self._name(version)), False)
+        final, draft = (self._path(COMMITS, mark + self._name(version)) for mark in ("", ".new-"))
+        out = files.create(draft, True)
         out.write(bytearray(json.dumps(entry).encode()))
         out.close()
+        if not files.rename(draft, final):
+            raise RuntimeError(f"version {version} was committed by another writer")
 
         commits = self._versions(COMMITS)
-        named = [self._commit(v)["tables"] for v in commits[-keep:]]
+        named = [entry for v in commits[-keep:] if (entry := self._commit(v)) is not None]
         for name in self.schemas:
-            for old in set(self._versions(name)) - {t.get(name) for t in named}:
+            held = {v for entry in named for v in entry["tables"].get(name, [])}
+            for old in set(self._versions(name)) - held:
                 if old < version:
                     files.delete(self._path(name, self._name(old)), True)
         for old in commits[:-keep]:
             files.delete(self._path(COMMITS, self._name(old)), False)
 
     def replace(
-        self, tables: Mapping[str, DataFrame], note: Mapping | None = None, max_records: int = 0
+        self, tables: Mapping[str, DataFrame], note: Mapping | None = None, max_records: int = 0, keep: int | None = None,
     ) -> int:
         version = self.prepare(tables, max_records)
-        self.commit(version, note)
+        self.commit(version, note, keep)
         return version
 
     def append(self, name: str, df: DataFrame, max_records: int = 0) -> None:
-        """Add rows to the current version; Spark's job commit makes them visible at once."""
-        if name not in self._current()["tables"]:
-            self.replace({name: self.spark.createDataFrame([], self.schemas[name])})
-        self._write(name, df, self._current()["tables"][name], max_records, "append")
+        """Add rows as a further version of the table; they count together or not at all."""
+        self.commit(self.prepare({name: df}, max_records), append=True)
 
     def reset(self) -> int:
         """Empty all tables, creating them if they are not there yet."""

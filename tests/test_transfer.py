@@ -225,7 +225,7 @@ def test_uncommitted_version_does_not_count(spark):
 
 
 def test_only_changed_tables_are_written(spark):
-    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET, "b": RUN})
+    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET, "b": RUN}, keep=2)
     s.reset()
     row = spark.createDataFrame([(1, "x", None, None)], TARGET)
     for _ in range(3):
@@ -235,7 +235,7 @@ def test_only_changed_tables_are_written(spark):
 
 
 def test_old_versions_are_dropped(spark):
-    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET})
+    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET}, keep=2)
     for _ in range(5):
         s.reset()
     assert s._versions("a") == [4, 5]
@@ -245,14 +245,76 @@ def test_old_versions_are_dropped(spark):
     assert s._versions("a") == [5, 7]
 
 
+def test_a_commit_that_was_never_filled_is_passed_over(spark):
+    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET})
+    row = spark.createDataFrame([(1, "x", None, None)], TARGET)
+    s.replace({"a": row}, note={"batch": 3})
+    s._files().create(s._path("_commits", s._name(2)), False).close()
+    assert (s.read("a").count(), s.note(), s.version) == (1, {"batch": 3}, 1)
+    s.replace({"a": row.union(row)})
+    assert (s.read("a").count(), s.version) == (2, 3)
+
+
+def test_a_reader_keeps_its_files_over_a_cycle(spark):
+    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET})
+    row = spark.createDataFrame([(1, "x", None, None)], TARGET)
+    s.replace({"a": row})
+    held = s.read("a")
+    for _ in range(4):
+        s.replace({"a": row.union(row)})
+    assert held.count() == 1
+
+
+def test_a_failed_append_leaves_no_rows(spark, source, entries, target, monkeypatch):
+    transfer.copy_table(source, target, fresh_folder(spark, "stage"), catalogue=entries)
+
+    def short(expected, inserted):
+        raise transfer.TransferError("short")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(transfer, "check_counts", short)
+        with pytest.raises(transfer.TransferError):
+            transfer.copy_table(source, target, fresh_folder(spark, "stage"), "id = 2", catalogue=entries)
+    assert target.read("data").count() == 3
+    transfer.copy_table(source, target, fresh_folder(spark, "stage"), "id = 2", catalogue=entries)
+    assert target.read("data").count() == 4
+
+
+def test_a_short_load_leaves_the_catalog_table(spark, source, entries, monkeypatch):
+    name = "catalog_kept"
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, name STRING, price DECIMAL(10,2), day DATE) USING parquet")
+    try:
+        transfer.copy_to_catalog(source, name, fresh_folder(spark, "stage"), catalogue=entries)
+        monkeypatch.setattr(transfer, "check_counts", lambda *_: (_ for _ in ()).throw(transfer.TransferError("short")))
+        with pytest.raises(transfer.TransferError):
+            transfer.copy_to_catalog(source.limit(1), name, fresh_folder(spark, "stage"), catalogue=entries)
+        assert spark.table(name).count() == 3
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_instants_are_copied_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(1_730_613_600,), (1_730_610_000,), (0,), (None,)], "s long").select("s", F.timestamp_seconds("s").alias("at"))
+        target = transfer.target_folder(spark, fresh_folder(spark, "target"), struct(s=T.LongType(), at=T.TimestampType()))
+        assert transfer.reload_table(spark, "x.y", "TPT", lambda: rows, target)["status"] == "SUCCESS"
+        got = target.read("data").select("s", F.unix_seconds("at").alias("t")).collect()
+        assert len(got) == 4 and all(r.s == r.t for r in got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 # -- reports and batches
 
 
 def test_report_line(spark):
-    start = 1742297160.4
+    start = 1720582020.4
     runs = spark.createDataFrame([("s.a", "TPT", "FAILED", start, start + 100, 5, " bad\n")], RUN)
     assert report.run_report(runs).columns == list(report.REPORT_COLUMNS)
-    assert report.run_report(runs).first() == ("s.a", "TPT", "FAILED", "3/18/25 4:26 AM", "3/18/25 4:27 AM", "1.67", 5, "bad")
+    assert report.run_report(runs).first() == ("s.a", "TPT", "FAILED", "7/9/24 8:27 PM", "7/9/24 8:28 PM", "1.67", 5, "bad")
     folder = fresh_folder(spark, "report")
     for _ in range(2):
         report.append_report(runs, folder)
