@@ -53,8 +53,11 @@ def ranked_from_end(
     up in one place.
     """
     pieces = -(-df.count() // width)
+    if pieces <= 1:  # no more than ``width`` rows
+        last_first = Window.orderBy(F.desc(order))
+        return df.withColumn(rank, (F.row_number().over(last_first) - 1).cast("bigint"))
     shares = [i / pieces for i in range(1, pieces)]
-    bounds = df.agg(F.percentile_approx(order, shares, 100 * pieces)).first()[0] if shares else []
+    bounds = df.agg(F.percentile_approx(order, shares, 100 * pieces)).first()[0]
     above = [F.col(order) > b for b in sorted(set(bounds))]
     piece = sum((a.cast("long") for a in above), F.lit(0).cast("long"))
     after = Window.orderBy(F.desc("piece")).rowsBetween(Window.unboundedPreceding, -1)
