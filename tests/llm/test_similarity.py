@@ -43,6 +43,12 @@ def test_alignment_decides_like_the_whole_table(size):
         assert near_duplicates.within(np.array(a, np.uint32), np.array(b, np.uint32)) == want
 
 
+def test_alignment_of_long_texts_of_unlike_lengths():
+    a = np.arange(1000, dtype=np.uint32)
+    for cut in (100, 190, 199, 200, 201, 230):
+        assert near_duplicates.within(a, a[cut:]) == near_duplicates.within(a[:-cut], a) == (cut <= 200)
+
+
 def test_near_copies_meet_and_others_do_not(spark):
     r = random.Random(2)
     rows, group = awkward(), {}
