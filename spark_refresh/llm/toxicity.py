@@ -8,9 +8,9 @@ prose), and turns the difference into a probability with a logistic function fit
 labelled rows that its model has not seen.
 
 Counting, the sums over contexts and the joins of the orders run as Spark jobs over every
-document. The model that scores is a table of fixed size: one sequence for each of ``SLOTS``
-slots, the one most often seen in labelled rows, with a check value; any other counts as
-unseen. The logistic function is fitted on at most ``FITTED`` labelled rows.
+document. So does scoring: the model is a table with every sequence, and each block of
+documents (about ``BLOCK`` characters) is met by the rows of the sequences it holds. The
+logistic function is fitted on at most ``FITTED`` labelled rows.
 
 Null and empty texts have no sequence: their score is that of a difference of 0. Rows with a
 null id are scored and never learned from. Of several labels of one id the largest counts.
@@ -32,8 +32,7 @@ from .common import stored
 ORDER = 6
 BITS = 10  # of a symbol; higher code points are folded
 DISCOUNT = 0.75
-SLOTS, CONTEXTS = 1 << 21, 1 << 19
-CHECK = 0x7FFF  # bits of a check value
+BLOCK = 14_000_000  # characters of text that are scored together; a longer text is a block by itself
 FITTED = 20_000
 BROADCAST_LABELS = 1_000_000  # rows, of 16 bytes; more labels are joined by shuffling
 SHARED = 50.0  # counts by which the shared probability weighs in a class
@@ -49,21 +48,28 @@ def _symbols():
     return known
 
 
-def _keys(text: str, known):
-    """The sequences of ORDER symbols of a text, packed into integers.
-
-    A sequence stays within a word: what is no letter or digit is a gap, and gaps stand for
-    what lies before the start of the word.
-    """
+def _cut(text: str, known):
+    """The symbols of a text, one gap for what is no letter or digit, and where the word of each starts."""
     import numpy as np
 
     codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     symbols = np.where(codes < len(known), known[codes & (len(known) - 1)], 256 + codes % (len(known) - 256))
     gap = symbols == GAP
     symbols = symbols[~(gap & np.concatenate(([True], gap[:-1])))] if len(symbols) else symbols
+    at = np.arange(len(symbols))
+    start = np.concatenate(([0], np.maximum.accumulate(np.where(symbols == GAP, at + 1, 0))[:-1])) if len(symbols) else at
+    return symbols, start
+
+
+def _packed(symbols, start):
+    """The sequence of ORDER symbols that ends at each symbol, packed into an integer.
+
+    A sequence stays within a word: gaps stand for what lies before the start of the word.
+    """
+    import numpy as np
+
     n = len(symbols)
     at = np.arange(n)
-    start = np.concatenate(([0], np.maximum.accumulate(np.where(symbols == GAP, at + 1, 0))[:-1])) if n else at
     padded = np.concatenate((np.full(ORDER - 1, GAP, np.int64), symbols))
     keys = np.zeros(n, np.int64)
     for i in range(ORDER):
@@ -71,6 +77,10 @@ def _keys(text: str, known):
     return keys
 
 
+def _keys(text: str, known):
+    return _packed(*_cut(text, known))
+
+
 def count_sequences(labelled: DataFrame) -> DataFrame:
     """``key``, ``n`` and the four COUNTS from rows (text, kind): kind is a place in COUNTS, or null."""
     import pyarrow as pa
@@ -145,18 +155,16 @@ def shared_probabilities(sequences: DataFrame) -> DataFrame:
     return mixed_level.withColumnRenamed("below", "shared")
 
 
-def _hash(key: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(key), 1)
-
+def log_ratios(sequences: DataFrame, shared: DataFrame, toxic: Column, ordinary: Column) -> DataFrame:
+    """``key`` and ``value``: the logarithm of the ratio of both models, of all sequences that it is not 0 of.
 
-def class_ratios(sequences: DataFrame, shared: DataFrame, toxic: Column, ordinary: Column):
-    """For each sequence seen in a class, and each context, the logarithm of the ratio of both models."""
-    counted = sequences.select("key", toxic.alias("t"), ordinary.alias("o")).where("t + o > 0")
+    A sequence that neither class has seen has the ratio of its context.
+    """
     context = Window.partitionBy("context")
-    seen = counted.withColumn("context", F.shiftright("key", BITS)).select(
+    seen = sequences.select("key", F.shiftright("key", BITS).alias("context"), toxic.alias("t"), ordinary.alias("o")).select(
         "*", *(F.sum(c).over(context).alias(f"{c}_total") for c in "to"),
         *(F.sum((F.col(c) > 0).cast("long")).over(context).alias(f"{c}_kinds") for c in "to"),
-    )
+    ).where("t_total + o_total > 0")
 
     def weight(c: str) -> Column:
         return (DISCOUNT * F.col(f"{c}_kinds") + SHARED) / (F.col(f"{c}_total") + SHARED)
@@ -164,103 +172,143 @@ def class_ratios(sequences: DataFrame, shared: DataFrame, toxic: Column, ordinar
     def logp(c: str) -> Column:
         return F.log(F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / (F.col(f"{c}_total") + SHARED) + weight(c) * F.col("shared"))
 
-    return seen.join(shared, "key").select(
-        "key", "context", (F.col("t") + F.col("o")).alias("n"),
-        (logp("t") - logp("o")).alias("ratio"), (F.log(weight("t")) - F.log(weight("o"))).alias("unseen"))
+    unseen = F.log(weight("t")) - F.log(weight("o"))
+    return seen.join(shared, "key").select("key", F.when(F.col("t") + F.col("o") > 0, logp("t") - logp("o")).otherwise(unseen).alias("value"))
+
 
+def measures(words) -> tuple[float, float]:
+    """Of the log-ratios of a text's words: how far they lie above the median one, and how far beyond one unit above.
 
-def fixed_table(rows: DataFrame, key: str, value: str, n: str, slots: int):
-    """Per slot the value of the key seen most often, with a check of it: (values, checks) as arrays."""
+    The median is what the text's language and kind of prose give, whatever is said in it.
+    """
     import numpy as np
 
-    best = rows.groupBy((F.col("hash") % slots).cast("int").alias("slot")).agg(
-        F.max(F.struct(F.col(n), F.col("hash"), F.col(value).cast("float").alias("value"))).alias("best"))
-    found = best.select("slot", "best.value", F.shiftright("best.hash", 40).bitwiseAND(CHECK).cast("short").alias("check")).toArrow()
-    values, checks = np.zeros(slots, np.float16), np.full(slots, -1, np.int16)
-    at = found.column("slot").to_numpy()
-    values[at], checks[at] = found.column("value").to_numpy(), found.column("check").to_numpy()
-    return values, checks
+    if not len(words):
+        return 0.0, 0.0
+    above = words - np.median(words)
+    return float(above.mean()), float(np.maximum(above - 1, 0).mean())
 
 
-def xxhash64_longs(keys):
-    """What ``F.xxhash64`` gives for longs, of an array."""
+def _mixed(keys):
     import numpy as np
 
-    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
-        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    x = keys.astype(np.uint64)
+    x = (x ^ x >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ x >> np.uint64(32)
 
-    def turned(x, r):
-        return x << np.uint64(r) | x >> np.uint64(64 - r)
 
-    with np.errstate(over="ignore"):
-        h = np.uint64(42) + p5 + np.uint64(8)
-        h = h ^ (turned(keys.astype(np.uint64) * p2, 31) * p1)
-        h = turned(h, 27) * p1 + p4
-        h = (h ^ h >> np.uint64(33)) * p2
-        h = (h ^ h >> np.uint64(29)) * p3
-    return h ^ h >> np.uint64(32)
+def _words(text: str, known):
+    """The symbols of a text, the lengths of its words and a hash of each word."""
+    import numpy as np
 
+    symbols, start = _cut(text, known)
+    first = np.flatnonzero(start == np.arange(len(start)))
+    hashes = np.add.reduceat(_mixed(_packed(symbols, start)), first) if len(first) else np.zeros(0, np.uint64)
+    return symbols.astype(np.uint16), np.diff(np.append(first, len(symbols))).astype(np.uint32), hashes
 
-class Model:
-    """The log-ratio of a text under both classes."""
 
-    def __init__(self, ratios, contexts) -> None:
-        self.ratios, self.contexts, self.known = ratios, contexts, _symbols()
+def _block(rows: list, words: list[tuple]) -> dict:
+    """A block of rows without their texts: words as numbers of distinct words, whose symbols are kept once.
 
-    def _look(self, table, keys):
-        import numpy as np
+    The order of words does not matter, so the numbers of a text are sorted and kept as steps.
+    """
+    import numpy as np
+    import pyarrow as pa
 
-        values, checks = table
-        h = xxhash64_longs(keys) >> np.uint64(1)
-        slot = (h & np.uint64(len(values) - 1)).astype(np.int64)
-        return values[slot], checks[slot] == (h >> np.uint64(40) & np.uint64(CHECK)).astype(np.int16)
+    ends = np.cumsum([len(w[1]) for w in words])
+    symbols, length, hashes = (np.concatenate([w[i] for w in words]) for i in range(3))
+    words.clear()
+    first = np.cumsum(length, dtype=np.int64) - length
+    _, at, number, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(at), np.int32)
+    rank[order] = np.arange(len(at))
+    at, number = at[order], rank[number]
+    steps = [np.diff(np.sort(number[i:j]), prepend=0).astype(np.int32) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+    length = length[at].astype(np.int64)
+    start = np.cumsum(length) - length
+    symbols = symbols[np.repeat(first[at] - start, length) + np.arange(length.sum())]
+    keys = _packed(symbols.astype(np.int64), np.repeat(start, length))
+    table = pa.Table.from_batches(rows).append_column("_words_", pa.array(steps, pa.list_(pa.int32())))
+    return {
+        "rows": _stream(table), "symbols": _stream(pa.table({"symbol": symbols})),
+        "lengths": _stream(pa.table({"length": length.astype(np.uint32)})), "keys": np.unique(keys)}
+
+
+def _stream(table) -> bytes:
+    import pyarrow as pa
 
-    def measures(self, text: str) -> tuple[float, float]:
-        """Per word, how far the log-ratio lies above the median word, and how far beyond one unit above.
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
 
-        The median is what the text's language and kind of prose give, whatever is said in it.
-        """
-        import numpy as np
 
-        keys = _keys(text, self.known)
-        if not len(keys):
-            return 0.0, 0.0
-        value, known = self._look(self.ratios, keys)
-        value = np.where(known, value, 0).astype("f8")
-        missing = np.flatnonzero(~known)
-        if len(missing):
-            unseen, seen = self._look(self.contexts, keys[missing] >> BITS)
-            value[missing] = np.where(seen, unseen, 0)
-        first = np.flatnonzero(np.concatenate(([True], keys[:-1] & ((1 << BITS) - 1) == GAP)))
-        words = np.add.reduceat(value, first)
-        above = words - np.median(words)
-        return float(above.mean()), float(np.maximum(above - 1, 0).mean())
-
-
-def learned(sequences: DataFrame, shared: DataFrame, toxic: Column, ordinary: Column) -> Model:
-    full = stored(class_ratios(sequences, shared, toxic, ordinary), "ratios")
-    ratios = fixed_table(full.withColumn("hash", _hash(F.col("key"))), "key", "ratio", "n", SLOTS)
-    per_context = full.groupBy("context").agg(F.max("unseen").alias("unseen"), F.sum("n").alias("n"))
-    contexts = fixed_table(per_context.withColumn("hash", _hash(F.col("context"))), "context", "unseen", "n", CONTEXTS)
-    return Model(ratios, contexts)
-
-
-def with_measures(df: DataFrame, text: str, keep: list[str], model: Model) -> DataFrame:
+def _blocked(batches: Iterator) -> Iterator:
+    """Rows, whose last column is the text, to blocks of them."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    known = _symbols()
+    number, size = TaskContext.get().partitionId() << 32, 0
+    rows, words = [], []
+
+    def ended():
+        found = _block(rows, words)
+        rows.clear()
+        return pa.RecordBatch.from_arrays([
+            pa.array([number]), *(pa.array([found[c]], pa.binary()) for c in ("rows", "symbols", "lengths")), pa.array([found["keys"]], pa.list_(pa.int64()))],
+            names=["block", "rows", "symbols", "lengths", "keys"])
+
+    for batch in batches:
+        kept = batch.select(range(batch.num_columns - 1))
+        done = 0
+        for i, text in enumerate(batch.column(batch.num_columns - 1)):
+            value = text.as_py() or ""
+            if size and size + len(value) > BLOCK:
+                if i > done:
+                    rows.append(kept.slice(done, i - done))
+                yield ended()
+                number, size, done = number + 1, 0, i
+            size += len(value) + 16
+            words.append(_words(value, known))
+        if batch.num_rows > done:
+            rows.append(kept.slice(done))
+    if words:
+        yield ended()
+
+
+def with_measures(df: DataFrame, text: str, keep: list[str], ratios: DataFrame) -> DataFrame:
     """``keep`` and the two measures ``mean`` and ``beyond`` of each row's whole text."""
     import pyarrow as pa
 
-    kept = df.select(*keep)
-    schema = T.StructType([*kept.schema.fields, T.StructField("mean", T.DoubleType()), T.StructField("beyond", T.DoubleType())])
-    shipped = df.sparkSession.sparkContext.broadcast((model.ratios, model.contexts))
+    source = df.select(*keep, df[text].cast("string").alias("_text_"))
+    kept = source.schema.fields[:-1]
+    blocks = stored(source.mapInArrow(_blocked, "block bigint, rows binary, symbols binary, lengths binary, keys array<bigint>"), "blocks")
+    known = blocks.select(F.col("block").alias("of"), F.explode("keys").alias("key")).join(ratios, "key").select("of", "key", F.col("value").cast("float").alias("value"))
+    schema = T.StructType([*kept, T.StructField("mean", T.DoubleType()), T.StructField("beyond", T.DoubleType())])
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = Model(*shipped.value)
-        for batch in batches:
-            found = [here.measures(v.as_py() or "") for v in batch.column(batch.num_columns - 1)]
-            columns = [pa.array([f[i] for f in found], pa.float64()) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=schema.names)
+    def rate(blocks: pa.Table, known: pa.Table) -> pa.Table:
+        import numpy as np
 
-    return df.select(*keep, df[text].cast("string").alias("_text_")).mapInArrow(rate, schema)
+        rows, symbols, lengths = (pa.ipc.open_stream(blocks.column(c)[0].as_py()).read_all() for c in ("rows", "symbols", "lengths"))
+        length = lengths.column(0).to_numpy().astype(np.int64)
+        start = np.cumsum(length) - length
+        keys = _packed(symbols.column(0).to_numpy().astype(np.int64), np.repeat(start, length))
+        sequences, values = known.column("key").to_numpy(), known.column("value").to_numpy()
+        value = np.zeros(len(keys))
+        if len(sequences):
+            order = np.argsort(sequences)
+            sequences, values = sequences[order], values[order]
+            at = np.minimum(np.searchsorted(sequences, keys), len(sequences) - 1)
+            value = np.where(sequences[at] == keys, values[at], 0.0)
+        words = np.add.reduceat(value, start) if len(start) else value
+        found = [measures(words[np.cumsum(steps.values.to_numpy())]) for steps in rows.column("_words_")]
+        columns = [pa.array([f[i] for f in found], pa.float64()) for i in range(2)]
+        return pa.Table.from_arrays([*rows.columns[:-1], *columns], names=schema.names)
+
+    return blocks.select("block", "rows", "symbols", "lengths").groupBy("block").cogroup(known.groupBy("of")).applyInArrow(rate, schema)
 
 
 def fit_logistic(rows: list[tuple[float, float, int]]) -> list[float]:
@@ -298,13 +346,13 @@ def score(
     sequences = stored(count_sequences(labelled), "sequences")
     shared = stored(shared_probabilities(sequences), "shared")
 
-    part = learned(sequences, shared, F.col("t0"), F.col("o0"))
+    part = log_ratios(sequences, shared, F.col("t0"), F.col("o0"))
     unseen = joined.where((F.col("_remainder") == 3) & F.col("_label").isNotNull())
     rated = with_measures(unseen.select("_doc", "_label", "text"), "text", ["_doc", "_label"], part)
     sample = rated.orderBy(F.xxhash64("_doc")).limit(FITTED).select("mean", "beyond", "_label").collect()
     weights = fit_logistic([(r["mean"], r["beyond"], int(r["_label"] == 1)) for r in sample]) if sample else [-30.0, 0.0, 0.0]
 
-    whole = learned(sequences, shared, F.col("t0") + F.col("t1"), F.col("o0") + F.col("o1"))
+    whole = log_ratios(sequences, shared, F.col("t0") + F.col("t1"), F.col("o0") + F.col("o1"))
     extra = [c for c in keep if c != doc_id]
     source = df.select(*(df[c] for c in extra), df[doc_id].alias("doc_id"), (remainder == 2).alias("held_out"), df[text].cast("string").alias("_body_"))
     rated = with_measures(source, "_body_", [*extra, "doc_id", "held_out"], whole)
