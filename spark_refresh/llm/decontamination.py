@@ -10,11 +10,14 @@
 4. A candidate counts if it holds ``SHARE`` of the item's windows and its slots are consistent:
    nearly each value in the item stands for one value in the document (for as many as there are
    repetitions of the item's windows), which tells re-parameterised questions from chance.
-
-Windows with fewer than ``LITERALS`` words are not counted; an item without any other is
-found only by windows it has, so an item of placeholders alone is never found. An item shorter
-than a window is one window. Null texts and null ids take no part; items of equal text are
-all reported; repeated rows of one id are one document. Empty tables give no rows.
+5. The same search runs with the tokens themselves in place of placeholders, so that an item
+   held as it is counts, whatever share of it are numbers and names.
+
+Whether an item's first word is a name depends on what stands before it, so an item takes part
+both ways. Windows with fewer than ``LITERALS`` words are counted only as they are. An item
+shorter than a window is one window, looked for in windows of its length. Null texts and null
+ids take no part; items of equal text are all reported; repeated rows of one id are one
+document. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -48,20 +51,38 @@ def template(found: Column) -> Column:
     return F.transform(found, lambda t: F.when(t < "\x04", F.left(t, F.lit(1))).otherwise(F.lower(t)))
 
 
-def window_hashes(parts: Column) -> Column:
-    """A hash at each place of a window; of a short text one for all of it."""
+def verbatim(found: Column) -> Column:
+    return F.transform(found, lambda t: F.lower(F.when(t < "\x04", F.substring(t, 2, 1 << 30)).otherwise(t)))
+
+
+def window_hashes(parts: Column, lengths: list[int]) -> Column:
+    """``place`` and ``hash`` of each window of each of the lengths."""
     n = F.size(parts)
-    places = F.when(n >= WINDOW, F.sequence(F.lit(1), F.greatest(n - WINDOW + 1, F.lit(1)))).when(n > 0, F.array(F.lit(1)))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(parts, i, WINDOW)))
 
+    def of(length: int) -> Column:
+        places = F.when(n >= length, F.sequence(F.lit(0), F.greatest(n - length, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice(parts, i + 1, length)).alias("hash")))
+
+    return F.concat(*map(of, lengths))
 
-def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """``item_id``, ``place``, ``hash``, ``values`` of each window that counts."""
-    cut = items.where(items[item_id].isNotNull()).select(items[item_id].alias("item_id"), tokens(items[text].cast("string")).alias("found"))
-    each = cut.withColumn("parts", template(F.col("found"))).select("item_id", "found", "parts", F.posexplode(window_hashes(F.col("parts"))).alias("place", "hash"))
+
+def item_tokens(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """``item_id`` and ``found``, with the first word as at the start of a text and as within one."""
+    body = items[text].cast("string")
+    known = items.where(items[item_id].isNotNull() & items[text].isNotNull())
+    return known.select(items[item_id].alias("item_id"), F.explode(F.array(tokens(body), tokens(F.concat(F.lit(": "), body)))).alias("found")).where(
+        F.size("found") > 0).distinct()
+
+
+def item_windows(cut: DataFrame, parts: Column, literals: int) -> DataFrame:
+    """``item_id`` (the item and its tokens' hash), ``place``, ``hash``, ``values`` of each window that counts."""
+    own = F.struct("item_id", F.xxhash64("found").alias("form")).alias("item_id")
+    places = F.sequence(F.lit(0), F.greatest(F.size("parts") - WINDOW, F.lit(0)))
     some = F.slice("parts", F.col("place") + 1, WINDOW)
-    literal = F.size(F.filter(some, lambda t: t >= "\x04"))
-    return each.where(literal >= F.least(F.lit(LITERALS), F.size(some))).select(
+    each = cut.withColumn("parts", parts).select(own, "found", "parts", F.explode(places).alias("place")).select(
+        "item_id", "found", "place", some.alias("some"), F.xxhash64(some).alias("hash"))
+    literal = F.size(F.filter("some", lambda t: t >= "\x04"))
+    return each.where(literal >= F.least(F.lit(literals), F.size("some"))).select(
         "item_id", "place", "hash", F.slice("found", F.col("place") + 1, WINDOW).alias("values"))
 
 
@@ -81,7 +102,25 @@ def contaminated(
     df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """``doc_id``, ``item_id``, ``share`` (of the item's windows), ``slots``, ``consistent`` of each find."""
-    windows = stored(item_windows(items, item_id, item_text), "item_windows")
+    cut = stored(item_tokens(items, item_id, item_text), "items")
+    short = cut.select(F.size("found").alias("n")).where(F.col("n") < WINDOW).distinct()
+    lengths = sorted([r["n"] for r in short.collect()] + [WINDOW])
+    named = df.where(df[doc_id].isNotNull() & df[text].isNotNull()).select(
+        df[doc_id].cast("long").alias("doc_id"), tokens(df[text].cast("string")).alias("found"))
+
+    windows = stored(item_windows(cut, template(F.col("found")), LITERALS), "item_windows")
+    hits, enough = holding(named, windows, template(F.col("found")), lengths)
+    judged = consistent(hits, enough, windows).where(F.col("consistent") >= CONSISTENT)
+    # the words are the same in both forms of an item
+    plain = cut.select("item_id", verbatim(F.col("found")).alias("found")).distinct()
+    _, same = holding(named, stored(item_windows(plain, F.col("found"), 0), "plain_windows"), verbatim(F.col("found")), lengths)
+    both = judged.unionByName(same.select("doc_id", "item_id", "share", F.lit(0).cast("long").alias("slots"), F.lit(1.0).alias("consistent")))
+    best = both.groupBy("doc_id", F.col("item_id.item_id").alias("item_id")).agg(F.max(F.struct("share", "slots", "consistent")).alias("best"))
+    return best.select(F.col("doc_id").cast(df.schema[doc_id].dataType).alias("doc_id"), "item_id", "best.*")
+
+
+def holding(named: DataFrame, windows: DataFrame, parts: Column, lengths: list[int]) -> tuple[DataFrame, DataFrame]:
+    """(documents with the windows they may share with items, pairs with ``share`` that hold enough of an item)."""
     bits, power = bit_map(windows)
     mask = F.lit((1 << power) - 1)
     maps = longs(bits)
@@ -90,10 +129,8 @@ def contaminated(
         at = h.bitwiseAND(mask)
         return F.getbit(F.get(maps, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    named = df.where(df[doc_id].isNotNull() & df[text].isNotNull()).select(
-        df[doc_id].cast("long").alias("doc_id"), tokens(df[text].cast("string")).alias("found"))
-    hashed = named.withColumn("parts", template(F.col("found"))).withColumn("hashes", window_hashes(F.col("parts")))
-    places = F.filter(F.transform("hashes", lambda h, i: F.struct(i.alias("place"), h.alias("hash"))), lambda s: maybe(s["hash"]))
+    hashed = named.withColumn("parts", parts).withColumn("hashes", window_hashes(F.col("parts"), lengths))
+    places = F.filter("hashes", lambda s: maybe(s["hash"]))
     # the row number keeps the filter from being pushed below, where the hits would be made twice
     numbered = hashed.select("doc_id", "found", places.alias("hits"), F.monotonically_increasing_id().alias("row"))
     hits = stored(numbered.where(F.size("hits") > 0), "hits")
@@ -112,8 +149,11 @@ def contaminated(
     sets = wanted.groupBy("item_id").agg(F.collect_set("hash").alias("wanted"))
     shared = F.size(F.array_intersect("wanted", "hashes")) / F.size("wanted")
     enough = pairs.join(held, "doc_id").join(sets, "item_id").select("doc_id", "item_id", shared.alias("share")).where(F.col("share") >= SHARE)
-    enough = stored(enough.groupBy("doc_id", "item_id").agg(F.max("share").alias("share")), "enough")
+    return hits, stored(enough.groupBy("doc_id", "item_id").agg(F.max("share").alias("share")), "enough")
+
 
+def consistent(hits: DataFrame, enough: DataFrame, windows: DataFrame) -> DataFrame:
+    """The pairs with the number of their ``slots`` and the share of these that are ``consistent``."""
     slotted = windows.where(F.exists("values", lambda v: v < "\x04")).select("item_id", "hash", "values")
     inside = windows.groupBy("item_id", "hash").agg(F.count("*").alias("inside"))
     found = enough.join(hits, "doc_id").select("doc_id", "item_id", "found", F.explode("hits").alias("hit")).select(
@@ -126,7 +166,5 @@ def contaminated(
     meant = facing.groupBy("doc_id", "item_id", F.col("slot.values").alias("value")).agg(F.count_distinct(F.lower("slot.there")).alias("kinds"))
     agreed = meant.join(most, ["doc_id", "item_id", "value"]).groupBy("doc_id", "item_id").agg(
         F.count("*").alias("slots"), F.avg((F.col("kinds") <= F.col("times")).cast("double")).alias("consistent"))
-    judged = enough.join(agreed, ["doc_id", "item_id"], "left").select(
+    return enough.join(agreed, ["doc_id", "item_id"], "left").select(
         "doc_id", "item_id", "share", F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("consistent", F.lit(1.0)).alias("consistent"))
-    return judged.where(F.col("consistent") >= CONSISTENT).select(
-        F.col("doc_id").cast(df.schema[doc_id].dataType).alias("doc_id"), "item_id", "share", "slots", "consistent")

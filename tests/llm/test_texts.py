@@ -60,6 +60,17 @@ def test_items_are_found_with_other_values_where_they_agree(spark):
     assert rows_of(decontamination.contaminated(frame(spark, rows), items.where("false"))) == []
 
 
+def test_items_are_found_as_they_are_whatever_stands_before(spark):
+    texts = {1: "What is 12 + 30?", 2: "What is the capital of France?", 3: "Who wrote the novel Dracula?", 4: "Name three noble gases",
+             5: "12 + 30 + 41 + 7 - 19", 6: "Who wrote the long novel Dracula before 1900 came to London?"}
+    items = spark.createDataFrame(list(texts.items()), "item_id bigint, text string")
+    rows = awkward() + [(100 + i, f"{prose(i, 20)}. Question: {t} {prose(40 + i, 20)}") for i, t in texts.items()]
+    rows += [(200, "Question: Who wrote the long novel Emma before 1816 came to Bath?"), (201, "What is 13 + 30?"), (202, "What is the capital of Norway?")]
+    got = {(r["doc_id"], r["item_id"]) for r in rows_of(decontamination.contaminated(frame(spark, rows), items))}
+    assert got >= {(100 + i, i) for i in texts} | {(200, 6)}
+    assert not got & {(201, 1), (201, 5), *((101, i) for i in (2, 3, 4, 5, 6))}
+
+
 # -- surrogates
 
 CARD, OTHER_CARD, NO_CARD = "4539578763621486", "4485275742308327", "4539578763621487"
