@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_refresh.sources.scratch import written
+from spark_refresh.sources.scratch import fresh_folder, written
 
 __all__ = ["fresh", "stored", "table", "text_or_empty", "tokenizer_file", "xxhash_words"]
 
@@ -29,9 +29,13 @@ def fresh(df: DataFrame, label: str) -> str:
     return name
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The frame as a table in the shared working folder: lost executors cost no recomputation."""
-    return written(df, label)
+    if compression is None:
+        return written(df, label)
+    folder = fresh_folder(df.sparkSession, label)
+    df.write.option("compression", compression).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def tokenizer_file(name: str, folder: str | None = None) -> str:

@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe_count, decontamination, extraction, hashing_search, near_duplicates, packing, repeats, sharding, surrogates, toxicity
+from . import (
+    bpe_count,
+    decontamination,
+    extraction,
+    fingerprints,
+    hashing_search,
+    near_duplicates,
+    packing,
+    repeats,
+    resampling,
+    sharding,
+    spelling,
+    surrogates,
+    toxicity,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +89,21 @@ def op10_keyed_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query()
+def op11_line_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op12_reduced_alphabet_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@query()
+def op13_bottom_k_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited(table(spark, folder, "documents"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
