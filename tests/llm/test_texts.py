@@ -7,7 +7,6 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from cases import awkward, frame, prose, rows_of
 
@@ -153,53 +152,46 @@ def test_toxic_expressions_are_learned(spark):
 
 def whole_model(texts: dict[int, str], labels: dict[int, int]) -> dict[int, float]:
     """Scores with every sequence kept in memory."""
-    known, bits = toxicity._symbols(), toxicity.BITS
-    keys = {d: toxicity._keys(t, known).tolist() for d, t in texts.items()}
-    level = Counter(k for some in keys.values() for k in some)
+    def cut(word: str) -> list[str]:
+        padded = " " * (toxicity.ORDER - 1) + word + " "
+        return [padded[i : i + toxicity.ORDER] for i in range(len(word) + 1)]
+
+    words = {d: [cut(w) for w in re.findall(r"[^\W_]+", t.lower())] for d, t in texts.items()}
+    level = Counter(k for some in words.values() for w in some for k in w)
     levels = [level]
-    for order in range(toxicity.ORDER - 1, 0, -1):
+    for _ in range(toxicity.ORDER - 1):
         lower = Counter()
         for k, n in level.items():
-            suffix = k & ((1 << bits * order) - 1)
-            lower[suffix] += n if suffix >> bits * (order - 1) == toxicity.GAP else 1
+            lower[k[1:]] += n if k[1] == " " else 1
         levels.append(level := lower)
     total = sum(level.values())
     below = {k: n / total for k, n in level.items()}
-    for order in range(2, toxicity.ORDER + 1):
-        level, totals, kinds = levels[toxicity.ORDER - order], Counter(), Counter()
+    for level in levels[-2::-1]:
+        totals, kinds = Counter(), Counter()
         for k, n in level.items():
-            totals[k >> bits] += n
-            kinds[k >> bits] += 1
-        mask = (1 << bits * (order - 1)) - 1
-        below = {k: ((n - toxicity.DISCOUNT) + toxicity.DISCOUNT * kinds[k >> bits] * below[k & mask]) / totals[k >> bits] for k, n in level.items()}
+            totals[k[:-1]] += n
+            kinds[k[:-1]] += 1
+        below = {k: ((n - toxicity.DISCOUNT) + toxicity.DISCOUNT * kinds[k[:-1]] * below[k[1:]]) / totals[k[:-1]] for k, n in level.items()}
 
     def measured(learn: set[int]):
         counts, totals, kinds = (defaultdict(Counter) for _ in range(3))
         for d in learn:
-            counts[labels[d]].update(keys[d])
+            counts[labels[d]].update(k for w in words[d] for k in w)
         for c in (0, 1):
             for k, n in counts[c].items():
-                totals[c][k >> bits] += n
-                kinds[c][k >> bits] += 1
+                totals[c][k[:-1]] += n
+                kinds[c][k[:-1]] += 1
 
         def value(k):
             out = 0.0
             for c, sign in ((1, 1), (0, -1)):
-                context = k >> bits
+                context = k[:-1]
                 weight = (toxicity.DISCOUNT * kinds[c][context] + toxicity.SHARED) / (totals[c][context] + toxicity.SHARED)
                 seen = counts[0][k] or counts[1][k]
                 out += sign * math.log(max(counts[c][k] - toxicity.DISCOUNT, 0) / (totals[c][context] + toxicity.SHARED) + weight * below[k] if seen else weight)
             return out
 
-        def words(some: list[int]):
-            out = []
-            for i, k in enumerate(some):
-                if i == 0 or some[i - 1] & ((1 << bits) - 1) == toxicity.GAP:
-                    out.append(0.0)
-                out[-1] += value(k)
-            return np.array(out)
-
-        return {d: toxicity.measures(words(some)) for d, some in keys.items()}
+        return {d: toxicity.measures(np.array([sum(map(value, w)) for w in some])) for d, some in words.items()}
 
     part = {d: zlib.crc32(str(d).encode()) % 4 for d in texts}
     first = measured({d for d in labels if part[d] not in (2, 3)})
@@ -208,7 +200,8 @@ def whole_model(texts: dict[int, str], labels: dict[int, int]) -> dict[int, floa
     return {d: 1 / (1 + math.exp(-(weights[0] + weights[1] * a + weights[2] * b))) for d, (a, b) in whole.items()}
 
 
-def test_every_sequence_takes_part_in_the_score(spark):
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_every_sequence_takes_part_in_the_score(spark, most):
     """Against a model in memory; the sequences are many enough to meet in slots of a table of fixed size."""
     r = random.Random(31)
     texts, labels = {}, {}
@@ -217,22 +210,10 @@ def test_every_sequence_takes_part_in_the_score(spark):
         toxic = int(doc % 3 == 0)
         texts[doc] = " ".join(words + ["zyxxer qwarg"] * (toxic * r.randint(0, 3)))
         labels[doc] = toxic
-    texts |= {1000: "", 1001: " . ", 1002: "zyxxer", 1003: "ab " * 3000 + "zyxxer qwarg"}
+    texts |= {1000: "", 1001: " . ", 1002: "zyxxer", 1003: "ab " * 3000 + "zyxxer qwarg", 1004: "日本語 — テスト ЖЖЖ 🙂"}
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     table = spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")
     want = whole_model(texts, labels)
-    got = {x["doc_id"]: x["score"] for x in rows_of(toxicity.score(df, table))}
+    got = {x["doc_id"]: x["score"] for x in rows_of(toxicity.score(df, table, most=most))}
     assert set(got) == set(want)
     assert max(abs(got[d] - want[d]) for d in want) < 1e-6
-
-
-def test_blocks_hold_all_rows():
-    known = toxicity._symbols()
-    texts = ["", "one", prose(3, 400), "ünï " * 70 + "one", prose(3, 30)]
-    found = toxicity._block([pa.RecordBatch.from_pydict({"n": list(range(len(texts)))})], [toxicity._words(t, known) for t in texts])
-    rows, symbols, lengths = (pa.ipc.open_stream(found[c]).read_all().to_pydict() for c in ("rows", "symbols", "lengths"))
-    assert rows["n"] == list(range(len(texts)))
-    ends = np.cumsum(lengths["length"])
-    words = ["".join(map(chr, symbols["symbol"][e - n : e])) for e, n in zip(ends, lengths["length"], strict=True)]
-    for text, steps in zip(texts, rows["_words_"], strict=True):
-        assert sorted(words[i] for i in np.cumsum(steps).astype(int)) == sorted(re.findall(r"\w+ ?|\W", re.sub(r"\W+", " ", text.lower())))
