@@ -23,10 +23,18 @@ ORACLE_SQL = None  # learned scores, sketches, keyed hashes and token ids are be
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the class-conditional models do not call toxic."""
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    scored = toxicity.score(rows, table(spark, sf_dir, "labels"), keep=("row",))
-    return scored.where(F.col("predicted") == 0).select("row.*")
+    """Documents that the class-conditional models do not call toxic.
+
+    Texts are scored apart from their rows; what is called toxic is kept as 128 bits of hash
+    of its text, which decides the score.
+    """
+    mine, other = (fresh(docs, n) for n in ("mine", "other"))
+    body = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    hashes = [F.xxhash64(body), F.xxhash64(F.lit(1), body)]
+    rows = docs.select("doc_id", "text", hashes[0].alias(mine), hashes[1].alias(other))
+    scored = toxicity.score(rows, table(spark, sf_dir, "labels"), keep=(mine, other))
+    toxic = stored(scored.where("predicted = 1").select(F.col(mine).alias("h"), F.col(other).alias("g")).distinct(), "toxic")
+    return docs.join(toxic, (hashes[0] == toxic["h"]) & (hashes[1] == toxic["g"]), "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
