@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from spark_refresh.operators import batch as batch_queue
 from spark_refresh.plans import batch, report, transfer
 from spark_refresh.schemas import HISTORY, INT, LONG, REAL, TEXT, struct
 from spark_refresh.sources import catalogue, control, jdbc
+from spark_refresh.sources import logs as log_reader
 from spark_refresh.sources.scratch import fresh_folder, written
-from spark_refresh.sources.snapshots import Snapshots
+from spark_refresh.sources.versions import Versions
 
 from . import fixtures as fx
 from .registry import query
@@ -178,27 +180,55 @@ def split_modulo(spark: SparkSession, folder: str) -> DataFrame:
     return split_summary(orders, jdbc.modulo_predicates("o_orderkey", jdbc.MAX_CONNECTIONS))
 
 
+@query("""
+SELECT name, n, n AS met_once, TRUE AS even FROM (
+    SELECT 'plain' AS name, count(*) AS n FROM lineitem UNION ALL SELECT 'hot', count(*) FROM lineitem)
+""")
+def split_quantile(spark: SparkSession, folder: str) -> DataFrame:
+    """Splits of equal numbers of rows: of a key, and of one that is a single value in a
+    third of the rows and missing in some. The largest has at most 1.2 times the mean."""
+    lines = fx.table(spark, folder, "lineitem")
+    key = F.col("l_orderkey")
+    skewed = F.when(key % 11 != 0, F.when(key % 3 == 0, F.lit(7)).otherwise(key))
+    frames = []
+    for name, rows in (("plain", lines), ("hot", lines.withColumn("l_orderkey", skewed))):
+        conditions = jdbc.quantile_predicates(rows, "l_orderkey", SPLITS, second="l_partkey")
+        met = reduce(lambda a, b: a + b, (F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in conditions))
+        sizes = rows.groupBy(jdbc.split_id(conditions).alias("split")).agg(F.count(F.lit(1)).alias("n"), F.count_if(met == 1).alias("once"))
+        frames.append(sizes.agg(
+            F.lit(name).alias("name"), F.sum("n").alias("n"), F.sum("once").alias("met_once"),
+            (F.max("n") <= 1.2 * F.sum("n") / SPLITS).alias("even"),
+        ))
+    return frames[0].unionByName(frames[1])
+
+
 @query("SELECT count(*) AS row_count FROM lineitem")
 def source_row_count(spark: SparkSession, folder: str) -> DataFrame:
     return catalogue.source_row_count(fx.table(spark, folder, "lineitem"))
 
 
+# Per column: name, type code, length, format, digits in all and after the point.
 COLUMN_ROWS = {
-    "lineitem": "l_orderkey I8, l_partkey I8, l_suppkey I8, l_linenumber I, l_quantity N, l_extendedprice N, "
-                "l_discount N, l_tax N, l_returnflag CF, l_linestatus CF, l_shipdate TS",
-    "orders": "o_orderkey I8, o_custkey I8, o_orderstatus CF, o_totalprice N, o_orderdate TS, o_orderpriority CF",
+    "lineitem": "l_orderkey I8 0 - 0 0, l_partkey I8 0 - 0 0, l_suppkey I8 0 - 0 0, l_linenumber I 0 - 0 0, l_quantity N 0 - 12 2, "
+                "l_extendedprice N 0 - -1 -1, l_discount N 0 - 4 2, l_tax N 0 - -1 -1, l_returnflag CF 1 X(1) 0 0, "
+                "l_linestatus CF 1 X(1) 0 0, l_shipdate TS 26 - 0 0",
+    "orders": "o_orderkey I8 0 - 0 0, o_custkey I8 0 - 0 0, o_orderstatus CF 1 X(1) 0 0, o_totalprice N 0 - 15 2, o_orderdate TS 26 - 0 0, "
+              "o_orderpriority CF 15 X(15) 0 0",
+}
+COLUMN_FIELDS = {
+    "column_name": "ColumnName", "column_type": "ColumnType", "column_length": "ColumnLength", "column_format": "ColumnFormat",
+    "total_digits": "DecimalTotalDigits", "fraction_digits": "DecimalFractionalDigits",
 }
 
 
 def column_rows_sql() -> str:
-    rows = [
-        f"('{t}', '{pair.split()[0]}', '{pair.split()[1]}')"
-        for t, pairs in COLUMN_ROWS.items() for pair in pairs.split(", ")
-    ]
+    rows = []
+    for table, columns in COLUMN_ROWS.items():
+        for name, code, length, shape, total, fraction in (c.split() for c in columns.split(", ")):
+            rows.append(f"('{table}', '{name}', '{code}', {length}, '{shape.replace('-', '')}', {total}, {fraction})")
     return f"""
-SELECT table_name, column_name, column_type,
-       CASE table_name WHEN 'orders' THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM lineitem) END AS row_count
-FROM (VALUES {', '.join(rows)}) AS v(table_name, column_name, column_type)"""
+SELECT *, CASE table_name WHEN 'orders' THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM lineitem) END AS row_count
+FROM (VALUES {', '.join(rows)}) AS v(table_name, {', '.join(COLUMN_FIELDS)})"""
 
 
 @query(column_rows_sql())
@@ -207,10 +237,7 @@ def source_columns(spark: SparkSession, folder: str) -> DataFrame:
     frames = []
     for name, entries in (("lineitem", line_catalogue), ("orders", order_catalogue)):
         df = fx.table(spark, folder, name)
-        rows = F.array(*(
-            F.struct(F.lit(e["ColumnName"]).alias("column_name"), F.lit(e["ColumnType"]).alias("column_type"))
-            for e in entries(df)
-        ))
+        rows = F.array(*(F.struct(*(F.lit(e[field]).alias(n) for n, field in COLUMN_FIELDS.items())) for e in entries(df)))
         frames.append(
             catalogue.source_row_count(df)
             .select(F.lit(name).alias("table_name"), "row_count", F.inline(rows))
@@ -299,6 +326,31 @@ def stage_file_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SMALL_FILES = 256 * 1024
+
+
+@query(f"""
+SELECT 'documents' AS name, count(*) AS n, TRUE AS several, TRUE AS bounded FROM documents
+UNION ALL SELECT 'lineitem', count(*), TRUE, TRUE FROM lineitem
+""")
+def stage_file_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Long texts and short rows staged in files of the same uncompressed size: no file of
+    more than twice the aim, or the longest text, and as few as that allows."""
+    frames = []
+    for name, long_text in (("documents", "text"), ("lineitem", None)):
+        rows = fx.table(spark, folder, name)
+        width = transfer.row_width(rows)
+        stage = transfer.export(rows, [F.col(c) for c in rows.columns], fresh_folder(spark, "stage"), file_bytes=SMALL_FILES)
+        found = transfer.staged(spark, stage.folder)
+        size = F.octet_length(long_text) if long_text else F.lit(width)
+        files = found.groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes"), F.max(size).alias("most"))
+        frames.append(files.agg(
+            F.lit(name).alias("name"), F.sum("n").alias("n"), (F.count(F.lit(1)) > 1).alias("several"),
+            (F.max("bytes") <= 2 * SMALL_FILES + 32 * F.max("most")).alias("bounded"),
+        ))
+    return frames[0].unionByName(frames[1])
+
+
 @query("""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
        CAST(CAST(l_quantity AS DECIMAL(12,2)) AS DOUBLE) AS l_quantity,
@@ -310,8 +362,8 @@ FROM lineitem
 def typed_load(spark: SparkSession, folder: str) -> DataFrame:
     rows = transfer.typed(transfer.staged(spark, staged_lines(spark, folder).folder), LINE_TARGET)
     target = transfer.target_folder(spark, fresh_folder(spark, "target"), LINE_TARGET)
-    target.replace({"data": rows})
-    return as_plain(target.read("data"))
+    target.replace(rows)
+    return as_plain(target.read())
 
 
 LOOSE_TARGET = struct(l_orderkey=LONG, l_linenumber=INT, l_quantity=QUANTITY, l_shipdate=T.DateType())
@@ -347,7 +399,28 @@ def quarantine_split(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_target(spark: SparkSession) -> Snapshots:
+@query("""
+WITH given AS (SELECT l_orderkey, l_orderkey % 13 = 0 OR l_partkey % 17 = 0 AS bad FROM lineitem)
+SELECT CASE WHEN bad THEN 'kept aside' ELSE 'loaded' END AS outcome, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum,
+       (SELECT count(*) FROM lineitem) AS exported
+FROM given GROUP BY bad
+""")
+def copy_with_misfits(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy that loads what fits its target and keeps aside what does not."""
+    quantity = F.when(F.col("l_orderkey") % 13 == 0, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string"))
+    day = F.when(F.col("l_partkey") % 17 == 0, F.lit("unknown")).otherwise(casts.date_text(F.col("l_shipdate")))
+    source = fx.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", quantity.alias("l_quantity"), day.alias("l_shipdate"))
+    base = fresh_folder(spark, "misfits")
+    target = transfer.target_folder(spark, f"{base}/target", LOOSE_TARGET)
+    rows = transfer.copy_table(source, target, f"{base}/stage", misfits=f"{base}/misfits")
+    kept = transfer.kept_misfits(spark, f"{base}/misfits").select(
+        F.lit("kept aside").alias("outcome"), F.get_json_object("raw_row", "$.l_orderkey").cast("bigint").alias("l_orderkey"))
+    both = target.read().select(F.lit("loaded").alias("outcome"), "l_orderkey").unionByName(kept)
+    return both.groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum"), F.lit(rows).cast("bigint").alias("exported"))
+
+
+def order_target(spark: SparkSession) -> Versions:
     return transfer.target_folder(spark, fresh_folder(spark, "target"), ORDER_TARGET)
 
 
@@ -360,11 +433,11 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """A target that holds an older, smaller copy is replaced as a whole."""
     orders, target = fx.table(spark, folder, "orders"), order_target(spark)
     old = orders.filter(F.col("o_orderstatus") == "F")
-    target.append("data", old.select(*casts.target_casts(ORDER_TARGET)))
+    target.add(old.select(*casts.target_casts(ORDER_TARGET)))
     rows = transfer.copy_table(
         orders, target, fresh_folder(spark, "stage"), catalogue=order_catalogue(orders)
     )
-    return target.read("data").groupBy("o_orderstatus").agg(
+    return target.read().groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("o_totalprice").cast("double").alias("total"),
         F.max("o_orderdate").cast("string").alias("last_day"),
@@ -385,7 +458,7 @@ def filtered_append(spark: SparkSession, folder: str) -> DataFrame:
         transfer.copy_table(
             lines, target, fresh_folder(spark, "stage"), where, catalogue=line_catalogue(lines)
         )
-    return target.read("data").groupBy("l_linenumber").agg(
+    return target.read().groupBy("l_linenumber").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").cast("double").alias("total")
     )
 
@@ -402,7 +475,7 @@ def count_validation(spark: SparkSession, folder: str) -> DataFrame:
             orders, target, fresh_folder(spark, "stage"), where, catalogue=order_catalogue(orders)
         )
         inserted = F.count(F.lit(1)) - before
-        frames.append(target.read("data").agg(
+        frames.append(target.read().agg(
             F.lit(name).alias("name"), F.lit(rows).cast("bigint").alias("exported"),
             inserted.alias("inserted"), (inserted == rows).alias("ok"),
         ).transform(written, "counts"))
@@ -422,7 +495,8 @@ def batch_sql() -> str:
         f"'SUCCESS' AS status, count(*) AS num_records FROM {n}"
         for i, n in enumerate(RELOADED)
     ]
-    return "\nUNION ALL ".join([*rows, "SELECT 'SALES.MISSING', 'TPT', 'FAILED', 0"])
+    body = "\nUNION ALL ".join([*rows, "SELECT 'SALES.MISSING', 'TPT', 'FAILED', 0"])
+    return f"SELECT *, {len(rows) + 1} AS picked_up, 0 AS queued, {len(rows) + 1} AS total FROM ({body})"
 
 
 @query(batch_sql())
@@ -442,14 +516,17 @@ def batch_reload(spark: SparkSession, folder: str) -> DataFrame:
         target = transfer.target_folder(spark, f"{base}/{row['target_table']}", source.schema)
         columns = [F.col(c) for c in source.columns]
         stage = transfer.export(source, columns, f"{base}/stage/{name}")
-        target.replace({"data": transfer.typed(transfer.staged(spark, stage.folder), source.schema)})
-        transfer.check_counts(stage.rows, target.read("data").count())
+        rows = transfer.typed(transfer.staged(spark, stage.folder), source.schema)
+        target.replace(rows, check=lambda inserted: transfer.check_counts(stage.rows, inserted))
         return stage.rows
 
+    state = batch.BatchState(spark, f"{base}/queue")
     runs = batch.batch_reload(
-        spark, batch_queue.enqueue(manifest), load, f"{base}/report", f"{base}/runs"
+        spark, batch_queue.enqueue(manifest), load, f"{base}/report", f"{base}/runs", state=state
     )
-    return runs.select("table", "strategy", "status", "num_records")
+    picked, queued, total = state.progress(manifest)
+    return runs.select(
+        "table", "strategy", "status", "num_records", F.lit(picked).alias("picked_up"), F.lit(queued).alias("queued"), F.lit(total).alias("total"))
 
 
 # -- history and reports
@@ -476,7 +553,7 @@ def history_append(spark: SparkSession, folder: str) -> DataFrame:
     report.append_history(rows.filter(F.col("finish_time") <= wall(CUT)), target)
     report.append_history(rows, target)
     report.append_history(rows, target)
-    return target.read("data")
+    return target.read()
 
 
 SHORT = "strftime({}, '%-m/%-d/%y %-I:%M %p')"
@@ -500,6 +577,28 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
     return report.run_report(runs)
 
 
+@query(f"""
+WITH {fx.HISTORY_SQL}
+SELECT source_table AS "TABLE", strategy AS "STRATEGY", status AS "STATUS",
+       {SHORT.format('event_time')} AS "START", {SHORT.format('finish_time')} AS "END",
+       printf('%.2f', round((epoch(finish_time) - epoch(event_time)) / 60, 2)) AS "DURATION_MINS",
+       num_records AS "NUM_RECORDS", CASE WHEN error = '' THEN '' ELSE error || ', "said" it; 2' END AS "ERROR"
+FROM history WHERE finish_time IS NOT NULL
+""")
+def report_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The report as written to CSV files, in two goes, and read back."""
+    runs = fx.history(spark, folder).filter(F.col("finish_time").isNotNull()).select(
+        F.col("source_table").alias("table"), "strategy", "status",
+        to_epoch(F.col("event_time"), ZONE).cast("double").alias("start"),
+        to_epoch(F.col("finish_time"), ZONE).cast("double").alias("end"), "num_records",
+        F.when(F.col("error") == "", F.lit("")).otherwise(F.concat("error", F.lit(', "said"\nit; 2\n'))).alias("error"),
+    )
+    path, early = fresh_folder(spark, "report-file"), F.col("start") < to_epoch(wall(CUT), ZONE)
+    for part in (runs.where(early), runs.where(~early)):
+        report.append_report(part, path)
+    return report.read_report(spark, path)
+
+
 VALUE_TEXT = """'(''' || source_table || ''', ''' || status || ''', ''' || strftime(event_time, '%Y-%m-%d %H:%M:%S')
     || ''', ''' || coalesce(strftime(finish_time, '%Y-%m-%d %H:%M:%S'), 'None') || ''', '''
     || coalesce(replace(error, '''', ''), 'None') || ''', ''' || coalesce(CAST(num_records AS VARCHAR), 'None') || ''')'"""
@@ -508,7 +607,8 @@ VALUE_TEXT = """'(''' || source_table || ''', ''' || status || ''', ''' || strft
 @query(f"""
 WITH {fx.HISTORY_SQL}, rows AS (
     SELECT CAST(substring(source_table, 8) AS BIGINT) AS k, {VALUE_TEXT} AS txt FROM history)
-SELECT k // 500 AS statement, string_agg(txt, ', ' ORDER BY k) AS values_text FROM rows GROUP BY k // 500
+SELECT statement, string_agg(txt, ', ' ORDER BY k) AS values_text
+FROM (SELECT *, (row_number() OVER (ORDER BY k) - 1) // 500 AS statement FROM rows) GROUP BY statement
 """)
 def format_values(spark: SparkSession, folder: str) -> DataFrame:
     key = F.substring_index("source_table", "O", -1).cast("bigint")
@@ -517,8 +617,7 @@ def format_values(spark: SparkSession, folder: str) -> DataFrame:
         format_text(F.col("finish_time")), F.col("error"), F.col("num_records").cast("string"),
     )
     rows = fx.history(spark, folder).select(key.alias("k"), text.alias("txt"))
-    pieces = rows.withColumn("statement", F.floor(F.col("k") / 500))
-    return values.values_text(pieces, "txt", "statement", "k")
+    return values.statements(rows, "txt", "k", 500)
 
 
 # -- logs
@@ -602,6 +701,40 @@ def log_errors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LOGS = 24
+
+
+@query(f"""
+WITH {LOG_SQL.replace('lines AS (', """joined AS (
+    SELECT doc_id % 24 AS doc_id, string_agg(log, chr(10) ORDER BY raw.doc_id) || chr(10) AS log FROM raw GROUP BY doc_id % 24),
+lines AS (""", 1).replace('FROM raw)', 'FROM joined)').replace('FROM raw GROUP BY', 'FROM raw GROUP BY')},
+found AS (
+    SELECT doc_id, tail, [x FOR x IN tail IF regexp_matches(x, '^[^ ]* +[0-9]+ +')] AS hits,
+           [trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') FOR x IN all_lines
+            IF regexp_matches(x, '{'|'.join(logs.ERROR_PATTERNS)}')] AS errors FROM log_lines),
+counted AS (
+    SELECT doc_id, tail, {ROW_COUNT_SQL} AS n, coalesce([x FOR x IN errors IF contains(x, 'Syntax error')][1], errors[1], '') AS found,
+           doc_id % 2 = 0 AS exit_ok FROM found),
+decided AS (
+    SELECT *, CASE WHEN found <> '' AND (n > 0 OR contains(found, 'Syntax error')) THEN 'FAILED'
+                   WHEN found <> '' OR exit_ok THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM counted)
+SELECT doc_id AS run, array_to_string(tail, '|') AS tail, greatest(n, 0) AS num_records, status,
+       CASE WHEN status = 'SUCCESS' THEN '' WHEN found <> '' THEN found ELSE 'Unknown error' END AS error
+FROM decided
+""")
+def log_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Logs in files of mixed length, one per run: their last lines, errors and outcomes."""
+    path = fresh_folder(spark, "log-files")
+    lines = document_logs(spark, folder).select((F.col("doc_id") % LOGS).alias("run"), "doc_id", "log")
+    lines.repartition(LOGS, "run").sortWithinPartitions("run", "doc_id").select("run", "log").write.partitionBy("run").text(path)
+    tails, errors = log_reader.read_log_tails(spark, path), log_reader.read_first_errors(spark, path)
+    run = F.regexp_extract("file", r"run=([0-9]+)", 1).cast("bigint")
+    runs = tails.select(run.alias("run"), F.col("file").alias("log_file"), F.col("file").alias("error_file"), (run % 2 == 0).alias("exit_ok"))
+    found = log_reader.run_outcomes(runs, tails, errors)
+    shown = tails.select(run.alias("run"), F.array_join("lines", "|").alias("tail"))
+    return found.join(shown, "run").select("run", "tail", "num_records", "status", "error")
+
+
 @query("""
 WITH run AS (
     SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Extractor failed' WHEN 1 THEN 'Syntax error near ' || o_orderkey
@@ -645,7 +778,7 @@ def copy_long_text(spark: SparkSession, folder: str) -> DataFrame:
     run = transfer.reload_table(
         spark, "crawl.documents", "TPT", lambda: fx.table(spark, folder, "documents").select("doc_id", "text"), target
     )
-    return target.read("data").agg(
+    return target.read().agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text")).alias("total"),
         F.max(F.length("text")).cast("bigint").alias("longest"),
@@ -667,4 +800,4 @@ def copy_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     orders = fx.table(spark, folder, "orders").select("o_orderkey", F.timestamp_micros(micros).alias("loaded"))
     target = transfer.target_folder(spark, fresh_folder(spark, "target"), struct(o_orderkey=LONG, loaded=T.TimestampType()))
     transfer.copy_table(orders, target, fresh_folder(spark, "stage"))
-    return target.read("data").select("o_orderkey", F.unix_micros("loaded").alias("micros"))
+    return target.read().select("o_orderkey", F.unix_micros("loaded").alias("micros"))

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from spark_refresh.functions.times import wall
 from spark_refresh.operators import batch, keys, queue
-from spark_refresh.plans import batch as batch_plan
 from spark_refresh.plans import transfer
 from spark_refresh.plans.refresh import refresh_cycle as cycle
+from spark_refresh.plans.state import RefreshState
+from spark_refresh.plans.workers import Workers
 from spark_refresh.schemas import DEFAULT_SLOTS, QUEUE
 from spark_refresh.sources.scratch import fresh_folder, written
 from spark_refresh.sources.tracking import tracking_scan
@@ -112,13 +113,21 @@ FROM claimed c WHERE NOT EXISTS (
 def claim_history(spark: SparkSession, folder: str) -> DataFrame:
     """History after a claim large enough to meet events that were processed before."""
     slots = {"TPT": MANY, "WriteNOS": MANY}
-    after = queue.claim(fx.queue(spark, folder), fx.history(spark, folder), fx.ASOF, slots).history
+    running, done = history_parts(spark, folder)
+    claim = queue.claim(fx.queue(spark, folder), running, fx.ASOF, slots)
+    after = queue.current_history(running.unionByName(claim.started), done)
     return after.withColumn("num_records", F.coalesce("num_records", F.lit(-1).cast("bigint")))
 
 
-def tagged(state: queue.State, *names: str) -> DataFrame:
+def history_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """History as it is kept: rows that run, and rows that have ended."""
+    rows = fx.history(spark, folder)
+    return rows.where("status = 'RUNNING'"), rows.where("status <> 'RUNNING'")
+
+
+def tagged(rows: DataFrame, history: DataFrame, *names: str) -> DataFrame:
     frames = []
-    for kind, df in zip(("queue", "history"), state):
+    for kind, df in (("queue", rows), ("history", history)):
         have = [F.col(n) if n in df.columns else F.lit(None).alias(n) for n in names]
         frames.append(df.select(F.lit(kind).alias("kind"), *have))
     return frames[0].unionByName(frames[1])
@@ -132,8 +141,12 @@ SELECT 'history', source_table, event_time, status, trigger_time FROM history h
     SELECT 1 FROM queue q WHERE q.status = 'R' AND q.source_table = h.source_table AND q.event_time = h.event_time)
 """)
 def queue_requeue(spark: SparkSession, folder: str) -> DataFrame:
-    state = queue.requeue(fx.queue(spark, folder), fx.history(spark, folder))
-    return tagged(state, "source_table", "event_time", "status", "trigger_time")
+    rows, (running, done) = fx.queue(spark, folder), history_parts(spark, folder)
+    back = queue.requeue(rows)
+    left = running.join(back.select(*queue.PAIR), queue.PAIR, "left_anti")
+    return tagged(
+        queue.with_changes(rows, back), queue.current_history(left, done), "source_table", "event_time", "status", "trigger_time"
+    )
 
 
 FINISHED = f"""
@@ -175,10 +188,13 @@ SELECT 'history', h.source_table, h.event_time, coalesce(f.status, h.status),
 FROM history h LEFT JOIN finished f ON f.source_table = h.source_table AND f.event_time = h.event_time
 """)
 def queue_dequeue(spark: SparkSession, folder: str) -> DataFrame:
-    rows = fx.queue(spark, folder)
-    state = queue.finish(rows, fx.history(spark, folder), finished_runs(rows))
+    rows, (running, done) = fx.queue(spark, folder), history_parts(spark, folder)
+    outcomes = finished_runs(rows)
+    after = queue.finish(rows, running, outcomes.unionByName(outcomes))  # reported twice, counted once
+    left = running.join(after.finished.select(*queue.PAIR), queue.PAIR, "left_anti")
     wide = tagged(
-        state, "source_table", "event_time", "status", "finish_time", "duration_min", "num_records", "error"
+        queue.with_changes(rows, gone=after.gone), queue.current_history(left, done.unionByName(after.finished)),
+        "source_table", "event_time", "status", "finish_time", "duration_min", "num_records", "error",
     )
     return wide.withColumn("num_records", F.coalesce("num_records", F.lit(-1).cast("bigint")))
 
@@ -195,19 +211,22 @@ SELECT 'history', count(*) FILTER (o_orderstatus = 'F' OR (o_orderstatus = 'P' A
     OR (o_orderstatus = 'O' AND o_orderkey % 11 = 0)), 0 FROM orders
 """)
 def queue_reset(spark: SparkSession, folder: str) -> DataFrame:
-    state = stream.queue_state(spark, fresh_folder(spark, "state"))
-    state.replace({"queue": fx.queue(spark, folder), "history": fx.history(spark, folder)})
-    names = ("queue", "history")
-    before = [(n, state.read(n), 1, 0) for n in names]
+    state = RefreshState(spark, fresh_folder(spark, "state"))
+    running, done = history_parts(spark, folder)
+    state.put_queue(fx.queue(spark, folder))
+    state.add_finished(done.unionByName(running))
+
+    def sizes(before: int, after: int) -> list[DataFrame]:
+        return [
+            df.select(F.lit(n).alias("name"), F.lit(before).alias("before"), F.lit(after).alias("after"))
+            for n, df in (("queue", state.queue()), ("history", state.finished()))
+        ]
+
+    held = reduce(DataFrame.unionByName, sizes(1, 0)).groupBy("name").agg(F.sum("before").alias("before")).transform(written, "held")
     stream.recover(state, reset=True)
-    after = [(n, state.read(n), 0, 1) for n in names]
-    marks = [
-        df.select(F.lit(n).alias("name"), F.lit(b).alias("before"), F.lit(a).alias("after"))
-        for n, df, b, a in before + after
-    ]
-    return reduce(DataFrame.unionByName, marks).groupBy("name").agg(
-        F.sum("before").alias("rows_before"), F.sum("after").alias("rows_after")
-    )
+    left = reduce(DataFrame.unionByName, sizes(0, 1)).groupBy("name").agg(F.sum("after").alias("after"))
+    return held.join(left, "name", "left").select(
+        "name", F.col("before").alias("rows_before"), F.coalesce("after", F.lit(0)).cast("bigint").alias("rows_after"))
 
 
 # -- batch queue
@@ -293,7 +312,7 @@ def refresh_flow(spark: SparkSession, folder: str) -> DataFrame:
     after = written(cycle(found, fx.metadata(spark, folder), empty, fx.ASOF, fx.CATALOG), "queue")
     order = [F.desc("priority"), F.asc("event_time"), F.asc("source_table")]
     ranks = queue.top_rows(queue.claimable(after), DEFAULT_SLOTS, order).select("source_table", "claim_rank")
-    return after.join(F.broadcast(ranks), "source_table", "left").withColumn(
+    return after.join(ranks, "source_table", "left").withColumn(
         "claim_rank", F.coalesce("claim_rank", F.lit(0))
     )
 
@@ -351,16 +370,28 @@ ALL_EVENTS = (
 )
 
 
-def run_stream(spark: SparkSession, folder: str, load=None):
-    """All events through the streaming query; the state it leaves."""
-    state = stream.queue_state(spark, fresh_folder(spark, "state"))
+def split_events(spark: SparkSession, folder: str, files: int) -> str:
+    """The events by time in several files, written one after the other."""
+    events, target = fx.table(spark, folder, "events"), fresh_folder(spark, "event-files")
+    low, high = (r.timestamp() for r in events.agg(F.min(F.col("ts").cast("timestamp")), F.max(F.col("ts").cast("timestamp"))).first())
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    number = F.least(F.floor((at - int(low)) * files / (int(high) - int(low) + 1)), F.lit(files - 1))
+    for i in range(files):
+        events.where(number == i).coalesce(1).write.mode("append").parquet(target)
+    return target
+
+
+def run_stream(spark: SparkSession, folder: str, files: int = 1) -> RefreshState:
+    """All events through the streaming query, in as many batches; the state it leaves."""
+    state = RefreshState(spark, fresh_folder(spark, "state"))
     stream.recover(state)
     schema = fx.table(spark, folder, "events").schema
-    events = stream.tracking_stream(spark, f"{folder}/events.parquet*", schema, fx.source_table(), "ts")
+    path = f"{folder}/events.parquet*" if files == 1 else split_events(spark, folder, files)
+    events = stream.tracking_stream(spark, path, schema, fx.source_table(), "ts", max_files=1 if files > 1 else None)
     attrs = fx.metadata(spark, folder)
     run = stream.start_refresh(
         events, lambda: attrs, state, fresh_folder(spark, "stream"), fx.CATALOG,
-        asof=lambda: fx.LADDER_ASOF, load=load, available_now=True,
+        asof=lambda: fx.LADDER_ASOF, available_now=True,
     )
     run.awaitTermination()
     return state
@@ -368,43 +399,52 @@ def run_stream(spark: SparkSession, folder: str, load=None):
 
 @query(f"WITH {ALL_EVENTS} SELECT * FROM refreshed")
 def stream_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    return run_stream(spark, folder).read("queue")
+    return run_stream(spark, folder).queue()
 
 
-def finish_all(claimed: DataFrame) -> DataFrame:
-    """Stands for the copies: each claimed table is done after a minute per priority."""
-    return claimed.select(
-        "source_table", "event_time", F.lit("SUCCESS").alias("status"),
-        wall(fx.LADDER_ASOF).alias("finish_time"), F.col("priority").cast("double").alias("duration_min"),
-        F.length("source_table").cast("bigint").alias("num_records"), F.lit("").alias("error"),
-    )
+@query(f"""
+WITH {ALL_EVENTS}
+SELECT source_table, event_time, event_time_latest, priority, status FROM refreshed
+""")
+def stream_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in three batches: waiting tables carry their first event over, and are put
+    in again by those that follow."""
+    state = run_stream(spark, folder, files=3)
+    assert state.note()[stream.BATCH] == 2
+    return state.queue().select("source_table", "event_time", "event_time_latest", "priority", "status")
 
 
 @query(f"""
-WITH {ALL_EVENTS}, {CLAIMED.format(queue='refreshed', slots=SLOTS_SQL)}
-SELECT 'queue' AS kind, source_table, event_time, status, priority FROM refreshed
-WHERE source_table NOT IN (SELECT source_table FROM claimed)
-UNION ALL
-SELECT 'history', source_table, event_time, 'SUCCESS', priority FROM claimed
+WITH {ALL_EVENTS}
+SELECT CASE WHEN strategy = 'WriteNOS' THEN 'queue' ELSE 'history' END AS kind, source_table, event_time,
+       CASE WHEN strategy = 'WriteNOS' THEN 'Q' ELSE 'SUCCESS' END AS status, priority,
+       CASE WHEN strategy = 'WriteNOS' THEN -1 ELSE length(source_table) END AS num_records
+FROM refreshed
 """)
 def stream_queue_state(spark: SparkSession, folder: str) -> DataFrame:
-    """The streaming query that also claims tables and records how their copies went."""
-    state = run_stream(spark, folder, load=finish_all)
-    both = queue.State(state.read("queue"), state.read("history"))
-    return tagged(both, "source_table", "event_time", "status", "priority")
+    """The streaming query, and workers that take all tables of one strategy from queued
+    over running to done; the other strategy is switched off and waits."""
+    state = run_stream(spark, folder)
+    workers = Workers(state, lambda row: len(row["source_table"]), {"TPT": 8, "WriteNOS": 0}, asof=lambda: fx.LADDER_ASOF)
+    workers.drain()
+    workers.stop()
+    both = tagged(state.queue(), state.history(), "source_table", "event_time", "status", "priority", "num_records")
+    return both.withColumn("num_records", F.coalesce("num_records", F.lit(-1)).cast("bigint"))
 
 
 @query(f"""
-WITH {ALL_EVENTS}, {CLAIMED.format(queue='refreshed', slots=SLOTS_SQL)}, sizes AS (
+WITH {ALL_EVENTS}, sizes AS (
     SELECT source_table, count(*) AS n FROM tracker GROUP BY source_table)
 SELECT source_table, event_time, CASE WHEN source_table LIKE '%.T3' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
        CASE WHEN source_table LIKE '%.T3' THEN 0 ELSE n END AS num_records,
-       CASE WHEN source_table LIKE '%.T3' THEN 'source is gone' ELSE '' END AS error
-FROM claimed JOIN sizes USING (source_table)
+       CASE WHEN source_table LIKE '%.T3' THEN 'source is gone' ELSE '' END AS error,
+       (SELECT count(*) FROM refreshed) AS loaded, 0 AS waiting
+FROM refreshed JOIN sizes USING (source_table)
 """)
 def event_load(spark: SparkSession, folder: str) -> DataFrame:
-    """From events to copied tables: queue, claim, copy each claimed table, history. The
-    rows of a table are the events that name it, one folder per table."""
+    """From events to copied tables: queue, claims as slots come free, a copy of each table,
+    history, until the queue is empty. The rows of a table are the events that name it, one
+    folder per table."""
     base = fresh_folder(spark, "event-load")
     events = fx.table(spark, folder, "events").withColumn("source_table", fx.source_table())
     events.write.partitionBy("source_table").parquet(f"{base}/source")
@@ -418,5 +458,11 @@ def event_load(spark: SparkSession, folder: str) -> DataFrame:
         target = transfer.target_folder(spark, f"{base}/{row['target_table']}", rows.schema)
         return transfer.copy_table(rows, target, f"{base}/stage/{name}")
 
-    state = run_stream(spark, folder, load=lambda claimed: batch_plan.load_claimed(spark, claimed, load))
-    return state.read("history").select("source_table", "event_time", "status", "num_records", "error")
+    state = run_stream(spark, folder)
+    workers = Workers(state, load, DEFAULT_SLOTS)
+    waiting = workers.drain()
+    workers.stop()
+    history = state.history()
+    return history.select(
+        "source_table", "event_time", "status", "num_records", "error",
+        F.lit(history.count()).cast("bigint").alias("loaded"), F.lit(waiting).alias("waiting"))

@@ -154,3 +154,17 @@ def past_top_of_hour(c: Column) -> Column:
     """False in the first three minutes of an hour, when claims wait."""
     return F.minute(c) > 2
 
+
+def claims_open(c: Column, hold: bool = False, avoid: str = "") -> Column:
+    """Whether claims may begin at a wall clock time: with ``hold`` not in the first minutes
+    of an hour, and never in the hours ``avoid`` names."""
+    return (past_top_of_hour(c) if hold else F.lit(True)) & ~avoid_window(c, avoid)
+
+
+def local_now(zone: str = ZONE) -> datetime:
+    return datetime.now(ZoneInfo(zone)).replace(tzinfo=None, microsecond=0)
+
+
+def wall_of_epoch(seconds: float, zone: str = ZONE) -> datetime:
+    """The wall clock of ``zone`` at a time of the driver's clock, to the whole second."""
+    return datetime.fromtimestamp(int(seconds), ZoneInfo(zone)).replace(tzinfo=None)

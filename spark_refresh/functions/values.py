@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.lines import ranked_from_end
+
 
 def row_text(*texts: Column) -> Column:
     """``('a', 'b', '3')``. Quotes inside a value are left out, NULL is the word None; a
@@ -28,3 +30,12 @@ def values_text(df: DataFrame, text: str, group: str, order: str) -> DataFrame:
     return df.groupBy(group).agg(
         F.array_join(F.transform(pairs, lambda p: p[text]), ", ").alias("values_text")
     )
+
+
+def statements(df: DataFrame, text: str, order: str, rows: int) -> DataFrame:
+    """Value lists of at most ``rows`` rows each, in the order of a unique whole number:
+    ``statement`` (from 0) and ``values_text``. Rows are numbered within ranges, not in one
+    task."""
+    numbered = ranked_from_end(df.select(order, text), order, "_rank")
+    last = df.count() - 1
+    return values_text(numbered.withColumn("statement", F.floor((F.lit(last) - F.col("_rank")) / rows)), text, "statement", order)

@@ -37,8 +37,8 @@ def claim_rows(queue: DataFrame, slots: Mapping[str, int] | None = None) -> Data
 
 
 def mark_running(queue: DataFrame, claimed: DataFrame) -> DataFrame:
-    """``claimed`` holds at most the number of slots, which bounds what is broadcast."""
-    taken = F.broadcast(claimed.select("source_table", F.lit(True).alias("taken")))
+    """The whole queue with the claimed rows running; its size decides how it is joined."""
+    taken = claimed.select("source_table", F.lit(True).alias("taken"))
     status = F.when(F.col("taken").isNotNull(), F.lit(RUNNING_ROW)).otherwise(F.col("status"))
     return (
         queue.join(taken, "source_table", "left")

@@ -1,8 +1,9 @@
 """The keyed work queue and its history.
 
 A queue row is absent, queued (Q) or running (R); a history row is RUNNING, SUCCESS or
-FAILED. Each transition is computed from the old state as a whole; the caller writes the
-result as the next version (:class:`spark_refresh.sources.snapshots.Snapshots`).
+FAILED. Running rows are few; what has finished is only ever added to, and an event that was
+processed again is shown as it went last. Claims and finishes give the rows that change, not
+the whole state; :class:`spark_refresh.plans.state.RefreshState` keeps them.
 
 The queue has one row per table, the history one per table and event time, so joins by
 these keys meet at most one row on either side and no key can be hot. Incoming rows can
@@ -21,22 +22,47 @@ from pyspark.sql import functions as F
 
 from ..functions.times import as_wall
 from ..schemas import (
-    DEFAULT_SLOTS, FAILED, HISTORY, QUEUE, QUEUED, RUNNING, RUNNING_ROW, SUCCESS,
+    DEFAULT_SLOTS, HISTORY, QUEUE, QUEUED, RUNNING, RUNNING_ROW,
 )
 from ..sources.scratch import written
 
 PAIR = ["source_table", "event_time"]
 
-
-class State(NamedTuple):
-    queue: DataFrame
-    history: DataFrame
+# Up to this rank Spark limits the rows of a window in each task.
+RANKS = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 class Claim(NamedTuple):
+    """Rows taken, the queue rows that change by it, and the history rows that begin."""
+
     claimed: DataFrame
-    queue: DataFrame
-    history: DataFrame
+    changed: DataFrame
+    started: DataFrame
+
+
+class Finish(NamedTuple):
+    """Tables that leave the queue, and the history rows of what has finished."""
+
+    gone: DataFrame
+    finished: DataFrame
+
+
+def with_changes(queue: DataFrame, changed: DataFrame | None = None, gone: DataFrame | None = None) -> DataFrame:
+    """The queue with some rows changed and some gone, by table."""
+    if gone is not None:
+        queue = queue.join(gone.select("source_table"), "source_table", "left_anti")
+    if changed is None:
+        return queue.select(*QUEUE.names)
+    kept = queue.join(changed.select("source_table"), "source_table", "left_anti")
+    return kept.select(*QUEUE.names).unionByName(changed.select(*QUEUE.names))
+
+
+def current_history(running: DataFrame, finished: DataFrame) -> DataFrame:
+    """All history: running rows, and of each other event how it went last."""
+    last = Window.partitionBy(*PAIR).orderBy(F.desc("finish_time"), F.desc("trigger_time"), "status")
+    once = finished.withColumn("_nth", F.row_number().over(last)).where("_nth = 1")
+    others = once.join(running.select(*PAIR), PAIR, "left_anti")
+    return others.select(*HISTORY.names).unionByName(running.select(*HISTORY.names))
 
 
 def in_queue(queue: DataFrame) -> DataFrame:
@@ -66,16 +92,27 @@ def watermark(queue: DataFrame, history: DataFrame, start: datetime | str) -> Da
 
 def combine_incoming(incoming: DataFrame, order: Sequence[str]) -> DataFrame:
     """Per table the first and the last incoming row in the given order, and how many
-    there are. The first is what an insert takes, the last what an update takes."""
-    seq = F.struct(*order)
-    wrong = F.col("status") != QUEUED
-    row = F.struct(*(c for c in QUEUE.names if c != "source_table"))
-    return incoming.groupBy("source_table").agg(
-        F.min_by(row, seq).alias("first"),
-        F.max_by(F.struct("priority", "event_time"), seq).alias("last"),
-        F.count(F.lit(1)).alias("n"),
-        F.bool_or(wrong).alias("wrong"),
+    there are. The first is what an insert takes, the last what an update takes.
+
+    In two phases: the bounds of the first column of the order are fixed-width aggregates,
+    hashed in each task; only the rows at the bounds are then put in order.
+    """
+    key, at = F.col(order[0]), "source_table"
+    bounds = incoming.groupBy(at).agg(
+        F.min(key).alias("_low"), F.max(key).alias("_high"), F.max(key.isNull()).alias("_unset"),
+        F.count(F.lit(1)).alias("n"), F.max(F.col("status") != QUEUED).alias("wrong"),
     )
+    at_low = F.when(F.col("_unset"), key.isNull()).otherwise(key == F.col("_low"))
+    at_high = key.eqNullSafe(F.col("_high"))
+    ends = incoming.join(bounds, at)
+    row = F.struct(*(c for c in QUEUE.names if c != at)).alias("first")
+
+    def best(rows: DataFrame, *sequence: Column) -> DataFrame:
+        return rows.withColumn("_nth", F.row_number().over(Window.partitionBy(at).orderBy(*sequence))).where("_nth = 1")
+
+    first = best(ends.where(at_low), *(F.asc_nulls_first(c) for c in order)).select(at, row, "n", "wrong")
+    last = best(ends.where(at_high), *(F.desc_nulls_last(c) for c in order))
+    return first.join(last.select(at, F.struct("priority", "event_time").alias("last")), at)
 
 
 def upsert(queue: DataFrame, incoming: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -127,13 +164,18 @@ def top_rows(
 ) -> DataFrame:
     """The best rows of each strategy, as many as it has free slots.
 
-    The rank is limited by a constant, so each task keeps only that many rows of a
-    strategy before the shuffle: a strategy can hold any share of the queue.
+    Each task keeps only that many rows of a strategy before the shuffle, whatever share of
+    the queue the strategy holds: by the limited rank of a window for few slots, by an
+    ordered limit per strategy where slots are more than Spark limits ranks for.
     """
     free = {s: k for s, k in slots.items() if k > 0}
     if not free:
         return ready.limit(0).withColumn(rank, F.lit(0))
     window = Window.partitionBy("strategy").orderBy(*order)
+    ranked = F.row_number().over(window)
+    if max(free.values()) > int(ready.sparkSession.conf.get(RANKS)):
+        best = [ready.filter(F.col("strategy") == s).orderBy(*order).limit(k) for s, k in free.items()]
+        return reduce(DataFrame.unionByName, best).withColumn(rank, ranked)
     limit = reduce(
         lambda chain, item: chain.when(F.col("strategy") == item[0], F.lit(item[1])),
         list(free.items())[1:],
@@ -141,108 +183,75 @@ def top_rows(
     )
     return (
         ready.filter(F.col("strategy").isin(*free))
-        .withColumn(rank, F.row_number().over(window))
+        .withColumn(rank, ranked)
         .filter(F.col(rank) <= max(free.values()))
         .filter(F.col(rank) <= limit)
     )
 
 
-def claim_rows(queue: DataFrame, slots: Mapping[str, int] | None = None) -> DataFrame:
-    """Rows to be taken now, highest priority first; ties go to the older event."""
+def claim_rows(
+    queue: DataFrame, slots: Mapping[str, int] | None = None, gate: Column | None = None
+) -> DataFrame:
+    """Rows to be taken now, highest priority first; ties go to the older event.
+
+    ``gate`` holds back rows it is not true for, for example in the first minutes of an hour
+    (:func:`~spark_refresh.functions.times.claims_open`).
+    """
+    ready = claimable(queue) if gate is None else claimable(queue).filter(gate)
     order = [F.desc("priority"), F.asc("event_time"), F.asc("source_table")]
-    return top_rows(claimable(queue), DEFAULT_SLOTS if slots is None else slots, order).drop("claim_rank")
+    return top_rows(ready, DEFAULT_SLOTS if slots is None else slots, order).drop("claim_rank")
 
 
-def history_after_claim(history: DataFrame, claimed: DataFrame, asof: datetime | str) -> DataFrame:
-    """History once the rows are running.
-
-    A RUNNING row of the same event stays. A finished one is replaced: the event is being
-    processed again. ``claimed`` holds at most the number of slots, which bounds what is
-    broadcast; each of its rows meets at most one history row.
-    """
-    taken = F.broadcast(claimed.select(*PAIR, F.lit(True).alias("taken")))
-    redone = F.col("taken").isNotNull() & F.col("status").isin(SUCCESS, FAILED)
-    kept = history.join(taken, PAIR, "left").filter(~redone).select(*HISTORY.names)
-    still = (
-        history.filter(F.col("status") == RUNNING)
-        .join(F.broadcast(claimed.select(*PAIR)), PAIR, "left_semi")
-        .select(*PAIR)
-    )
-    started = claimed.join(F.broadcast(still), PAIR, "left_anti")
-    fresh = {
-        "status": F.lit(RUNNING), "trigger_time": as_wall(asof),
-        "finish_time": F.lit(None), "duration_min": F.lit(None),
-        "error": F.lit(None), "num_records": F.lit(None),
-    }
-    rows = started.select(
-        *(fresh.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in HISTORY.fields)
-    )
-    return kept.unionByName(rows)
-
-
-def queue_after_claim(queue: DataFrame, claimed: DataFrame, asof: datetime | str) -> DataFrame:
-    taken = F.broadcast(claimed.select("source_table", F.lit(True).alias("taken")))
-    changed = queue.join(taken, "source_table", "left")
-    is_taken = F.col("taken").isNotNull()
-    return changed.select(
-        *(
-            {
-                "status": F.when(is_taken, F.lit(RUNNING_ROW)).otherwise(F.col("status")).alias("status"),
-                "trigger_time": F.when(is_taken, as_wall(asof)).otherwise(F.col("trigger_time")).alias("trigger_time"),
-            }.get(n, F.col(n))
-            for n in QUEUE.names
-        )
-    )
+def running_rows(claimed: DataFrame) -> DataFrame:
+    """The history rows of running queue rows."""
+    fixed = {"status": F.lit(RUNNING)}
+    return claimed.select(*(
+        fixed.get(f.name, F.col(f.name) if f.name in claimed.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in HISTORY.fields
+    ))
 
 
 def claim(
-    queue: DataFrame, history: DataFrame, asof: datetime | str, slots: Mapping[str, int] | None = None
+    queue: DataFrame, running: DataFrame, asof: datetime | str, slots: Mapping[str, int] | None = None,
+    gate: Column | None = None,
 ) -> Claim:
-    """Take rows and mark them running in queue and history.
+    """Take rows: what changes in the queue, and the history rows that begin.
 
-    The rows taken are stored first: they are few, and all three results must agree on
-    them.
+    An event that runs already (``running``) begins no second row. The rows taken are stored
+    first: they are few, and all results must agree on them.
     """
-    claimed = written(claim_rows(queue, slots), "claimed")
-    return Claim(
-        claimed,
-        queue_after_claim(queue, claimed, asof),
-        history_after_claim(history, claimed, asof),
-    )
+    claimed = written(claim_rows(queue, slots, gate), "claimed")
+    changed = claimed.withColumns({"status": F.lit(RUNNING_ROW), "trigger_time": as_wall(asof)}).select(*QUEUE.names)
+    started = running_rows(changed).join(running.select(*PAIR), PAIR, "left_anti").select(*HISTORY.names)
+    return Claim(claimed, changed, started)
 
 
 # -- requeue and finish
 
 
-def requeue(queue: DataFrame, history: DataFrame) -> State:
-    """After a crash: running rows are queued again and their history is dropped."""
-    running = queue.filter(F.col("status") == RUNNING_ROW).select(*PAIR)
-    status = F.when(F.col("status") == RUNNING_ROW, F.lit(QUEUED)).otherwise(F.col("status"))
-    return State(
-        queue.withColumn("status", status),
-        history.join(running, PAIR, "left_anti"),
-    )
+def requeue(queue: DataFrame) -> DataFrame:
+    """After a crash: the running rows, queued again. Their history rows are dropped."""
+    return queue.filter(F.col("status") == RUNNING_ROW).withColumn("status", F.lit(QUEUED)).select(*QUEUE.names)
 
 
-def finish(queue: DataFrame, history: DataFrame, finished: DataFrame) -> State:
+def one_per_event(outcomes: DataFrame) -> DataFrame:
+    """One outcome of each event, the one that ended last: a load that was reported twice is one load."""
+    values = [c for c in outcomes.columns if c not in PAIR]
+    first = [c for c in ("finish_time", "status") if c in values]
+    row = F.struct(*first, *(c for c in values if c not in first))
+    return outcomes.groupBy(*PAIR).agg(F.max(row).alias("row")).select(*PAIR, *(F.col(f"row.{c}").alias(c) for c in values))
+
+
+def finish(queue: DataFrame, running: DataFrame, outcomes: DataFrame) -> Finish:
     """Running rows that are done leave the queue; their history gets the outcome.
 
-    ``finished`` has the pair, ``status``, ``finish_time``, ``duration_min``,
-    ``num_records`` and ``error``, one row per pair.
+    ``outcomes`` has the pair, ``status``, ``finish_time``, ``duration_min``,
+    ``num_records`` and ``error``.
     """
-    done = finished.select(*PAIR, F.lit(True).alias("done"))
-    is_gone = F.col("done").isNotNull() & (F.col("status") == RUNNING_ROW)
-    left = queue.join(done, PAIR, "left").filter(~is_gone).select(*QUEUE.names)
-
-    written = ["status", "finish_time", "duration_min", "num_records", "error"]
-    outcome = finished.select(*PAIR, F.struct(*written).alias("outcome"))
-    known = F.col("outcome").isNotNull()
-    updated = history.join(outcome, PAIR, "left").select(
-        *(
-            F.when(known, F.col(f"outcome.{f.name}")).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
-            if f.name in written
-            else F.col(f.name)
-            for f in HISTORY.fields
-        )
-    )
-    return State(left, updated)
+    known = one_per_event(outcomes)
+    gone = queue.filter(F.col("status") == RUNNING_ROW).join(known.select(*PAIR), PAIR, "left_semi").select("source_table")
+    facts = ["status", "finish_time", "duration_min", "num_records", "error"]
+    old = running.select(*(c for c in HISTORY.names if c not in facts))
+    finished = old.join(known.select(*PAIR, *facts), PAIR).select(
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in HISTORY.fields))
+    return Finish(gone, finished)

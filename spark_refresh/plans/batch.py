@@ -1,99 +1,87 @@
-"""Reloading many tables at once.
+"""Reloading many tables at once: a batch queue worked off from its first line to its last.
 
-The copies are independent Spark jobs, submitted from a few driver threads per strategy.
-The driver holds the tables in flight, not the manifest.
+The queue of a batch is state as the other one is: claims are driven by free slots, a claim
+or a finish adds the rows that change. The driver holds the tables in flight, not the manifest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
-from threading import Lock
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
+from threading import RLock
 
-from pyspark import InheritableThread
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.times import ZONE, from_epoch, minutes_between
-from ..schemas import DEFAULT_SLOTS, RUN
+from ..operators import batch as queue_rules
+from ..schemas import BATCH_QUEUE, DEFAULT_SLOTS, RUN, RUNNING_ROW
+from ..sources.scratch import fresh_folder
+from ..sources.versions import Versions
 from .report import append_report
-from .transfer import outcome
+from .state import GONE, PARTS, latest_rows
+from .workers import Load, Workers
 
 REPORT_ROWS = 500
 
 
-def _in_pool(spark: SparkSession, strategy: str, task: Callable[[], dict]) -> dict:
-    """Run a copy in the scheduler pool of its strategy (FAIR mode shares the executors)."""
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", strategy)
-    return task()
 
 
-def _work_off(
-    spark: SparkSession,
-    rows: DataFrame,
-    strategy: str,
-    slots: int,
-    load: Callable[[Row], int],
-    done: Callable[[dict], None],
-) -> None:
-    """Copy the tables of one strategy, ``slots`` at a time, highest priority first.
+class BatchState:
+    """The queue of a batch below a folder."""
 
-    Rows are fetched partition by partition and only as copies finish.
-    """
-    pending = set()
-    with ThreadPoolExecutor(slots, thread_name_prefix=strategy) as threads:
-        for row in rows.orderBy(F.desc("priority")).toLocalIterator():
-            if len(pending) == slots:
-                finished, pending = wait(pending, return_when=FIRST_COMPLETED)
-                for f in finished:
-                    done(f.result())
-            run = lambda row=row: outcome(row["source_table"], strategy, lambda: load(row))
-            pending.add(threads.submit(_in_pool, spark, strategy, run))
-        for f in pending:
-            done(f.result())
-
-
-def load_claimed(
-    spark: SparkSession,
-    claimed: DataFrame,
-    load: Callable[[Row], int],
-    slots: Mapping[str, int] | None = None,
-    zone: str = ZONE,
-) -> DataFrame:
-    """Copy the claimed tables side by side; what :func:`~spark_refresh.operators.queue.finish`
-    needs to know of them.
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.lock = spark, RLock()
+        self.table = Versions(spark, folder, T.StructType([*BATCH_QUEUE.fields, T.StructField(GONE, T.BooleanType())]))
 
-    The claimed rows, at most the number of slots, are all the driver holds. A copy that
-    fails is FAILED with the time it ended.
-    """
-    slots = DEFAULT_SLOTS if slots is None else slots
-    rows = claimed.collect()
-    pools = {s: ThreadPoolExecutor(k, thread_name_prefix=s) for s, k in slots.items() if k > 0}
-    try:
-        runs = [
-            pools[row["strategy"]].submit(
-                _in_pool, spark, row["strategy"],
-                lambda row=row: outcome(row["source_table"], row["strategy"], lambda: load(row)),
-            )
-            for row in rows
-        ]
-        done = [
-            (row["event_time"], *(run.result()[n] for n in RUN.names)) for row, run in zip(rows, runs)
-        ]
-    finally:
-        for pool in pools.values():
-            pool.shutdown()
-    schema = T.StructType([T.StructField("event_time", T.TimestampNTZType()), *RUN.fields])
-    return spark.createDataFrame(done, schema).select(
-        F.col("table").alias("source_table"),
-        "event_time",
-        "status",
-        from_epoch(F.floor("end"), zone).alias("finish_time"),
-        minutes_between(F.col("start"), F.col("end")).alias("duration_min"),
-        "num_records",
-        "error",
-    )
+    def put_queue(self, queue: DataFrame) -> None:
+        with self.lock:
+            self.table.replace(queue.withColumn(GONE, F.lit(False)))
+
+    def queue(self) -> DataFrame:
+        return latest_rows(self.table, BATCH_QUEUE.names)
+
+    def progress(self, manifest: DataFrame) -> Row:
+        """How many tables were picked up, wait, and are there in all."""
+        return queue_rules.progress(self.queue(), manifest).first()
+
+    def advance(
+        self, done: Sequence[Row], slots: Mapping[str, int], asof: datetime | str, gate: Column | None = None,
+    ) -> list[Row]:
+        """Take what is done out of the queue and claim lines for free slots, in one change."""
+        with self.lock:
+            taken = queue_rules.claim_rows(self.queue(), slots).collect() if any(k > 0 for k in slots.values()) else []
+            names = [*BATCH_QUEUE.names, GONE]
+            rows = [r.asDict() | {"status": RUNNING_ROW, GONE: False} for r in taken]
+            rows += [dict.fromkeys(names) | {"source_table": r["table"], GONE: True} for r in done]
+            if rows:
+                changed = self.spark.createDataFrame([tuple(r[n] for n in names) for r in rows], self.table.schema)
+                self.table.add(changed.coalesce(1))
+                if len(self.table.marks()) > PARTS:
+                    self.put_queue(self.queue())
+            return taken
+
+
+class BatchWorkers(Workers):
+    """Workers whose finished copies are runs to report, some hundred at a time."""
+
+    def __init__(self, state: BatchState, load: Load, slots: Mapping[str, int], report_folder: str, run_folder: str):
+        super().__init__(state, load, slots)
+        self.report_folder, self.run_folder, self.runs = report_folder, run_folder, []
+
+    def _record(self, row: Row, run: dict) -> Row:
+        done = Row(**{n: run[n] for n in RUN.names})
+        self.runs.append(done)
+        if len(self.runs) >= REPORT_ROWS:
+            self.flush()
+        return done
+
+    def flush(self) -> None:
+        if self.runs:
+            runs = self.state.spark.createDataFrame([tuple(r) for r in self.runs], RUN).coalesce(1)
+            runs.write.mode("append").parquet(self.run_folder)
+            append_report(runs, self.report_folder)
+            self.runs = []
 
 
 def batch_reload(
@@ -103,55 +91,21 @@ def batch_reload(
     report_folder: str,
     run_folder: str,
     slots: Mapping[str, int] | None = None,
+    state: BatchState | None = None,
 ) -> DataFrame:
     """Copy every table of a batch queue; the runs as a DataFrame.
 
     ``load`` copies the table of a queue row and gives its number of rows; if it fails the
     others go on. A strategy with 0 slots is switched off: its rows stay queued. Runs are
-    added to the report and to ``run_folder`` as they finish, some hundred at a time.
+    added to the report and to ``run_folder`` as they finish. ``state`` keeps the queue, for
+    a look at the progress from beside.
     """
-    slots = DEFAULT_SLOTS if slots is None else slots
-    # Two jobs that append to one folder at a time would remove each other's work files.
-    writing = Lock()
-
-    def work(strategy: str, count: int) -> None:
-        buffer: list[dict] = []
-
-        def flush() -> None:
-            if buffer:
-                rows = [tuple(r[n] for n in RUN.names) for r in buffer]
-                runs = spark.createDataFrame(rows, RUN).coalesce(1)
-                with writing:
-                    runs.write.mode("append").parquet(run_folder)
-                    append_report(runs, report_folder)
-                buffer.clear()
-
-        def done(run: dict) -> None:
-            buffer.append(run)
-            if len(buffer) >= REPORT_ROWS:
-                flush()
-
-        try:
-            _work_off(spark, queue.filter(F.col("strategy") == strategy), strategy, count, load, done)
-        finally:  # what has finished is reported, also if the queue cannot be read on
-            flush()
-
-    errors: list[BaseException] = []
-
-    def guarded(strategy: str, count: int) -> None:
-        try:
-            work(strategy, count)
-        except BaseException as failure:  # noqa: BLE001 - handed to the caller below
-            errors.append(failure)
-
-    threads = [
-        InheritableThread(target=guarded, args=(s, k), session=spark)
-        for s, k in slots.items() if k > 0
-    ]
-    for t in threads:
-        t.start()
-    for t in threads:
-        t.join()
-    if errors:
-        raise errors[0]
+    state = state or BatchState(spark, fresh_folder(spark, "batch-queue"))
+    state.put_queue(queue)
+    workers = BatchWorkers(state, load, DEFAULT_SLOTS if slots is None else slots, report_folder, run_folder)
+    try:
+        workers.drain()
+    finally:  # what has finished is reported, also if the queue cannot be read on
+        workers.stop()
+        workers.flush()
     return spark.read.schema(RUN).parquet(run_folder)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import stripped
 from ..functions.times import ZONE, from_epoch, minutes_between, short_text
-from ..sources.snapshots import Snapshots
+from ..schemas import TEXT, struct
+from ..sources.versions import Versions
 
 # Columns of the run report.
 REPORT_COLUMNS = (
@@ -35,8 +36,26 @@ def run_report(runs: DataFrame, zone: str = ZONE) -> DataFrame:
 
 
 def append_report(runs: DataFrame, folder: str, zone: str = ZONE) -> None:
-    """Add report lines to a CSV folder; each file starts with the header."""
-    run_report(runs, zone).write.mode("append").option("header", True).csv(folder)
+    """Add report lines to a CSV folder; each file starts with the header.
+
+    Texts are quoted, and line ends and quotes within them escaped, so that a line of any
+    error reads back as it was written (:func:`read_report`).
+    """
+    lines = run_report(runs, zone).withColumn("ERROR", F.translate("ERROR", "\r\n", "  "))
+    lines.write.mode("append").options(**CSV).csv(folder)
+
+
+# How reports are written and read: an empty text is not a missing one.
+CSV = {"header": True, "escape": '"', "nullValue": "NULL", "emptyValue": "", "ignoreLeadingWhiteSpace": False,
+       "ignoreTrailingWhiteSpace": False}
+
+
+def read_report(spark: SparkSession, folder: str) -> DataFrame:
+    """All report lines, as text but for the number of rows."""
+    lines = spark.read.schema(struct(**dict.fromkeys(REPORT_COLUMNS, TEXT))).options(**CSV, enforceSchema=False).csv(folder)
+    return lines.withColumns({
+        "NUM_RECORDS": F.col("NUM_RECORDS").cast("bigint"), "ERROR": F.coalesce("ERROR", F.lit("")),
+    })
 
 
 def finished_since(history: DataFrame, since) -> DataFrame:
@@ -49,8 +68,8 @@ def last_update(target: DataFrame) -> DataFrame:
     return target.agg(F.max("finish_time").alias("max_finish_time"))
 
 
-def append_history(history: DataFrame, target: Snapshots, name: str = "data") -> None:
+def append_history(history: DataFrame, target: Versions) -> None:
     """Append what has finished since the last report. Types and NULLs stay as they are."""
-    mark = last_update(target.read(name)).first()[0]
+    mark = last_update(target.read()).first()[0]
     since = None if mark is None else F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
-    target.append(name, finished_since(history, since))
+    target.add(finished_since(history, since))

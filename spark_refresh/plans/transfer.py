@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ..functions.casts import has_misfit, source_projection, target_casts, tried
 from ..schemas import FAILED, SUCCESS, struct
 from ..sources.catalogue import source_columns, target_schema
 from ..sources.scratch import fresh_folder
-from ..sources.snapshots import Snapshots
+from ..sources.versions import Versions
 
 # Fixed value: rows per file of rows that were applied.
 APPLY_ROWS = 1_000_000
@@ -28,25 +29,38 @@ class TransferError(Exception):
     """A copy that failed, with the reason."""
 
 
-def row_width(schema: T.StructType) -> int:
-    """Rough bytes per row, for file sizes only."""
-    fixed = {"tinyint": 1, "boolean": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
-    return sum(
-        fixed.get(k := f.dataType.simpleString(), 20 if k == "string" or "(" in k else 8)
-        for f in schema.fields
-    ) or 1
+WIDTH_ROWS = 1000
 
 
-def records_per_file(schema: T.StructType, file_bytes: int = STAGE_FILE_BYTES) -> int:
-    return max(1, file_bytes // row_width(schema))
+def row_width(rows: DataFrame, sample: int = WIDTH_ROWS) -> float:
+    """Measured bytes per row, for file sizes only: the mean of the first rows, text and
+    bytes by their length and other types by the size Spark keeps them in."""
+    fixed, varying = 0, []
+    for f in rows.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
+            varying.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            varying.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)))
+        else:
+            fixed += 4 if isinstance(f.dataType, (T.IntegerType, T.DateType, T.FloatType)) else 8
+    if not varying:
+        return float(max(fixed, 1))
+    total = reduce(lambda x, y: x + y, (v.cast("bigint") for v in varying))
+    mean = rows.limit(sample).agg(F.avg(total).alias("mean")).first()["mean"]
+    return max(fixed + (mean or 0.0), 1.0)
+
+
+def records_per_file(width: float, file_bytes: int = STAGE_FILE_BYTES) -> int:
+    return max(1, int(file_bytes // width))
 
 
 @dataclass(frozen=True)
 class Stage:
-    """Exported files and the number of rows in them."""
+    """Exported files, the number of rows in them, and how many of those make a file."""
 
     folder: str
     rows: int
+    per_file: int
 
 
 # Endings of files that their readers cannot split.
@@ -57,13 +71,16 @@ COLUMNAR = (".parquet", ".orc", ".avro")
 def spread(df: DataFrame, unsplit: bool | None = None) -> DataFrame:
     """The rows over all cores where their reader cannot split them.
 
-    ``unsplit`` says so, as for one connection; else the names of the files tell. Whatever
-    can be split is left as it is: no shuffle, and nothing is run to find out.
+    ``unsplit`` says so, as for one connection; else the names of the files tell: files that
+    cannot be split, and fewer files than cores. Whatever can be split, or comes in many
+    files, is left as it is: no shuffle, and nothing is run to find out. Rows are spread in
+    partitions of the size that adaptive execution is set to.
     """
     if unsplit is None:
         files = df.inputFiles()
-        unsplit = any(f.endswith(UNSPLITTABLE) and not any(c in f for c in COLUMNAR) for f in files)
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if unsplit else df
+        unsplit = len(files) < df.sparkSession.sparkContext.defaultParallelism and any(
+            f.endswith(UNSPLITTABLE) and not any(c in f for c in COLUMNAR) for f in files)
+    return df.hint("rebalance") if unsplit else df
 
 
 def export(
@@ -76,17 +93,20 @@ def export(
     """Write the projected source as Parquet. Rows are counted while they are written.
 
     The condition and the choice of columns reach the scan; the casts run after the rows
-    were spread.
+    were spread. A task writes its split, in files of about ``file_bytes`` by the width that
+    the first rows of the table have.
     """
+    columns = list(columns)
+    per_file = records_per_file(row_width(source.select(*columns)), file_bytes)
     chosen = spread(source.where(F.expr(where)) if where else source).select(*columns)
     seen = Observation()
     (
         chosen.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.option("compression", "snappy")
-        .option("maxRecordsPerFile", records_per_file(chosen.schema, file_bytes))
+        .option("maxRecordsPerFile", per_file)
         .parquet(folder)
     )
-    return Stage(folder, seen.get["rows"])
+    return Stage(folder, seen.get["rows"], per_file)
 
 
 def staged(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
@@ -110,6 +130,10 @@ def typed(df: DataFrame, target: T.StructType | Iterable[tuple[str, str]]) -> Da
     return df.select(*target_casts(target, df.schema))
 
 
+# Set while both kinds of rows are written: a writer for each, instead of a sort of all rows.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 def load_with_quarantine(
     df: DataFrame, target: T.StructType | Iterable[tuple[str, str]], folder: str
 ) -> None:
@@ -117,12 +141,18 @@ def load_with_quarantine(
     aside as they came. One pass writes both, told apart by the ``quarantined`` folder."""
     misfit = has_misfit(target, df.schema)
     raw = F.when(misfit, F.to_json(F.struct(*df.columns)))
-    (
-        df.select(*tried_casts(target, df.schema), raw.alias("raw_row"), misfit.alias("quarantined"))
-        .write.option("maxRecordsPerFile", APPLY_ROWS)
-        .partitionBy("quarantined")
-        .parquet(folder)
-    )
+    conf = df.sparkSession.conf
+    before = conf.get(WRITERS)
+    conf.set(WRITERS, "2")
+    try:
+        (
+            df.select(*tried_casts(target, df.schema), raw.alias("raw_row"), misfit.alias("quarantined"))
+            .write.option("maxRecordsPerFile", APPLY_ROWS)
+            .partitionBy("quarantined")
+            .parquet(folder)
+        )
+    finally:
+        conf.set(WRITERS, before)
 
 
 def applied_rows(spark: SparkSession, folder: str, target: T.StructType) -> DataFrame:
@@ -136,9 +166,9 @@ def quarantined_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder).filter("quarantined").select("raw_row")
 
 
-def target_folder(spark: SparkSession, folder: str, schema: T.StructType) -> Snapshots:
-    """A target table kept as snapshots: a refresh replaces it only once it is complete."""
-    return Snapshots(spark, folder, {"data": schema})
+def target_folder(spark: SparkSession, folder: str, schema: T.StructType) -> Versions:
+    """A target table kept by version: a refresh replaces it only once it is complete."""
+    return Versions(spark, folder, schema)
 
 
 def check_counts(expected: int, inserted: int) -> None:
@@ -148,35 +178,55 @@ def check_counts(expected: int, inserted: int) -> None:
 
 def copy_table(
     source: DataFrame,
-    target: Snapshots,
+    target: Versions,
     stage_folder: str,
     where: str | None = None,
     validate_counts: bool = True,
     catalogue: Iterable[Mapping] | None = None,
     file_bytes: int = STAGE_FILE_BYTES,
+    misfits: str | None = None,
 ) -> int:
     """Copy a table into a target folder; the number of rows exported.
 
     Without a condition the target is refreshed as a whole: the new version counts only
-    after its rows were checked, so a failed load leaves the old one. With a condition the
-    rows are appended, without looking for rows already there.
+    after its rows were counted, as they are written, so a failed load leaves the old one.
+    With a condition the rows are appended, without looking for rows already there.
+
+    With ``misfits`` rows that have a value which does not fit are appended to that folder as
+    they came (:func:`kept_misfits`), and the others are loaded. They are found in the same
+    pass; only where there are any are the staged rows read a second time.
     """
-    spark, schema = source.sparkSession, target.schemas["data"]
+    spark, schema = source.sparkSession, target.schema
     entries = list(source_columns(source.schema) if catalogue is None else catalogue)
     columns = source_projection(entries, schema, source.schema)
     stage = export(source, columns, stage_folder, where, file_bytes)
-    rows = typed(staged(spark, stage.folder), schema)
-    per_file = records_per_file(schema)
-
-    # what is loaded counts only once its rows were counted, as a new table or a part of it
-    version = target.prepare({"data": rows}, per_file)
-    if validate_counts:
-        path = target.table_path("data", version)
-        check_counts(stage.rows, spark.read.schema(schema).parquet(path).count())
-    target.commit(version, append=bool(where))
+    rows, kept, seen = staged(spark, stage.folder), 0, Observation()
+    if misfits is None:
+        loaded = typed(rows, schema)
+    else:
+        misfit = has_misfit(schema, rows.schema)
+        judged = rows.select(*tried_casts(schema, rows.schema), misfit.alias("_misfit"))
+        loaded = judged.observe(seen, F.count_if(F.col("_misfit")).alias("kept")).where("NOT _misfit").drop("_misfit")
+
+    def check(inserted: int) -> None:
+        nonlocal kept
+        kept = seen.get["kept"] if misfits is not None else 0
+        if validate_counts:
+            check_counts(stage.rows, inserted + kept)
+        if kept:
+            bad = rows.where(has_misfit(schema, rows.schema)).select(F.to_json(F.struct(*rows.columns)).alias("raw_row"))
+            bad.write.mode("append").parquet(misfits)
+
+    write = target.add if where else target.replace
+    write(loaded, max_records=stage.per_file, check=check)
     return stage.rows
 
 
+def kept_misfits(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows a copy has kept aside, as JSON text of their staged form (``raw_row``)."""
+    return spark.read.schema(struct(raw_row=T.StringType())).parquet(folder)
+
+
 def copy_to_catalog(
     source: DataFrame,
     table: str,
@@ -191,20 +241,19 @@ def copy_to_catalog(
     entries = list(source_columns(source.schema) if catalogue is None else catalogue)
     stage = export(source, source_projection(entries, types, source.schema), stage_folder, where)
     rows = typed(staged(spark, stage.folder), types)
+    if validate_counts:  # before the target is touched: counted from the footers of the staged files
+        check_counts(stage.rows, staged(spark, stage.folder).count())
     named = spark.table(table).columns
-    rows = rows.select(*(F.col(n) if n in rows.columns else F.lit(None).alias(n) for n in named))
-    # the typed rows are complete and counted before the target is touched
-    loaded = f"{stage_folder}-typed"
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(loaded)
+    rows = rows.select(*(F.col(n) if n in rows.columns else F.lit(None).alias(n) for n in named))
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=not where)
     if validate_counts:
         check_counts(stage.rows, seen.get["rows"])
-    spark.read.schema(rows.schema).parquet(loaded).write.insertInto(table, overwrite=not where)
     spark.catalog.refreshTable(table)
     return stage.rows
 
 
-def truncate(target: Snapshots) -> None:
+def truncate(target: Versions) -> None:
     target.reset()
 
 
@@ -226,7 +275,7 @@ def reload_table(
     name: str,
     strategy: str,
     source,
-    target: Snapshots,
+    target: Versions,
     where: str | None = None,
     stage_folder: str | None = None,
 ) -> dict:

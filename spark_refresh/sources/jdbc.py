@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,54 @@ def modulo_predicates(column: str, splits: int) -> list[str]:
     return [f"({rest[0]} OR {column} IS NULL)", *rest[1:]]
 
 
+CELLS = 16  # quantiles for each split
+
+
+def quantile_predicates(df: DataFrame, column: str, splits: int, second: str | None = None) -> list[str]:
+    """Conditions of about equal numbers of rows that each row meets exactly one of.
+
+    Cuts are taken from approximate quantiles, ``CELLS`` for each split, of one aggregation.
+    NULL has a split of its own where it occurs. A value that fills more than a split is cut
+    by the remainder of ``second``, a whole number, where it is given; there are then more
+    conditions than ``splits``, none of them larger.
+    """
+    if splits < 1:
+        raise ValueError("need at least one split")
+    cells = splits * CELLS
+    found = df.agg(
+        F.percentile_approx(column, [i / cells for i in range(1, cells)], 100 * cells).alias("cuts"),
+        F.max(F.col(column).isNull()).alias("unset"),
+    ).first()
+    cuts, conditions, low, last, weight = found["cuts"] or [], [], None, None, 0
+
+    def close(condition: str) -> None:
+        conditions.append(f"{column} > {low} AND {condition}" if low is not None else condition)
+
+    for value, times in sorted(Counter(cuts).items()):
+        text = _literal(value)
+        if times > CELLS:
+            close(f"{column} < {text}")
+            parts = -(-(times + 1) // CELLS) if second else 1
+            rest = [f" AND ABS(MOD({second}, {parts})) = {i}" for i in range(parts)] if parts > 1 else [""]
+            if parts > 1:
+                rest[0] = f" AND (ABS(MOD({second}, {parts})) = 0 OR {second} IS NULL)"
+            conditions += [f"{column} = {text}{r}" for r in rest]
+            low, last, weight = text, None, 0
+        elif weight + times > CELLS:
+            close(f"{column} <= {last}")
+            low, last, weight = last, text, times
+        else:
+            last, weight = text, weight + times
+    close(f"{column} IS NOT NULL")
+    return conditions + ([f"{column} IS NULL"] if found["unset"] or found["unset"] is None else [])
+
+
+def _literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    return f"DATE '{value.isoformat()}'" if isinstance(value, date) else str(value)
+
+
 def split_id(predicates: Sequence[str]) -> Column:
     """Number of the split a row falls into."""
     number = F.when(F.expr(predicates[0]), F.lit(0))

@@ -1,50 +1,42 @@
 """Continuous refresh: each micro-batch of tracking events is one cycle.
 
-State is the committed queue and history, replaced once per micro-batch. The number of
-the last applied batch is committed with them, so a batch that is delivered again after a
-failure changes nothing. Events are combined per table before they are shuffled; no
-Python worker holds the events of a table.
+The state (:class:`~spark_refresh.plans.state.RefreshState`) gets a new queue once per
+micro-batch. The number of the batch and the latest event time are written with it, so a
+batch that is delivered again after a failure changes nothing, and no cycle reads history.
+Events are combined per table before they are shuffled; no Python worker holds the events of
+a table. Copies are begun by :class:`~spark_refresh.plans.workers.Workers`, beside the cycles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import datetime
-from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.times import ZONE, as_wall, drop_fraction
+from ..functions.times import as_wall, drop_fraction, local_now
 from ..operators.enrich import unmatched
-from ..operators.queue import claim, finish, ignored_events, last_load_time, requeue
+from ..operators.queue import ignored_events
 from ..plans.refresh import refresh_cycle
-from ..schemas import HISTORY, QUEUE
-from ..sources.snapshots import Snapshots
+from ..plans.state import RefreshState
+from ..sources.scratch import written
 from ..sources.tracking import event_wall, tracking_scan
 
 # Fixed value: seconds between two looks at the tracking table.
 CADENCE = "120 seconds"
 
 BATCH = "stream_batch"
+PLANNED = "planned"
 
 
-def queue_state(spark: SparkSession, folder: str) -> Snapshots:
-    return Snapshots(spark, folder, {"queue": QUEUE, "history": HISTORY})
-
-
-def recover(state: Snapshots, reset: bool = False) -> None:
+def recover(state: RefreshState, reset: bool = False) -> None:
     """Before a run: empty the state if asked to, else put running rows back in the queue."""
     if reset or not state.exists:
         state.reset()
     else:
-        old = requeue(state.read("queue"), state.read("history"))
-        state.replace({"queue": old.queue, "history": old.history})
-
-
-def local_now(zone: str = ZONE) -> datetime:
-    return datetime.now(ZoneInfo(zone)).replace(tzinfo=None, microsecond=0)
+        state.recover()
 
 
 def tracking_stream(
@@ -77,9 +69,9 @@ def tracking_stream(
     return events
 
 
-def known_until(state: Snapshots, start: datetime | str | None = None) -> datetime | str | None:
+def known_until(state: RefreshState, start: datetime | str | None = None) -> datetime | str | None:
     """The watermark: the latest event the state knows of, else ``start``."""
-    mark = last_load_time(state.read("queue"), state.read("history")).first()[0]
+    mark = state.latest_event()
     return start if mark is None else mark
 
 
@@ -101,7 +93,7 @@ def passed_over(
 def apply_events(
     events: DataFrame,
     metadata: DataFrame,
-    state: Snapshots,
+    state: RefreshState,
     asof: datetime | str,
     catalog: str,
     start: datetime | str | None = None,
@@ -110,15 +102,19 @@ def apply_events(
 ) -> None:
     """One cycle on the committed state. Events at or before the watermark are late and
     never read. With ``audit_folder`` what is left out is written there, again under the
-    same names if the cycle is repeated."""
+    same names if the cycle is repeated; the events are then stored, as they are read more
+    than once."""
     events = events.filter(F.col("source_table").isNotNull())
-    queue, mark = state.read("queue"), known_until(state, start)
     if audit_folder:
-        for name, df in passed_over(events, metadata, queue, mark).items():
-            df.write.mode("overwrite").parquet(f"{audit_folder}/{name}")
-    if mark is not None:
-        events = events.filter(F.col("event_time") > as_wall(mark))
-    state.replace({"queue": refresh_cycle(events, metadata, queue, asof, catalog)}, note=note)
+        events = written(events, "events")
+    with state.lock:
+        queue, mark = state.queue(), known_until(state, start)
+        if audit_folder:
+            for name, df in passed_over(events, metadata, queue, mark).items():
+                df.write.mode("overwrite").parquet(f"{audit_folder}/{name}")
+        if mark is not None:
+            events = events.filter(F.col("event_time") > as_wall(mark))
+        state.put_queue(refresh_cycle(events, metadata, queue, asof, catalog), note)
 
 
 def poll(
@@ -126,64 +122,53 @@ def poll(
     source_table: Column,
     event_time: str,
     metadata: DataFrame,
-    state: Snapshots,
+    state: RefreshState,
     asof: datetime | str,
     catalog: str,
     start: datetime | str,
-    note: Mapping | None = None,
+    batch_id: int | None = None,
+    date_partition: str | None = None,
 ) -> None:
     """One cycle over a tracking table that is read as a whole, such as one over JDBC.
 
     Only what happened between the watermark and ``asof`` is read: both bounds go to the
-    source.
-    """
-    found = tracking_scan(tracking, source_table, event_time, known_until(state, start), asof)
-    after = refresh_cycle(found, metadata, state.read("queue"), asof, catalog)
-    state.replace({"queue": after}, note=note)
-
-
-Loader = Callable[[DataFrame], DataFrame]
-
-
-def claim_and_finish(
-    state: Snapshots, asof: datetime | str, load: Loader, slots: Mapping[str, int] | None = None
-) -> None:
-    """Claim rows, have them loaded, and record how it went.
-
-    The claim is committed before loading starts: if the driver is lost meanwhile, the
-    rows are found running and :func:`recover` queues them again.
+    source, and to its folders by day where ``date_partition`` names such a column. The
+    bounds of a batch are written down before it is read: delivered again, it reads the same
+    rows, whatever has arrived since.
     """
-    queue, history = state.read("queue"), state.read("history")
-    taken = claim(queue, history, asof, slots)
-    state.replace({"queue": taken.queue, "history": taken.history})
-    finished = load(taken.claimed)
-    done = finish(state.read("queue"), state.read("history"), finished)
-    state.replace({"queue": done.queue, "history": done.history})
+    note = None
+    with state.lock:
+        low = known_until(state, start)
+        if batch_id is not None:
+            planned = state.note().get(PLANNED)
+            if not planned or planned["batch"] != batch_id:
+                planned = {"batch": batch_id, "low": str(low), "high": str(asof)}
+                state.put_note({PLANNED: planned})
+            low, asof = planned["low"], planned["high"]
+            note = {BATCH: batch_id, PLANNED: planned}
+        found = tracking_scan(tracking, source_table, event_time, low, asof, date_partition=date_partition)
+        state.put_queue(refresh_cycle(found, metadata, state.queue(), asof, catalog), note)
 
 
 def start_refresh(
     events: DataFrame,
     metadata: Callable[[], DataFrame],
-    state: Snapshots,
+    state: RefreshState,
     checkpoint: str,
     catalog: str,
     start: datetime | str | None = None,
     asof: Callable[[], datetime | str] = local_now,
-    load: Loader | None = None,
-    slots: Mapping[str, int] | None = None,
     available_now: bool = False,
     cadence: str = CADENCE,
     audit_folder: str | None = None,
 ):
-    """Start the query. ``metadata`` is read anew for each batch. With ``load`` each batch
-    also claims rows and works them off."""
+    """Start the query. ``metadata`` is read anew for each batch."""
 
-    def cycle(batch: DataFrame, batch_id: int, now: datetime | str) -> None:
+    def cycle(batch: DataFrame, batch_id: int) -> None:
         audit = f"{audit_folder}/batch={batch_id}" if audit_folder else None
-        apply_events(batch, metadata(), state, now, catalog, start, {BATCH: batch_id}, audit)
+        apply_events(batch, metadata(), state, asof(), catalog, start, {BATCH: batch_id}, audit)
 
-    on_batch = _once_per_batch(state, cycle, asof, load, slots)
-    return _started(events, on_batch, checkpoint, available_now, cadence)
+    return _started(events, _once_per_batch(state, cycle), checkpoint, available_now, cadence)
 
 
 def start_polling(
@@ -192,40 +177,28 @@ def start_polling(
     source_table: Column,
     event_time: str,
     metadata: Callable[[], DataFrame],
-    state: Snapshots,
+    state: RefreshState,
     checkpoint: str,
     catalog: str,
     start: datetime | str,
     asof: Callable[[], datetime | str] = local_now,
-    load: Loader | None = None,
-    slots: Mapping[str, int] | None = None,
     cadence: str = CADENCE,
+    date_partition: str | None = None,
 ):
     """The same for a tracking table that cannot be streamed: a clock starts the cycles,
     and each reads what is new in the table."""
 
-    def cycle(_: DataFrame, batch_id: int, now: datetime | str) -> None:
-        poll(tracking(), source_table, event_time, metadata(), state, now, catalog, start, {BATCH: batch_id})
+    def cycle(_: DataFrame, batch_id: int) -> None:
+        poll(tracking(), source_table, event_time, metadata(), state, asof(), catalog, start, batch_id, date_partition)
 
     clock = spark.readStream.format("rate").option("numPartitions", 1).load()
-    on_batch = _once_per_batch(state, cycle, asof, load, slots)
-    return _started(clock, on_batch, checkpoint, False, cadence)
+    return _started(clock, _once_per_batch(state, cycle), checkpoint, False, cadence)
 
 
-def _once_per_batch(
-    state: Snapshots,
-    cycle: Callable[[DataFrame, int, datetime | str], None],
-    asof: Callable[[], datetime | str],
-    load: Loader | None,
-    slots: Mapping[str, int] | None,
-) -> Callable[[DataFrame, int], None]:
+def _once_per_batch(state: RefreshState, cycle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if state.note().get(BATCH, -1) >= batch_id:
-            return
-        now = asof()
-        cycle(batch, batch_id, now)
-        if load:
-            claim_and_finish(state, now, load, slots)
+        if state.note().get(BATCH, -1) < batch_id:
+            cycle(batch, batch_id)
 
     return on_batch
 

@@ -89,9 +89,10 @@ def test_only_what_cannot_be_split_is_spread(spark, tmp_path):
     spark.range(1000, numPartitions=2 * cores).write.parquet(str(tmp_path / "many"))
     spark.range(1000, numPartitions=2).write.parquet(str(tmp_path / "two"))
     spark.range(1000).select(F.col("id").cast("string")).coalesce(1).write.option("compression", "gzip").text(str(tmp_path / "packed"))
+    spark.range(1000, numPartitions=cores).select(F.col("id").cast("string")).write.option("compression", "gzip").text(str(tmp_path / "several"))
     for df, unsplit, shuffled in (
         (spark.range(1000, numPartitions=1), True, True), (spark.range(1000, numPartitions=cores), None, False),
-        (one_file, None, False), (spark.read.parquet(str(tmp_path / "many")), None, False), (spark.read.parquet(str(tmp_path / "two")), None, False),
+        (one_file, None, False), (spark.read.text(str(tmp_path / "several")), None, False), (spark.read.parquet(str(tmp_path / "many")), None, False), (spark.read.parquet(str(tmp_path / "two")), None, False),
         (spark.read.text(str(tmp_path / "packed")), None, True), (spark.read.text(str(tmp_path / "packed")), False, False),
     ):
         assert ("RoundRobin" in plan(spread(df, unsplit))) is shuffled
@@ -113,10 +114,35 @@ def test_one_task_keeps_only_the_slots_of_a_strategy(spark):
     assert partial and text.index("Final") < text.index("Exchange") < partial.start()
 
 
-def test_claim_moves_neither_queue_nor_history(spark):
-    q, h = written(fx.queue(spark, SMALL), "queue"), written(fx.history(spark, SMALL), "history")
-    claim = queue.claim(q, h, fx.ASOF)
-    assert "Exchange hashpartitioning" not in plan(claim.queue) + plan(claim.history)
+def test_claim_gives_what_changes_without_moving_the_queue(spark):
+    q, running = written(fx.queue(spark, SMALL), "queue"), written(fx.history(spark, SMALL).where("status = 'RUNNING'"), "running")
+    claim = queue.claim(q, running, fx.ASOF)
+    assert claim.changed.count() <= 10 and claim.started.count() <= 10
+    assert "Exchange hashpartitioning" not in plan(claim.changed) + plan(claim.started)
+
+
+def test_many_slots_are_filled_by_ordered_limits(spark):
+    """Above the number Spark limits ranks for, tasks still keep no more rows than slots."""
+    q = written(fx.queue(spark, SMALL), "queue")
+    claimed = queue.claim_rows(q, {"TPT": 5000, "WriteNOS": 3})
+    assert "TakeOrderedAndProject(limit=5000" in plan(claimed) and "TakeOrderedAndProject(limit=3" in plan(claimed)
+    few = queue.claim_rows(q, {"TPT": 900, "WriteNOS": 3})
+    assert sorted(few.collect()) == sorted(r for r in claimed.collect() if r in set(few.collect())) and claimed.count() >= few.count()
+    assert claimed.filter("strategy = 'WriteNOS'").count() == 3
+
+
+def test_no_cycle_reads_history(spark, tmp_path):
+    from spark_refresh.plans.state import RefreshState
+    from spark_refresh.streaming import refresh as stream
+
+    state = RefreshState(spark, str(tmp_path))
+    stream.recover(state)
+    state.finished = state.history = None  # would fail if it was looked at
+    for low, high in ((fx.WATERMARK, fx.ASOF), (fx.ASOF, fx.LADDER_ASOF)):
+        events = fx.tracker(spark, SMALL).where(F.col("event_time").between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")))
+        stream.apply_events(events, fx.metadata(spark, SMALL), state, high, "lake")
+        latest = state.queue().agg(F.max(F.coalesce("event_time_latest", "event_time"))).first()[0]
+        assert state.latest_event() == latest
 
 
 def test_key_with_most_incoming_rows(spark):
@@ -130,7 +156,7 @@ def test_key_with_most_incoming_rows(spark):
         F.lit("Q").alias("status"), (F.col("id") % 100).cast("int").alias("priority"), F.lit(None).cast("timestamp_ntz").alias("event_time_latest"),
     )
     after = queue.upsert(queue_frame(spark, queue_row("hot", priority=1)), incoming, ["event_time"])
-    assert "partial_max_by" in plan(after)
+    assert "SortAggregate" not in plan(after) and "partial_max(event_time" in plan(after)
     rows = {r.source_table: r for r in after.collect()}
     last = max(i for i in range(n) if i % 3 < 2)
     assert rows["hot"].priority == last % 100 and len(rows) == 1 + len({i % 997 for i in range(n) if i % 3 == 2})

@@ -28,10 +28,11 @@ def test_claim_takes_the_most_urgent_of_a_strategy_with_slots(spark):
     claim = queue.claim(q, history_frame(spark), ASOF, {"WriteNOS": 1})
     (row,) = claim.claimed.collect()
     assert (row.source_table, row.lock_rows, row.event_time) == ("fin.books", False, t("2024-11-06 11:30:00"))
-    after = by_key(claim.queue)
+    assert claim.changed.count() == 1
+    after = by_key(queue.with_changes(q, claim.changed))
     assert {n: r.status for n, r in after.items()} == {"fin.ledger": "Q", "fin.rates": "Q", "fin.books": "R"}
     assert after["fin.books"].trigger_time == ASOF
-    (started,) = claim.history.collect()
+    (started,) = claim.started.collect()
     assert (started.source_table, started.status, started.trigger_time) == ("fin.books", "RUNNING", ASOF)
 
 
@@ -64,18 +65,29 @@ def finished(spark, *rows):
 
 
 def test_finish_closes_running_rows_only(spark):
-    older = t("2024-10-10 04:00:00")
+    older, end = t("2024-10-10 04:00:00"), t("2025-01-01 01:15:00")
     q = queue_frame(spark, queue_row("hr.shift", status="R"), queue_row("hr.leave"))
-    h = history_frame(spark, history_row("hr.shift"), history_row("hr.shift", status="FAILED", time=older))
-    end = t("2025-01-01 01:15:00")
-    state = queue.finish(q, h, finished(spark, ("hr.shift", DAY, "SUCCESS", end, 75.0, 41_207, ""), ("hr.leave", DAY, "SUCCESS", end, 9.0, 8, "")))
-    assert list(by_key(state.queue)) == ["hr.leave"]
-    rows = {r.event_time: r for r in state.history.collect()}
+    running, done = history_frame(spark, history_row("hr.shift")), history_frame(spark, history_row("hr.shift", status="FAILED", time=older))
+    outcomes = [("hr.shift", DAY, "SUCCESS", end, 75.0, 41_207, ""), ("hr.leave", DAY, "SUCCESS", end, 9.0, 8, "")]
+    after = queue.finish(q, running, finished(spark, *outcomes, *outcomes))
+    assert list(by_key(queue.with_changes(q, gone=after.gone))) == ["hr.leave"]
+    history = queue.current_history(running.limit(0), done.unionByName(after.finished))
+    rows = {r.event_time: r for r in history.collect()}
     assert set(rows) == {DAY, older} and rows[older].status == "FAILED"
     assert rows[DAY].status == "SUCCESS" and rows[DAY].finish_time == end
     assert (rows[DAY].duration_min, rows[DAY].num_records) == (75.0, 41_207)
 
 
+def test_history_shows_how_an_event_went_last(spark):
+    late = t("2025-01-03")
+    done = history_frame(
+        spark, history_row("a", "FAILED", finish_time=ASOF, trigger_time=DAY), history_row("a", "SUCCESS", finish_time=ASOF, trigger_time=late),
+        history_row("b", "SUCCESS", finish_time=ASOF), history_row("c", "FAILED"),
+    )
+    rows = queue.current_history(history_frame(spark, history_row("b")), done).collect()
+    assert sorted((r.source_table, r.status) for r in rows) == [("a", "SUCCESS"), ("b", "RUNNING"), ("c", "FAILED")]
+
+
 def test_watermark_follows_the_latest_event(spark):
     one = queue_frame(spark, queue_row("hr.shift", time=t("2024-12-24 06:00:00")), queue_row("fin.books", time=t("2024-12-26 19:20:00")))
     two = queue_frame(spark, queue_row("hr.shift", time=t("2024-12-31 22:10:05")))
@@ -121,7 +133,9 @@ def test_claim_of_processed_events(spark):
         spark, history_row("running", trigger_time=old), history_row("good", "SUCCESS", finish_time=old, error=""),
         history_row("bad", "FAILED", num_records=5), history_row("bad", "FAILED", time=old), history_row("other", "SUCCESS"),
     )
-    after = queue.claim(q, h, ASOF, {"TPT": 10}).history.collect()
+    running, done = h.where("status = 'RUNNING'"), h.where("status <> 'RUNNING'")
+    started = queue.claim(q, running, ASOF, {"TPT": 10}).started
+    after = queue.current_history(running.unionByName(started), done).collect()
     assert len(after) == 6
     rows = {(r.source_table, r.event_time): r for r in after}
     assert rows["running", DAY].trigger_time == old
@@ -149,20 +163,29 @@ def test_strategy_switched_off(spark):
 
 def test_requeue(spark):
     q = queue_frame(spark, queue_row("A", status="R", trigger_time=ASOF), queue_row("B"))
-    h = history_frame(spark, history_row("A"), history_row("A", "SUCCESS", time=ASOF), history_row("B", "SUCCESS"))
-    state = queue.requeue(q, h)
-    rows = by_key(state.queue)
-    assert rows["A"].status == "Q" and rows["A"].trigger_time == ASOF
-    assert sorted((r.source_table, r.event_time) for r in state.history.collect()) == [("A", ASOF), ("B", DAY)]
-
-
-def test_watermark_can_fall_when_a_row_finishes(spark):
-    """A finished row takes the events it absorbed with it; they are scanned again."""
-    q = queue_frame(spark, queue_row("A", status="R", event_time_latest=ASOF))
-    h = history_frame(spark, history_row("A"))
-    assert queue.last_load_time(q, h).first()[0] == ASOF
-    state = queue.finish(q, h, finished(spark, ("A", DAY, "SUCCESS", ASOF, 1.0, 1, "")))
-    assert queue.last_load_time(*state).first()[0] == DAY
+    back = queue.requeue(q)
+    assert list(by_key(back)) == ["A"]
+    rows = by_key(queue.with_changes(q, back))
+    assert {n: r.status for n, r in rows.items()} == {"A": "Q", "B": "Q"} and rows["A"].trigger_time == ASOF
+
+
+def test_latest_event_of_a_state_without_the_row_that_absorbed_it(spark):
+    """Found from queue and history alone, the mark falls when a row with absorbed events ends."""
+    q, running = queue_frame(spark, queue_row("A", status="R", event_time_latest=ASOF)), history_frame(spark, history_row("A"))
+    assert queue.last_load_time(q, running).first()[0] == ASOF
+    after = queue.finish(q, running, finished(spark, ("A", DAY, "SUCCESS", ASOF, 1.0, 1, "")))
+    assert queue.last_load_time(queue.with_changes(q, gone=after.gone), after.finished).first()[0] == DAY
+
+
+def test_claims_wait_where_a_gate_says_so(spark):
+    from spark_refresh.functions.times import claims_open
+
+    q = queue_frame(spark, queue_row("A"), queue_row("B"))
+    for at, hold, avoid, n in (
+        ("2025-01-01 10:02:59", True, "", 0), ("2025-01-01 10:03:00", True, "", 2), ("2025-01-01 10:00:00", False, "", 2),
+        ("2025-01-01 10:30:00", True, "9-11", 0), ("2025-01-01 11:30:00", True, "9-11", 2),
+    ):
+        assert queue.claim_rows(q, gate=claims_open(F.lit(at).cast("timestamp_ntz"), hold, avoid)).count() == n
 
 
 def test_duplicate_keys(spark):

@@ -11,7 +11,7 @@ from spark_refresh.plans import batch, report, transfer
 from spark_refresh.schemas import HISTORY, RUN, struct
 from spark_refresh.sources import catalogue, jdbc
 from spark_refresh.sources.scratch import SETTING, fresh_folder, shared_folder
-from spark_refresh.sources.snapshots import Snapshots
+from spark_refresh.sources.versions import Versions
 
 TARGET = struct(id=T.LongType(), name=T.StringType(), price=T.DecimalType(10, 2), day=T.DateType())
 ROWS = [(1, "abcdef", 1.005, "2025-01-01 10:00:00"), (2, "xy", 2.5, "2025-01-02 00:00:00"), (3, None, None, None)]
@@ -78,17 +78,17 @@ def test_unknown_types_stop():
 def test_full_refresh(source, entries, target, spark):
     for _ in range(2):
         assert transfer.copy_table(source, target, fresh_folder(spark, "stage"), catalogue=entries) == 3
-    rows = sorted(target.read("data").collect())
+    rows = sorted(target.read().collect())
     assert [(r.id, r.name, r.price and str(r.price), str(r.day)) for r in rows] == [
         (1, "abcd", "1.01", "2025-01-01"), (2, "xy", "2.50", "2025-01-02"), (3, None, None, "None")
     ]
-    assert target.read("data").schema == TARGET
+    assert target.read().schema == TARGET
 
 
 def test_append_keeps_duplicates(source, entries, target, spark):
     for where in (None, "id = 2", "id = 2"):
         transfer.copy_table(source, target, fresh_folder(spark, "stage"), where, catalogue=entries)
-    assert {r.id: r["count"] for r in target.read("data").groupBy("id").count().collect()} == {1: 1, 2: 3, 3: 1}
+    assert {r.id: r["count"] for r in target.read().groupBy("id").count().collect()} == {1: 1, 2: 3, 3: 1}
 
 
 def test_failed_load_leaves_the_old_rows(source, entries, target, spark):
@@ -96,10 +96,33 @@ def test_failed_load_leaves_the_old_rows(source, entries, target, spark):
     bad = source.withColumn("day", F.lit("not a day"))
     with pytest.raises(Exception):
         transfer.copy_table(bad, target, fresh_folder(spark, "stage"), catalogue=catalogue.source_columns(bad.schema, {}, {"price": (10, 2)}))
-    assert target.read("data").count() == 3
+    assert target.read().count() == 3
     assert transfer.copy_table(source, target, fresh_folder(spark, "stage"), catalogue=entries) == 3
 
 
+def test_rows_that_do_not_fit_are_kept_by_the_copy(spark):
+    source = spark.createDataFrame([("1", "2025-01-01"), ("x", "2025-01-01"), ("2", "soon"), (None, None)], "n string, d string")
+    target = transfer.target_folder(spark, fresh_folder(spark, "target"), struct(n=T.IntegerType(), d=T.DateType()))
+    kept = fresh_folder(spark, "misfits")
+    for where in (None, "n = 'x'"):
+        rows = transfer.copy_table(source, target, fresh_folder(spark, "stage"), where, misfits=kept)
+        assert rows == (1 if where else 4)
+    assert sorted(str(r.n) for r in target.read().collect()) == ["1", "None"]
+    assert sorted(r.raw_row for r in transfer.kept_misfits(spark, kept).collect()) == [
+        '{"n":"2","d":"soon"}', '{"n":"x","d":"2025-01-01"}', '{"n":"x","d":"2025-01-01"}']
+    clean = fresh_folder(spark, "misfits")
+    transfer.copy_table(source.limit(1), target, fresh_folder(spark, "stage"), misfits=clean)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        transfer.kept_misfits(spark, clean)
+
+
+def test_widths_are_measured(spark):
+    rows = spark.createDataFrame([(1, "a" * 100, b"xx"), (2, "é" * 100, None)], "i int, t string, b binary")
+    assert transfer.row_width(rows) == 4 + 150 + 1
+    assert transfer.row_width(rows.limit(0)) == 4 and transfer.row_width(rows.select("i")) == 4
+    assert transfer.records_per_file(155.0, 1550) == 10 and transfer.records_per_file(155.0, 1) == 1
+
+
 def test_wrong_counts_stop():
     with pytest.raises(transfer.TransferError, match="Expected 3 rows inserted, but found 2"):
         transfer.check_counts(3, 2)
@@ -111,13 +134,13 @@ def test_reload_describes_the_run(source, target, spark):
     assert good["end"] >= good["start"]
     gone = transfer.reload_table(spark, "s.b", "TPT", lambda: spark.read.parquet("/nowhere"), target)
     assert gone["status"] == "FAILED" and "nowhere" in gone["error"] and gone["num_records"] == 0
-    assert target.read("data").count() == 3
+    assert target.read().count() == 3
 
 
 def test_truncate(source, entries, target, spark):
     transfer.copy_table(source, target, fresh_folder(spark, "stage"), catalogue=entries)
     transfer.truncate(target)
-    assert target.read("data").count() == 0
+    assert target.read().count() == 0
 
 
 def test_staged_file_size(source, spark):
@@ -172,6 +195,22 @@ def test_splits_are_a_partition(spark, low, high, n):
         assert df.filter(hits != 1).collect() == []
 
 
+@pytest.mark.parametrize("n", [1, 3, 8])
+@pytest.mark.parametrize("kind", ["bigint", "date", "timestamp_ntz"])
+def test_quantile_splits_are_a_partition(spark, n, kind):
+    """Of skewed values: half are one value, some are missing, the rest are far apart."""
+    key = F.when(F.col("id") % 2 == 0, F.lit(5)).when(F.col("id") % 7 != 0, F.col("id") * F.col("id") % 9973)
+    day = F.date_add(F.lit("2000-01-01"), key.cast("int"))
+    df = spark.range(8000).select((key if kind == "bigint" else day.cast(kind)).alias("k"), F.when(F.col("id") % 3 > 0, F.floor(F.col("id") / 2)).alias("other"))
+    for frame_ in (df, df.where("k IS NOT NULL"), df.where("k IS NULL"), df.limit(0)):
+        predicates = jdbc.quantile_predicates(frame_, "k", n, second="other")
+        hits = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0))
+        assert frame_.filter(hits != 1).count() == 0
+    predicates = jdbc.quantile_predicates(df.where("other IS NOT NULL"), "k", n, second="other")
+    sizes = [df.where("other IS NOT NULL").filter(p).count() for p in predicates]
+    assert max(sizes) <= 1.25 * sum(sizes) / n
+
+
 def test_jdbc_options():
     made = jdbc.jdbc_options("jdbc:x", {"user": "u"}, "SET X")
     assert made == {"url": "jdbc:x", "fetchsize": "10000", "user": "u", "sessionInitStatement": "SET X"}
@@ -206,63 +245,55 @@ def test_without_the_setting_only_one_machine_will_do():
         shared_folder(session("spark://somewhere"))
 
 
-# -- snapshots
-
-
-def test_uncommitted_version_does_not_count(spark):
-    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET, "b": RUN})
-    assert not s.exists and s.read("a").count() == 0 and s.note() == {}
-    s.reset()
-    row = spark.createDataFrame([(1, "x", None, None)], TARGET)
-    version = s.prepare({"a": row})
-    assert s.read("a").count() == 0
-    s.commit(version, {"batch": 7})
-    assert (s.read("a").count(), s.note(), s.read("b").count()) == (1, {"batch": 7}, 0)
-    s.prepare({"a": row.union(row)})
-    assert s.read("a").count() == 1
-    s.replace({"a": row.union(row)})
-    assert (s.read("a").count(), s.note()) == (2, {"batch": 7})
-
-
-def test_only_changed_tables_are_written(spark):
-    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET, "b": RUN}, keep=2)
-    s.reset()
-    row = spark.createDataFrame([(1, "x", None, None)], TARGET)
-    for _ in range(3):
-        s.replace({"a": row})
-    assert (s._versions("a"), s._versions("b"), s.version) == ([3, 4], [1], 4)
-    assert (s.read("a").count(), s.read("b").count()) == (1, 0)
-
-
-def test_old_versions_are_dropped(spark):
-    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET}, keep=2)
-    for _ in range(5):
-        s.reset()
-    assert s._versions("a") == [4, 5]
-    left_over = s.prepare({"a": s.read("a")})
-    assert s.version == 5 and left_over == 6
-    s.reset()
-    assert s._versions("a") == [5, 7]
-
-
-def test_a_commit_that_was_never_filled_is_passed_over(spark):
-    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET})
-    row = spark.createDataFrame([(1, "x", None, None)], TARGET)
-    s.replace({"a": row}, note={"batch": 3})
-    s._files().create(s._path("_commits", s._name(2)), False).close()
-    assert (s.read("a").count(), s.note(), s.version) == (1, {"batch": 3}, 1)
-    s.replace({"a": row.union(row)})
-    assert (s.read("a").count(), s.version) == (2, 3)
-
-
-def test_a_reader_keeps_its_files_over_a_cycle(spark):
-    s = Snapshots(spark, fresh_folder(spark, "state"), {"a": TARGET})
-    row = spark.createDataFrame([(1, "x", None, None)], TARGET)
-    s.replace({"a": row})
-    held = s.read("a")
-    for _ in range(4):
-        s.replace({"a": row.union(row)})
-    assert held.count() == 1
+# -- versions
+
+
+def versions(spark, rows=0):
+    v = Versions(spark, fresh_folder(spark, "versions"), TARGET)
+    return v, spark.createDataFrame([(i, "x", None, None) for i in range(rows or 1)], TARGET)
+
+
+def test_what_was_found_short_does_not_count(spark):
+    v, row = versions(spark)
+    assert not v.exists and v.read().count() == 0 and v.note() == {}
+    v.reset()
+
+    def short(rows):
+        raise transfer.TransferError(f"found {rows}")
+
+    for write in (v.replace, v.add):
+        with pytest.raises(transfer.TransferError, match="found 1"):
+            write(row, check=short)
+        assert v.read().count() == 0 and Versions(spark, v.folder, TARGET).read().count() == 0
+    v.replace(row, {"batch": 7})
+    v.add(row)
+    other = Versions(spark, v.folder, TARGET)
+    assert (other.read().count(), other.note(), other.version) == (2, {"batch": 7}, (1, 1))
+    assert v.replace(row.limit(0), measured={"most": F.max("id")}) == {"rows": 0, "most": None}
+    assert (v.read().count(), v.note()) == (0, {"batch": 7})
+
+
+def test_parts_know_their_order(spark):
+    v, row = versions(spark)
+    v.replace(row)
+    v.add(None, {"only": "a note"})
+    v.add(row.withColumn("id", F.lit(5).cast("bigint")))
+    assert sorted((r.id, r.part) for r in v.read("part").collect()) == [(0, 0), (5, 2)]
+    assert v.note() == {"only": "a note"} and v.read().schema == TARGET
+
+
+def test_partitions_are_used_again_and_readers_keep_theirs(spark):
+    v, row = versions(spark)
+    v.replace(row)
+    v.add(row)
+    held = v.read()
+    for n in range(2):
+        v.replace(row.union(row).union(row))
+    assert held.count() == 2
+    for n in range(7):
+        v.replace(row)
+    slots = {r[0] for r in spark.read.parquet(f"{v.folder}/data").select("_slot").distinct().collect()}
+    assert slots == {0, 1, 2, 3} and v.read().count() == 1
 
 
 def test_a_failed_append_leaves_no_rows(spark, source, entries, target, monkeypatch):
@@ -275,9 +306,9 @@ def test_a_failed_append_leaves_no_rows(spark, source, entries, target, monkeypa
         patched.setattr(transfer, "check_counts", short)
         with pytest.raises(transfer.TransferError):
             transfer.copy_table(source, target, fresh_folder(spark, "stage"), "id = 2", catalogue=entries)
-    assert target.read("data").count() == 3
+    assert target.read().count() == 3
     transfer.copy_table(source, target, fresh_folder(spark, "stage"), "id = 2", catalogue=entries)
-    assert target.read("data").count() == 4
+    assert target.read().count() == 4
 
 
 def test_a_short_load_leaves_the_catalog_table(spark, source, entries, monkeypatch):
@@ -301,7 +332,7 @@ def test_instants_are_copied_in_any_session_zone(spark, zone):
         rows = spark.createDataFrame([(1_730_613_600,), (1_730_610_000,), (0,), (None,)], "s long").select("s", F.timestamp_seconds("s").alias("at"))
         target = transfer.target_folder(spark, fresh_folder(spark, "target"), struct(s=T.LongType(), at=T.TimestampType()))
         assert transfer.reload_table(spark, "x.y", "TPT", lambda: rows, target)["status"] == "SUCCESS"
-        got = target.read("data").select("s", F.unix_seconds("at").alias("t")).collect()
+        got = target.read().select("s", F.unix_seconds("at").alias("t")).collect()
         assert len(got) == 4 and all(r.s == r.t for r in got)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
@@ -319,6 +350,10 @@ def test_report_line(spark):
     for _ in range(2):
         report.append_report(runs, folder)
     assert spark.read.option("header", True).csv(folder).count() == 2
+    odd = spark.createDataFrame([('s."a", b', "TPT", "FAILED", start, start, 0, 'it said "no",\r\n  then, \\ left'), ("s.c", "TPT", "SUCCESS", start, start, 3, "")], RUN)
+    report.append_report(odd, folder)
+    back = {r.TABLE: (r.STATUS, r.NUM_RECORDS, r.ERROR) for r in report.read_report(spark, folder).collect()}
+    assert back['s."a", b'] == ("FAILED", 0, 'it said "no",    then, \\ left') and back["s.c"] == ("SUCCESS", 3, "") and back["s.a"][2] == "bad"
 
 
 def test_history_report(spark):
@@ -329,23 +364,7 @@ def test_history_report(spark):
     more = h.unionByName(history_frame(spark, history_row("c", "FAILED", finish_time=late, error="it's bad")))
     for _ in range(2):
         report.append_history(more, target)
-    assert sorted((r.source_table, r.error, r.num_records) for r in target.read("data").collect()) == [("a", None, None), ("c", "it's bad", None)]
-
-
-def test_claimed_tables_are_loaded(spark):
-    from helpers import queue_frame, queue_row
-    claimed = queue_frame(spark, *(queue_row(f"s.t{i}", strategy="WriteNOS" if i == 2 else "TPT") for i in range(4)))
-
-    def load(row):
-        if row["source_table"] == "s.t1":
-            raise RuntimeError("no such table")
-        return 7
-
-    done = {r.source_table: r for r in batch.load_claimed(spark, claimed, load).collect()}
-    assert {n: (r.status, r.num_records, r.error) for n, r in done.items()} == {
-        "s.t0": ("SUCCESS", 7, ""), "s.t1": ("FAILED", 0, "no such table"), "s.t2": ("SUCCESS", 7, ""), "s.t3": ("SUCCESS", 7, "")
-    }
-    assert all(r.finish_time.year >= 2025 and r.duration_min >= 0 for r in done.values())
+    assert sorted((r.source_table, r.error, r.num_records) for r in target.read().collect()) == [("a", None, None), ("c", "it's bad", None)]
 
 
 def test_batch_goes_on_after_a_failure(spark):
@@ -368,7 +387,9 @@ def test_batch_goes_on_after_a_failure(spark):
             with lock:
                 active[row.strategy] -= 1
 
-    runs = batch.batch_reload(spark, batch_queue.enqueue(manifest), load, f"{base}/report", f"{base}/runs", {"TPT": 3, "WriteNOS": 1})
+    state = batch.BatchState(spark, f"{base}/queue")
+    runs = batch.batch_reload(spark, batch_queue.enqueue(manifest), load, f"{base}/report", f"{base}/runs", {"TPT": 3, "WriteNOS": 1}, state)
+    assert state.progress(manifest) == (12, 0, 12)
     got = {r.table: (r.status, r.num_records, r.error) for r in runs.collect()}
     assert got.pop("s.t4") == ("FAILED", 0, "table is gone")
     assert got == {f"s.t{i}": ("SUCCESS", i, "") for i in range(12) if i != 4}
