@@ -4,7 +4,8 @@ Only numbers of pieces per length are packed on the driver: at most ``capacity``
 whatever the number of documents. Large lengths are rounded up to the largest of their group
 (groups of equal cardinality), sequences are built from few group sizes by the best filled
 configurations, the actual lengths take the places of the rounded ones, and small pieces go
-where they fit best. The plan is a list of runs: so many sequences of the same lengths. Each
+where they fit best. A plan of best fit alone is made as well, and the one with fewer
+sequences is taken. The plan is a list of runs: so many sequences of the same lengths. Each
 piece finds its place by its rank among the pieces of its length.
 
 Null texts count as empty; an empty document still has its end token. Repeated rows are
@@ -29,7 +30,7 @@ from .common import stored, tokenizer_file
 
 CAPACITY = 4096
 END = 1
-GROUPS = 48  # of large lengths
+GROUPS = (48, 192, 512)  # of large lengths: a plan for each number
 LARGE = 8  # lengths above a capacity's eighth are large
 REMEMBERED = 600_000
 
@@ -44,7 +45,7 @@ UNIT = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^ \t\n\r{_
 
 
 class WordTokenizer:
-    """Ids of texts as bytes, little-endian unsigned 32-bit; ids of words are remembered."""
+    """Ids of texts as bytes, little-endian unsigned 32-bit; ids of units are remembered."""
 
     def __init__(self, file: str) -> None:
         import numpy as np
@@ -54,16 +55,13 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return self.np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn_units(self, units: list[str]) -> None:
+    def learn(self, units: list[str]) -> None:
         """Ids of units, read off one call: each ends with the only token that ends a word."""
-        if len(self.units) + len(units) > REMEMBERED:
-            self.units.clear()
         for at in range(0, len(units), 20_000):
             some = units[at : at + 20_000]
             ids = self.np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
@@ -74,34 +72,20 @@ class WordTokenizer:
             else:
                 self.units.update((u, self.whole(u)) for u in some)
 
-    def learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        cut = [UNIT.findall(w) for w in " ".join(words).lower().split(" ")]
-        new = {u for units in cut for u in units if u not in self.units}
-        for u in [u for u in new if len(u) > 400]:
-            self.units[u] = self.whole(u)
-            new.discard(u)
-        if new:
-            before = self.units
-            if len(before) + len(new) > REMEMBERED:
-                new = {u for units in cut for u in units}
-            self.learn_units(sorted(new))
-        units = self.units
-        for word, parts in zip(words, cut, strict=True):
-            self.words[word] = units[parts[0]] if len(parts) == 1 else b"".join([units[p] if p in units else self.whole(p) for p in parts])
-
     def encode(self, texts: list[str]) -> Iterator[bytes]:
+        units = self.units
         for at in range(0, len(texts), 256):
             some = texts[at : at + 256]
-            cut = [t.split() if "<|" not in t and PLAIN.fullmatch(t) else None for t in some]
-            if new := [w for w in set().union(*(c for c in cut if c)) if w not in self.words]:
-                if len(self.words) + len(new) > REMEMBERED:
-                    new = set().union(*(c for c in cut if c))
-                self.learn(sorted(new))
-            get = self.words.__getitem__
-            for text, words in zip(some, cut, strict=True):
-                yield self.whole(text) if words is None else b"".join(map(get, words))
+            cut = [UNIT.findall(t.lower()) if "<|" not in t and PLAIN.fullmatch(t) else None for t in some]
+            used = set().union(*(c for c in cut if c))
+            if len(units) + len(used) > REMEMBERED:
+                units.clear()
+            if new := used.difference(units):
+                long = [u for u in new if len(u) > 400]
+                units.update((u, self.whole(u)) for u in long)
+                self.learn(sorted(new.difference(long)))
+            for text, found in zip(some, cut, strict=True):
+                yield self.whole(text) if found is None else b"".join(map(units.__getitem__, found))
 
 
 @cache
@@ -167,7 +151,7 @@ def _configuration(sizes: list[int], counts: list[int], capacity: int) -> list[i
     return chosen
 
 
-def linear_groups(counts: dict[int, int], groups: int = GROUPS) -> list[list[tuple[int, int]]]:
+def linear_groups(counts: dict[int, int], groups: int) -> list[list[tuple[int, int]]]:
     """Lengths (largest first) with their counts, in groups of equal cardinality."""
     total = sum(counts.values())
     share, out, room = -(-total // groups), [[]], -(-total // groups)
@@ -197,14 +181,24 @@ def _take(group: list[list[int]], number: int) -> list[tuple[int, int]]:
     return out
 
 
-def plan_runs(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[int, tuple[int, ...]]]:
-    """Runs (number of sequences, lengths in each) that hold exactly the given pieces."""
-    runs: dict[tuple[int, ...], int] = {}
+Runs = dict[tuple[int, ...], int]
 
-    def add(lengths: tuple[int, ...], number: int) -> None:
-        runs[lengths] = runs.get(lengths, 0) + number
 
+def plan_runs(counts: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> list[tuple[int, tuple[int, ...]]]:
+    """Runs (number of sequences, lengths in each) that hold exactly the given pieces.
+
+    The best of the plans by configurations of so many groups, or that of best fit alone if it needs fewer.
+    """
     large = {n: c for n, c in counts.items() if c and n * LARGE > capacity}
+    small = {n: c for n, c in counts.items() if c and n * LARGE <= capacity}
+    plans = [_best_fit(_configured(large, capacity, n), small, capacity) for n in groups] + [_best_fit({}, large | small, capacity)]
+    runs = min(plans, key=lambda r: sum(r.values()))
+    return [(number, lengths) for lengths, number in sorted(runs.items(), reverse=True)]
+
+
+def _configured(large: dict[int, int], capacity: int, groups: int) -> Runs:
+    """Sequences of large pieces: the fullest configurations of group sizes, with actual lengths in their places."""
+    runs: Runs = {}
     parts = [[list(x) for x in g] for g in linear_groups(large, groups)] if large else []
     while any(parts):
         parts = [g for g in parts if g]
@@ -220,29 +214,37 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GR
             for i, e in enumerate(ends):
                 while e[where[i]] <= before:
                     where[i] += 1
-            add(tuple(s[where[i]][0] for i, s in enumerate(slots)), cut - before)
+            lengths = tuple(s[where[i]][0] for i, s in enumerate(slots))
+            runs[lengths] = runs.get(lengths, 0) + cut - before
             before = cut
+    return runs
+
+
+def _best_fit(runs: Runs, pieces: dict[int, int], capacity: int) -> Runs:
+    """The sequences with further pieces put in, longest first, each where the least room is left."""
     rooms: dict[int, list[tuple[int, ...]]] = {}
     for lengths in runs:
         rooms.setdefault(capacity - sum(lengths), []).append(lengths)
     order = sorted(rooms)
-    for length in sorted((n for n, c in counts.items() if c and n * LARGE <= capacity), reverse=True):
-        left = counts[length]
+
+    def open_run(lengths: tuple[int, ...], room: int, number: int) -> None:
+        if lengths not in runs:
+            if room not in rooms:
+                rooms[room] = []
+                bisect.insort(order, room)
+            rooms[room].append(lengths)
+        runs[lengths] = runs.get(lengths, 0) + number
+
+    for length in sorted(pieces, reverse=True):
+        left = pieces[length]
         while left:
             at = bisect.bisect_left(order, length)
-            if at == len(order):  # open sequences of this length alone
+            if at == len(order):  # sequences of this length alone
                 per = capacity // length
                 full, rest = divmod(left, per)
                 for number, k in ((full, per), (1 if rest else 0, rest)):
                     if number:
-                        new = (length,) * k
-                        if new not in runs:
-                            room = capacity - length * k
-                            if room not in rooms:
-                                rooms[room] = []
-                                bisect.insort(order, room)
-                            rooms[room].append(new)
-                        add(new, number)
+                        open_run((length,) * k, capacity - length * k, number)
                 break
             room = order[at]
             lengths = rooms[room][-1]
@@ -254,15 +256,9 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GR
                 if not rooms[room]:
                     del rooms[room]
                     order.pop(at)
-            new, smaller = (*lengths, length), room - length
-            if new not in runs:
-                if smaller not in rooms:
-                    rooms[smaller] = []
-                    bisect.insort(order, smaller)
-                rooms[smaller].append(new)
-            add(new, taken)
+            open_run((*lengths, length), room - length, taken)
             left -= taken
-    return [(number, lengths) for lengths, number in sorted(runs.items(), reverse=True)]
+    return runs
 
 
 def places(runs: list[tuple[int, tuple[int, ...]]]) -> tuple[list[int], list[int], list[int], list[int]]:
@@ -282,25 +278,27 @@ def places(runs: list[tuple[int, tuple[int, ...]]]) -> tuple[list[int], list[int
     return [r[0] for r in rows], ranks, [r[2] for r in rows], [r[3] for r in rows]
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
-    """The pieces (``doc_id``, ``piece``, ``length`` and others) with ``sequence_id`` and ``offset``.
+def pack(pieces: DataFrame, row: str, capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> DataFrame:
+    """The pieces (``length``, a unique number ``row`` and others) with ``sequence_id`` and ``offset``.
 
     Read twice, so it should be a stored table. Ranks are made within salted parts of a
-    length, with the numbers before each part added, so no task gets all pieces of a length.
+    length, with the numbers before each part added, so no task gets all pieces of a length,
+    whatever their ids are. The column ``row`` is left out.
     """
     import pyarrow as pa
 
     spark = pieces.sparkSession
     salts = max(64, min(4096, pieces.count() // 50_000))
-    salted = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("_part", F.pmod(F.xxhash64(row), F.lit(salts)).cast("int"))
     parts = salted.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     first = parts.select("length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy("length", "_part").orderBy("doc_id", "piece")
+    within = Window.partitionBy("length", "_part").orderBy(row)
     ranked = salted.withColumn("_rank", F.row_number().over(within) - 1).join(first, ["length", "_part"])
     plan = spark.sparkContext.broadcast(places(plan_runs(counts, capacity, groups)))
-    out = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    kept = [f for f in pieces.schema.fields if f.name != row]
+    out = T.StructType([*kept, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -314,9 +312,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
                 [*batch.columns[:-1], pa.array(sequences[at] + rank - ranks[at]), pa.array(offsets[at])], names=out.names)
 
     rank = (F.col("_rank") + F.col("_first")).cast("long").alias("_rank")
-    return ranked.select(*pieces.columns, rank).mapInArrow(place, out)
+    return ranked.select(*(f.name for f in kept), rank).mapInArrow(place, out)
 
 
 def packed_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, **tokenizer) -> DataFrame:
     """Tokenize every document once, store the pieces, and pack them."""
-    return pack(stored(token_pieces(df, doc_id, text, capacity, **tokenizer), "pieces"), capacity)
+    pieces = token_pieces(df, doc_id, text, capacity, **tokenizer)
+    return pack(stored(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces"), "_row", capacity)

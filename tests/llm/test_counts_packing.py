@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import random
 import zlib
 from collections import Counter
@@ -72,3 +73,32 @@ def test_plans_are_tight_where_small_pieces_are_many():
     counts = {n: 1000 for n in range(5, 1200, 7)}
     used = sum(n for n, _ in packing.plan_runs(counts))
     assert used <= 1.01 * sum(k * n for k, n in counts.items()) / 4096 + 1
+
+
+def best_fit_decreasing(lengths: list[int], capacity: int) -> int:
+    rooms: list[int] = []
+    for n in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(rooms, n)
+        left = (rooms.pop(at) if at < len(rooms) else capacity) - n
+        bisect.insort(rooms, left)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("draw", [
+    lambda r: r.randint(1, 4096), lambda r: r.randint(1100, 2200), lambda r: min(4096, max(1, int(r.lognormvariate(6.5, 1.2)))),
+    lambda r: r.randint(1366, 2048), lambda r: r.choice([700, 1399, 2005, 4096, 33]), lambda r: r.randint(1, 400),
+])
+def test_plans_never_need_more_than_best_fit_decreasing(draw):
+    r = random.Random(9)
+    lengths = [draw(r) for _ in range(6000)]
+    used = sum(n for n, _ in packing.plan_runs(dict(Counter(lengths))))
+    assert used <= best_fit_decreasing(lengths, 4096)
+    bound = max(-(-sum(lengths) // 4096), sum(n > 2048 for n in lengths))
+    if sum(n < 400 for n in lengths) > 600:  # many small ones to fill the rest
+        assert used <= 1.01 * bound
+
+
+def test_pieces_of_one_id_are_not_one_group(spark):
+    rows = [(7, "same words again")] * 3000 + [(None, None)] * 500
+    got = rows_of(packing.packed_documents(frame(spark, rows)))
+    assert len(got) == 3500 and len({(r["sequence_id"], r["offset"]) for r in got}) == 3500
