@@ -1,9 +1,11 @@
 """Documents that hold benchmark items, found through templates, with built-in functions only.
 
-1. A text becomes tokens: words in lower case; numbers, units after them and names (capitals
-   within a sentence) become typed placeholders that remember what they stand for.
-2. Windows of ``WINDOW`` tokens are hashed. A bit map of the items' windows, of fixed size,
-   lets through the windows of documents that may be among them; a hash join decides.
+1. A text becomes tokens, once: words in lower case; numbers (also spelled out), units after
+   them and names (capitals within a sentence) become typed placeholders that remember what
+   they stand for.
+2. Windows of ``WINDOW`` tokens are hashed from the hashes of their tokens. A bit map of the
+   items' windows, sized by their number, lets through the windows of documents that may be
+   among them; a hash join decides. Templates and plain tokens are tested in the same scan.
 3. A document that holds ``SHARE`` of an item's windows holds at least one of any
    (1 - SHARE) of them and one more: the windows that fewest documents have make the
    candidates, so a phrase that many items and documents share does not multiply.
@@ -26,44 +28,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .sharding import longs
 
 WINDOW = 5
 SHARE = 0.8
 CONSISTENT = 0.9  # of an item's values
 LITERALS = 3
-MOST_BITS = 20  # the bit map has at most 2^20 bits
+MOST_BITS = 24  # the bit map has at most 2^24 bits, 16 for each window of up to a million
 NAME = r"(?<=[\p{L}\p{N},;:%&*#$)'’\"] )\p{Lu}\p{Ll}[\p{L}'’]*"
 UNITS = ("kg|g|mg|lbs?|pounds?|ounces?|km|cm|mm|m|miles?|feet|foot|inch(?:es)?|yards?|l|ml|litres?|liters?|gallons?|h|hours?|minutes?|seconds?|"
          "days?|weeks?|months?|years?|dollars?|cents?|euros?|pence|percent|degrees?|mph|kmh|kw|watts?|volts?|hz|kb|mb|gb|tb")
-NUMBER = r"\d+(?:[.,]\d+)*"
-TOKEN = r"\x01[\p{L}'’]+|\x02[\d.,]*\d|\x03\p{L}+|\p{L}[\p{L}\p{M}]*"
+NUMBER_WORDS = ("one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|"
+                "twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion|dozen")
+SPELLED = rf"(?i:(?:{NUMBER_WORDS})(?:(?:-| and | )(?:{NUMBER_WORDS}))*)(?![\p{{L}}])"
+DIGITS = r"\d+(?:[.,]\d+)*"
+NUMBER = rf"{DIGITS}|(?<![\p{{L}}]){SPELLED}"
+VALUE = rf"\x02(?:[\d.,]*\d|{SPELLED})"
+TOKEN = rf"\x01[\p{{L}}'’]+|{VALUE}|\x03\p{{L}}+|\p{{L}}[\p{{L}}\p{{M}}]*"
 
 
 def tokens(text: Column) -> Column:
-    """Words, and placeholders with their value: name, number, unit are marked by \\x01, \\x02, \\x03."""
+    """Words in lower case, and placeholders with their value: name, number, unit are marked by \\x01, \\x02, \\x03."""
     named = F.regexp_replace(F.regexp_replace(text, r"[\x01-\x03]", " "), NAME, "\x01$0")
-    numbered = F.regexp_replace(F.regexp_replace(named, NUMBER, "\x02$0 "), rf"(?i)(\x02[\d.,]*\d {{1,2}}-?)({UNITS})(?![\p{{L}}])", "$1\x03$2")
-    return F.regexp_extract_all(numbered, F.lit(f"({TOKEN})"), F.lit(0))
+    numbered = F.regexp_replace(F.regexp_replace(named, NUMBER, "\x02$0 "), rf"(?i)({VALUE} {{1,2}}-?)({UNITS})(?![\p{{L}}])", "$1\x03$2")
+    return F.regexp_extract_all(F.lower(numbered), F.lit(f"({TOKEN})"), F.lit(0))
 
 
 def template(found: Column) -> Column:
-    return F.transform(found, lambda t: F.when(t < "\x04", F.left(t, F.lit(1))).otherwise(F.lower(t)))
+    """A hash of each token, placeholders by their kind."""
+    return F.transform(found, lambda t: F.xxhash64(F.when(t < "\x04", F.left(t, F.lit(1))).otherwise(t)))
 
 
 def verbatim(found: Column) -> Column:
-    return F.transform(found, lambda t: F.lower(F.when(t < "\x04", F.substring(t, 2, 1 << 30)).otherwise(t)))
+    """A hash of each token, placeholders by what they stand for."""
+    return F.transform(found, lambda t: F.xxhash64(F.when(t < "\x04", F.substring(t, 2, 1 << 30)).otherwise(t)))
 
 
-def window_hashes(parts: Column, lengths: list[int]) -> Column:
-    """``place`` and ``hash`` of each window of each of the lengths."""
+def window_hashes(parts: Column, length: int) -> Column:
+    """The hash of each window of so many tokens, by its place; no window in shorter texts."""
     n = F.size(parts)
-
-    def of(length: int) -> Column:
-        places = F.when(n >= length, F.sequence(F.lit(0), F.greatest(n - length, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice(parts, i + 1, length)).alias("hash")))
-
-    return F.concat(*map(of, lengths))
+    places = F.when(n >= length, F.sequence(F.lit(1), F.greatest(n - length + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.xxhash64(F.slice(parts, i, length)))
 
 
 def item_tokens(items: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -77,13 +81,12 @@ def item_tokens(items: DataFrame, item_id: str, text: str) -> DataFrame:
 def item_windows(cut: DataFrame, parts: Column, literals: int) -> DataFrame:
     """``item_id`` (the item and its tokens' hash), ``place``, ``hash``, ``values`` of each window that counts."""
     own = F.struct("item_id", F.xxhash64("found").alias("form")).alias("item_id")
-    places = F.sequence(F.lit(0), F.greatest(F.size("parts") - WINDOW, F.lit(0)))
-    some = F.slice("parts", F.col("place") + 1, WINDOW)
+    places = F.sequence(F.lit(0), F.greatest(F.size("found") - WINDOW, F.lit(0)))
+    values = F.slice("found", F.col("place") + 1, WINDOW)
     each = cut.withColumn("parts", parts).select(own, "found", "parts", F.explode(places).alias("place")).select(
-        "item_id", "found", "place", some.alias("some"), F.xxhash64(some).alias("hash"))
-    literal = F.size(F.filter("some", lambda t: t >= "\x04"))
-    return each.where(literal >= F.least(F.lit(literals), F.size("some"))).select(
-        "item_id", "place", "hash", F.slice("found", F.col("place") + 1, WINDOW).alias("values"))
+        "item_id", "place", F.xxhash64(F.slice("parts", F.col("place") + 1, WINDOW)).alias("hash"), values.alias("values"))
+    literal = F.size(F.filter("values", lambda t: t >= "\x04"))
+    return each.where(literal >= F.least(F.lit(literals), F.size("values")))
 
 
 def bit_map(windows: DataFrame) -> tuple[list[int], int]:
@@ -105,37 +108,54 @@ def contaminated(
     cut = stored(item_tokens(items, item_id, item_text), "items")
     short = cut.select(F.size("found").alias("n")).where(F.col("n") < WINDOW).distinct()
     lengths = sorted([r["n"] for r in short.collect()] + [WINDOW])
-    named = df.where(df[doc_id].isNotNull() & df[text].isNotNull()).select(
-        df[doc_id].cast("long").alias("doc_id"), tokens(df[text].cast("string")).alias("found"))
-
     windows = stored(item_windows(cut, template(F.col("found")), LITERALS), "item_windows")
-    hits, enough = holding(named, windows, template(F.col("found")), lengths)
-    judged = consistent(hits, enough, windows).where(F.col("consistent") >= CONSISTENT)
     # the words are the same in both forms of an item
-    plain = cut.select("item_id", verbatim(F.col("found")).alias("found")).distinct()
-    _, same = holding(named, stored(item_windows(plain, F.col("found"), 0), "plain_windows"), verbatim(F.col("found")), lengths)
+    plain = cut.groupBy("item_id", verbatim(F.col("found")).alias("parts")).agg(F.min("found").alias("found"))
+    words = stored(item_windows(plain, F.col("parts"), 0), "plain_windows")
+
+    named = df.where(df[doc_id].isNotNull() & df[text].isNotNull()).select(
+        df[doc_id].cast("long").alias("doc_id"), tokens(df[text].cast("string")).alias("found"))
+    hits = stored(marked(named, {"hits": (template, windows), "same": (verbatim, words)}, lengths), "hits")
+    judged = consistent(hits, holding(hits, "hits", windows), windows).where(F.col("consistent") >= CONSISTENT)
+    same = holding(hits, "same", words)
     both = judged.unionByName(same.select("doc_id", "item_id", "share", F.lit(0).cast("long").alias("slots"), F.lit(1.0).alias("consistent")))
     best = both.groupBy("doc_id", F.col("item_id.item_id").alias("item_id")).agg(F.max(F.struct("share", "slots", "consistent")).alias("best"))
     return best.select(F.col("doc_id").cast(df.schema[doc_id].dataType).alias("doc_id"), "item_id", "best.*")
 
 
-def holding(named: DataFrame, windows: DataFrame, parts: Column, lengths: list[int]) -> tuple[DataFrame, DataFrame]:
-    """(documents with the windows they may share with items, pairs with ``share`` that hold enough of an item)."""
-    bits, power = bit_map(windows)
-    mask = F.lit((1 << power) - 1)
-    maps = longs(bits)
+def marked(named: DataFrame, forms: dict, lengths: list[int]) -> DataFrame:
+    """Documents with windows that items may have, in any of the forms (name: how tokens are
+    hashed, the items' windows): ``place`` and ``hash`` of these windows. One scan."""
+    rows = named
+    for form, (hashed, windows) in forms.items():
+        bits, power = bit_map(windows)
+        maps, found = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>"), []
+        rows = rows.withColumn(f"{form}_parts", hashed(F.col("found")))
+        for length in lengths:
+            name = f"{form}_{length}"
+            rows = rows.withColumn(name, window_hashes(F.col(f"{form}_parts"), length))
+            found.append(_passed(F.col(name), maps, (1 << power) - 1))
+        rows = rows.withColumn(form, F.concat(*found))
+    # the row number keeps the filter from being pushed below, where the hits would be made twice
+    rows = rows.select("doc_id", "found", *forms, F.monotonically_increasing_id().alias("row"))
+    return rows.where(" OR ".join(f"size({form}) > 0" for form in forms))
 
-    def maybe(h: Column) -> Column:
-        at = h.bitwiseAND(mask)
-        return F.getbit(F.get(maps, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    hashed = named.withColumn("parts", parts).withColumn("hashes", window_hashes(F.col("parts"), lengths))
-    places = F.filter("hashes", lambda s: maybe(s["hash"]))
-    # the row number keeps the filter from being pushed below, where the hits would be made twice
-    numbered = hashed.select("doc_id", "found", places.alias("hits"), F.monotonically_increasing_id().alias("row"))
-    hits = stored(numbered.where(F.size("hits") > 0), "hits")
+def _passed(hashes: Column, maps: Column, mask: int) -> Column:
+    """``place`` and ``hash`` of the windows whose bit is set."""
+
+    def maybe(i: Column) -> Column:
+        at = F.get(maps, F.shiftright(F.get(hashes, i).bitwiseAND(F.lit(mask)), 6).cast("int"))
+        return F.getbit(at, F.get(hashes, i).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    n = F.size(hashes)
+    places = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(F.filter(places, maybe), lambda i: F.struct(i.alias("place"), F.get(hashes, i).alias("hash")))
+
 
-    each = hits.select("doc_id", F.explode(F.array_distinct(F.transform("hits", lambda s: s["hash"]))).alias("hash"))
+def holding(hits: DataFrame, form: str, windows: DataFrame) -> DataFrame:
+    """Pairs of documents and items with the ``share`` of the item's windows that the document has, if it is enough."""
+    each = hits.select("doc_id", F.explode(F.array_distinct(F.transform(form, lambda s: s["hash"]))).alias("hash"))
     wanted = windows.select("item_id", "hash").distinct()
     present = stored(each.join(wanted.select("hash").distinct(), "hash", "left_semi"), "present")
     frequency = present.groupBy("hash").agg(F.count("*").alias("documents"))
@@ -145,11 +165,11 @@ def holding(named: DataFrame, windows: DataFrame, parts: Column, lengths: list[i
     prefix = stored(ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * SHARE) + 1).select("item_id", "hash", "n"), "prefix")
     pairs = stored(present.join(prefix.select("item_id", "hash"), "hash").select("doc_id", "item_id").distinct(), "pairs")
 
-    held = hits.select("doc_id", F.transform("hits", lambda s: s["hash"]).alias("hashes"))
+    held = hits.select("doc_id", F.transform(form, lambda s: s["hash"]).alias("hashes"))
     sets = wanted.groupBy("item_id").agg(F.collect_set("hash").alias("wanted"))
     shared = F.size(F.array_intersect("wanted", "hashes")) / F.size("wanted")
     enough = pairs.join(held, "doc_id").join(sets, "item_id").select("doc_id", "item_id", shared.alias("share")).where(F.col("share") >= SHARE)
-    return hits, stored(enough.groupBy("doc_id", "item_id").agg(F.max("share").alias("share")), "enough")
+    return stored(enough.groupBy("doc_id", "item_id").agg(F.max("share").alias("share")), "enough")
 
 
 def consistent(hits: DataFrame, enough: DataFrame, windows: DataFrame) -> DataFrame:
@@ -163,7 +183,7 @@ def consistent(hits: DataFrame, enough: DataFrame, windows: DataFrame) -> DataFr
     repeats = facing.groupBy("doc_id", "item_id", "hash", F.col("slot.values").alias("value")).agg(F.count_distinct("at").alias("times"))
     repeats = repeats.join(inside, ["item_id", "hash"]).withColumn("times", F.ceil(F.col("times") / F.col("inside")))
     most = repeats.groupBy("doc_id", "item_id", "value").agg(F.max("times").alias("times"))
-    meant = facing.groupBy("doc_id", "item_id", F.col("slot.values").alias("value")).agg(F.count_distinct(F.lower("slot.there")).alias("kinds"))
+    meant = facing.groupBy("doc_id", "item_id", F.col("slot.values").alias("value")).agg(F.count_distinct("slot.there").alias("kinds"))
     agreed = meant.join(most, ["doc_id", "item_id", "value"]).groupBy("doc_id", "item_id").agg(
         F.count("*").alias("slots"), F.avg((F.col("kinds") <= F.col("times")).cast("double")).alias("consistent"))
     return enough.join(agreed, ["doc_id", "item_id"], "left").select(

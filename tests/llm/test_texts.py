@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from cases import awkward, frame, prose, rows_of
 
 from spark_refresh.llm import decontamination, extraction, surrogates, toxicity
@@ -70,6 +71,81 @@ def test_items_are_found_as_they_are_whatever_stands_before(spark):
     assert not got & {(201, 1), (201, 5), *((101, i) for i in (2, 3, 4, 5, 6))}
 
 
+def cut_by_hand(text: str) -> list[str]:
+    """Tokens of a text, one pattern after the other."""
+    named = regex.sub(decontamination.NAME, lambda m: "\x01" + m[0], text)
+    numbered = regex.sub(decontamination.NUMBER, lambda m: "\x02" + m[0] + " ", named)
+    units = regex.sub(rf"(?i)({decontamination.VALUE} {{1,2}}-?)({decontamination.UNITS})(?![\p{{L}}])", lambda m: m[1] + "\x03" + m[2], numbered)
+    return [m[0] for m in regex.finditer(decontamination.TOKEN, units.lower())]
+
+
+def held_by_hand(doc: list[str], item: list[str]) -> bool:
+    """Whether a document holds an item, window by window, with values that agree or as it is."""
+    n = min(5, len(item))
+
+    def windows(tokens, form):
+        return [(i, tuple(map(form, tokens[i : i + n]))) for i in range(len(tokens) - n + 1)]
+
+    def plain(t):
+        return t[1:] if t < "\x04" else t
+
+    def kind(t):
+        return t[0] if t < "\x04" else t
+
+    same = {w for _, w in windows(item, plain)}
+    if len(same & {w for _, w in windows(doc, plain)}) / len(same) >= 0.8:
+        return True
+    wanted = [(i, w) for i, w in windows(item, kind) if sum(t >= "\x04" for t in w) >= min(3, len(w))]
+    there = defaultdict(list)
+    for i, w in windows(doc, kind):
+        there[w].append(i)
+    distinct = {w for _, w in wanted}
+    if not distinct or sum(w in there for w in distinct) / len(distinct) < 0.8:
+        return False
+    means, times, inside = defaultdict(set), Counter(), Counter(w for _, w in wanted)
+    for i, w in wanted:
+        for k, t in enumerate(item[i : i + n]):
+            if t < "\x04" and w in there:
+                means[t] |= {doc[j + k] for j in there[w]}
+                times[t] = max(times[t], -(-len(there[w]) // inside[w]))
+    return not means or sum(len(m) <= times[t] for t, m in means.items()) / len(means) >= 0.9
+
+
+def test_items_are_found_like_by_hand(spark):
+    r = random.Random(17)
+    numbers = ["12", "7", "3.5", "sixty", "twelve", "two hundred and five"]
+    names = ["Anna", "Olga", "Ivan", "Rosa"]
+    shapes = ["A car drives {a} km in {b} hours and {n} walks {a} km more how long does the way of {n} take in all",
+              "If {n} buys {a} books and {m} buys {b} pens for {a} dollars each what does {m} pay for the {b} pens", "What is {a} plus {b}"]
+
+    def filled(shape: str, **more) -> str:
+        values = {"a": r.choice(numbers), "b": r.choice(numbers), "n": r.choice(names), "m": r.choice(names)}
+        return shape.format(**(values | more))
+
+    items = {i: filled(shapes[i % 3]) for i in range(9)}
+    rows = [(1, prose(1, 90)), (2, ""), (3, None)]
+    for i in range(150):
+        text = filled(r.choice(shapes)) if r.random() < 0.8 else r.choice(list(items.values()))
+        words = text.split()
+        for _ in range(r.choice([0, 0, 1, 4])):
+            words[r.randrange(len(words))] = r.choice([*numbers[:5], "and", "road"])
+        rows.append((100 + i, f"{prose(i, 12)}. {' '.join(words)} {prose(500 + i, 8)}"))
+    table = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in rows_of(decontamination.contaminated(frame(spark, rows), table))}
+    want = {
+        (d, i) for d, t in rows for i, item in items.items()
+        if t and any(held_by_hand(cut_by_hand(t), cut_by_hand(form)) for form in (item, ": " + item))}
+    assert got == want and 30 < len(want) < 1000
+
+
+def test_spelled_numbers_are_numbers(spark):
+    items = spark.createDataFrame([(1, "A cyclist rides sixty km in three hours and then rests, how far does she ride in twelve hours at this speed")], "item_id bigint, text string")
+    rows = [(1, "A cyclist rides 45 km in 2 hours and then rests, how far does she ride in 9 hours at this speed"),
+            (2, "a cyclist rides sixty-five km in two hours and then rests, how far does she ride in one hundred and ten hours at this speed"),
+            (3, "A cyclist rides home and then rests, how far does she ride on most days at this speed")]
+    assert {r["doc_id"] for r in rows_of(decontamination.contaminated(frame(spark, rows), items))} == {1, 2}
+
+
 # -- surrogates
 
 CARD, OTHER_CARD, NO_CARD = "4539578763621486", "4485275742308327", "4539578763621487"
