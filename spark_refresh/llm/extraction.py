@@ -2,9 +2,12 @@
 
 A page is read into a tree of elements. Each paragraph of some length gives points for its
 length and commas to its parent and, halved, to its grandparent; the points of an element
-are discounted by its share of link text. The best element and those siblings that score
-near it, or are prose themselves, are kept; what is marked as menu, advert, form, notice or
-comment within them is left out.
+are discounted by its share of link text. From the best element the choice climbs to the
+outermost element below the body that has further paragraphs and few links, so that an article
+cut into uneven parts is taken whole; siblings there that score near it, or are prose
+themselves, are kept. What is marked as menu, advert, form, notice or comment within them is
+left out; marks that an article's own parts may carry as well (``tags``, ``social-...``,
+``related``) count only where the element is full of links or has no prose.
 
 Null and empty pages, and pages without text of their own, give an empty text. Each page is
 handled by itself, so ties do not occur between rows and repeated rows give repeated results;
@@ -39,8 +42,10 @@ ENDS = {
 }
 UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|menu|nav\w*|breadcrumbs?|sidebar|footer|header|masthead|cookie\w*|consent|"
-    r"notice|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|"
-    r"disqus|replies|reply|pager|pagination|widget|toolbar|skip|copyright|legal|gdpr|search|tags?|byline-share|rail)(?:$|[\s_-]|\d)", re.I)
+    r"notice|popup|modal|newsletter|subscribe|signup|login|share|sharing|comments?|commentlist|"
+    r"disqus|replies|reply|pager|pagination|skip|copyright|gdpr|byline-share)(?:$|[\s_-]|\d)", re.I)
+#: Marks that need a look at the element itself.
+DOUBTFUL = re.compile(r"(?:^|[\s_-])(?:social|related|recommend\w*|legal|search|tags?|widget|toolbar|rail|overlay)(?:$|[\s_-]|\d)", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|content|main|body|entry|post|story|text)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 TAG = re.compile(r"<(?:!--(?:.*?(?:-->|--!>|$))|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", re.S)
@@ -51,12 +56,13 @@ SHORT = 25  # characters of a paragraph that gives no points
 
 
 class Element:
-    __slots__ = ("tag", "children", "parent", "marks", "score", "text_length", "link_length")
+    __slots__ = ("tag", "children", "parent", "marks", "score", "text_length", "link_length", "within", "doubt")
 
     def __init__(self, tag: str, parent: Element | None, marks: dict[str, str]) -> None:
         self.tag, self.parent, self.marks = tag, parent, marks
         self.children: list[Element | str] = []
-        self.score = 0.0
+        self.score = self.within = 0.0  # within: points of all paragraphs below
+        self.doubt: bool | None = None
         self.text_length = self.link_length = 0
 
     def dropped(self) -> bool:
@@ -70,7 +76,11 @@ class Element:
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", marks.get("style", ""), re.I):
             return True
         names = f"{marks.get('class', '')} {marks.get('id', '')}".strip()
-        return bool(names) and self.tag not in ("html", "body", "article", "main") and bool(UNLIKELY.search(names)) and not LIKELY.search(names)
+        if not names or self.tag in ("html", "body", "article", "main") or LIKELY.search(names):
+            return False
+        if self.doubt is None:
+            self.doubt = bool(UNLIKELY.search(names)) or bool(DOUBTFUL.search(names)) and not has_prose(self)
+        return self.doubt
 
 
 def ancestors(node: Element) -> Iterator[Element]:
@@ -79,6 +89,25 @@ def ancestors(node: Element) -> Iterator[Element]:
         yield node
 
 
+def has_prose(node: Element) -> bool:
+    """Whether an element has a paragraph of some length, and little of its text in links."""
+    text = linked = longest = 0
+    stack = [(node, False, False)]
+    while stack:
+        at, in_link, in_paragraph = stack.pop()
+        in_link, in_paragraph = in_link or at.tag == "a", in_paragraph or at.tag in PARAGRAPHS
+        own = 0
+        for child in at.children:
+            if isinstance(child, str):
+                own += len(child.strip())
+            elif child.tag not in RAW:
+                stack.append((child, in_link, in_paragraph))
+        text, linked = text + own, linked + own * in_link
+        if in_paragraph and not in_link:
+            longest = max(longest, own)
+    return longest >= 2 * SHORT and linked < 0.3 * text
+
+
 def parse(html: str) -> Element:
     """The tree of a page. Unclosed elements end where their parent does; stray ends are passed over."""
     root = at = Element("html", None, {})
@@ -169,9 +198,14 @@ def measure(root: Element) -> list[Element]:
             continue
         points = (1 + len(COMMAS.findall(direct_text(node))) + min(node.text_length / 100, 3)) * (1 - link_density(node))
         for depth, above in enumerate(ancestors(node)):
-            if depth > 1:
+            if depth < 2:
+                above.score += points / (depth + 1)
+            else:
                 break
-            above.score += points / (depth + 1)
+        node.within += points
+    for node, _ in reversed(order):
+        if node.parent is not None:
+            node.parent.within += node.within
     for node, _ in order:
         if node.score:
             names = f"{node.marks.get('class', '')} {node.marks.get('id', '')}"
@@ -226,6 +260,17 @@ def blocks(nodes: list[Element]) -> list[str]:
     return out
 
 
+def climbed(best: Element) -> Element:
+    """The outermost element around ``best`` that has paragraphs besides it and few links."""
+    chosen = best
+    for above in ancestors(best):
+        if above.parent is None or above.tag == "body" or link_density(above) >= 0.3:
+            break
+        if above.within > chosen.within + 0.5:
+            chosen = above
+    return chosen
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -237,6 +282,8 @@ def main_text(html: str | None) -> str:
         if above.tag in ("article", "main"):
             best = above
             break
+    if best.tag not in ("article", "main"):
+        best = climbed(best)
     kept = [best]
     if best.parent is not None and best.tag not in ("article", "main", "body"):
         limit = max(10.0, best.score / 5)

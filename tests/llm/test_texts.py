@@ -32,6 +32,27 @@ def test_main_text(html, want):
     assert extraction.main_text(html) == want
 
 
+LONG = "".join(f"<p>{ARTICLE} Number {i}.</p>" for i in range(10))
+TEN = [f"{ARTICLE} Number {i}." for i in range(10)]
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    # uneven sections of one article
+    (f"<nav><a href=/>Home</a></nav><div id=content><section>{LONG}</section><section><h2>After</h2><p>{ARTICLE}</p></section></div>", [*TEN, "After", ARTICLE]),
+    (f"<div class=wrap><div><div>{LONG}</div></div><div><h3>Two</h3><div><p>{ARTICLE}</p></div></div></div><div class=footer>f</div>", [*TEN, "Two", ARTICLE]),
+    # an article in pieces without semantic tags, links around it
+    (f"<div><ul><li><a href=a>First story of the day</a><li><a href=b>Second story of the day, with more</a></ul></div>"
+     f"<div id=x><div>{LONG}</div><div><p>{ARTICLE}</p></div><div><p>{ARTICLE}</p></div></div>", [*TEN, ARTICLE, ARTICLE]),
+    # names that mean something else here
+    (f"<article>{LONG}<div class=social-history><p>{ARTICLE}</p></div><div class=related><a href=a>More of this</a> <a href=b>And that</a></div></article>", [*TEN, ARTICLE]),
+    (f"<div class=tags>{LONG}</div>", TEN), (f"<div class='legal search-results'>{LONG}</div>", TEN),
+    (f"<article>{LONG}<div class=tags><a href=a>one</a>, <a href=b>two</a></div><div class=cookie-notice><p>{ARTICLE}</p></div></article>", TEN),
+    (f"<body><div class=sidebar><p>{ARTICLE}</p></div><main>{LONG * 30}</main></body>", TEN * 30),
+])
+def test_articles_are_kept_whole(html, want):
+    assert extraction.main_text(html).split("\n\n") == want
+
+
 def test_pages_keep_their_rows(spark):
     df = spark.createDataFrame([(1, "u", f"<p>{ARTICLE}", 1), (1, "u", f"<p>{ARTICLE}", 1), (None, None, None, 2)], "page_id bigint, url string, html string, text int")
     got = rows_of(extraction.extract(df))
