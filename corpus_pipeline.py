@@ -19,9 +19,16 @@ from spark_refresh.llm.common import fresh, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+KEY_SETTING = "spark.refresh.surrogates.key"
+
 ORACLE_SQL = None  # learned scores, sketches, keyed hashes and token ids are beyond SQL
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret of the surrogates, as the session names it; without it, one for tests."""
+    return spark.conf.get(KEY_SETTING, "not a secret")
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models do not call toxic.
 
@@ -55,7 +62,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced."""
-    return surrogates.replace(docs, counts=False)
+    return surrogates.replace(docs, surrogate_key(spark), counts=False)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
