@@ -86,7 +86,7 @@ def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op10_keyed_surrogates(spark: SparkSession, folder: str) -> DataFrame:
-    return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"))
+    return surrogates.replace(table(spark, folder, "documents").select("doc_id", "text"), corpus_pipeline.surrogate_key(spark))
 
 
 @query()

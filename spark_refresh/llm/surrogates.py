@@ -1,13 +1,16 @@
 """Personal data replaced by keyed surrogates of the same type and form, with built-in functions only.
 
-Entities are found by patterns: e-mail addresses, IPv4 addresses, telephone numbers, payment
-card numbers (16 digits in any usual grouping whose check digit holds), social security numbers, account numbers
-(IBAN), assigned secrets, and names after a form of address. Each entity gets the surrogate
-that a keyed hash chooses: digits stay digits, letters stay letters of the same case and
-script, groupings stay, an IPv4 part stays within 0 to 255, a name keeps the gender of its
-form of address. The same entity has the same surrogate in every document; two entities
+Entities are found by patterns: e-mail addresses, IPv4 and IPv6 addresses, telephone numbers,
+payment card numbers (13 to 19 digits, alone or in a usual grouping, whose check digit holds),
+social security numbers, account numbers (IBAN), assigned secrets (quoted, or unquoted with a
+digit), and names after a form of address or after "name is". A name found so is replaced
+wherever its document repeats it in full, also without the form of address. Other names are
+not found: that would take a model. Each entity gets the surrogate that a keyed hash chooses:
+digits stay digits, letters stay letters of the same case and script, groupings stay, an IPv4
+part stays within 0 to 255, a name keeps the gender of its form of address. The same entity has the same surrogate in every document; two entities
 never share one and no surrogate is an entity that occurs, which is checked by grouping: the
-surrogates that collide are drawn again, the first of them (by hash) keeps its own.
+surrogates that collide are drawn again, the first of them (by hash) keeps its own. Where a form
+is so crowded that draws keep colliding, the surrogate gets longer, so all are distinct in the end.
 
 Null texts stay null, empty ones empty. Overlapping finds are settled by the pattern's
 order, leftmost first. Repeated rows are treated alike. Null ids are kept: rows are joined
@@ -21,19 +24,20 @@ from pyspark.sql import functions as F
 
 from .common import fresh, stored
 
-ATTEMPTS = 40
+LONGER = 6  # attempts after which a surrogate grows, by a character each
 #: Each kind and its pattern, in order of preference.
 KINDS = {
     "email": r"(?<![\p{L}\p{N}_%+-])[\p{L}\p{N}_%+-]+(?:\.[\p{L}\p{N}_%+-]+)*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": r"(?<=[\"'])(?=[^\s\"']{12})(?<=(?i:token|secret|password|passwd|api_key|apikey|key) ?[=:] ?[\"'])[\p{L}\p{N}_+/=-]{12,}(?=[\"'])|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{30,}|\bsk-[A-Za-z0-9-]{20,}",
+    "secret": r"(?<=[\"'])(?=[^\s\"']{12})(?<=(?i:token|secret|password|passwd|api_key|apikey|key)[\"']? ?[=:] ?[\"'])[\p{L}\p{N}_+/=-]{12,}(?=[\"'])|(?<=[=: ])(?=[^\s\"']{0,40}\d)(?=[^\s\"']{12})(?<=(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?)[\p{L}\p{N}_+/=-]{12,}|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{30,}|\bsk-[A-Za-z0-9-]{20,}",
     "iban": r"(?=[A-Z]{2}\d)(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "card": r"(?=\d{4})(?<![\p{L}\p{N}.-])(?:\d{4}[ -]?){3}\d{4}(?![\p{L}\p{N}]|[.-]\d)",
+    "card": r"(?=\d{4})(?<![\p{L}\p{N}.-])(?:(?:\d{4}[ -]?){3}\d{4}(?:[ -]?\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,15})(?![\p{L}\p{N}]|[.-]\d)",
     "phone": r"(?=[+(\d])(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4}|\b0\d{2,4}[ /-]\d{3,4}[ -]?\d{3,5})(?![\p{L}\p{N}])",
     "ssn": r"(?=\d{3}-)(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "ip": r"(?=\d{1,3}\.\d)(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
+    "ipv6": r"(?=[0-9A-Fa-f]{1,4}:)(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])",
     "name_m": r"(?<= )(?=\p{Lu})(?<=\b(?:Mr|Mr\.|Sir|Herr|Herrn|Monsieur|Señor|Sr\.) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
     "name_f": r"(?<= )(?=\p{Lu})(?<=\b(?:Mrs|Mrs\.|Ms|Ms\.|Miss|Madam|Frau|Madame|Mme|Señora|Sra\.) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
-    "name": r"(?<= )(?=\p{Lu})(?<=\b(?:Dr|Dr\.|Prof|Prof\.|Professor|Doctor) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
+    "name": r"(?<= )(?=\p{Lu})(?<=\b(?:Dr|Dr\.|Prof|Prof\.|Professor|Doctor|name is) )\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}",
 }
 #: Syllables of given names by gender and of other names; a surrogate name is made of them.
 ENDINGS = {"name_m": ("on", "us", "or", "im", "ed", "ar", "el", "as"), "name_f": ("a", "ia", "elle", "ina", "ira", "ea", "isa", "ora"), "name": ("in", "en", "is", "an", "yn", "em", "il", "al")}
@@ -43,7 +47,7 @@ GREEK = tuple(c + v for c in "βγδζκλμνπρστ" for v in "αειου")
 FOUND = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these has no entity; each begins with a set of characters, so that it fails fast.
 HINTS = (
-    r"[0-9@]", r"[=:] ?[\"'][^ \"']{12}",
+    r"[0-9@]", r"[=:] ?[\"'][^ \"']{12}", r"name is \p{Lu}", r"[0-9A-Fa-f]:[0-9A-Fa-f:]{2}",
     r"(?=[MSHFDP])(?<!\p{L})(?:M(?:rs?|s|iss|adame?|me|onsieur)|S(?:ir|eñora?|ra?)|Herrn?|Frau|Dr|Doctor|Prof(?:essor)?)\.? \p{Lu}",
 )
 MARKS = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "sk-")
@@ -65,7 +69,7 @@ def kind_of(entity: Column, context: Column) -> Column:
     for name, pattern in whole.items():
         test = F.regexp_like(entity, F.lit(f"^(?:{pattern})$"))
         kind = F.when(test, name) if kind is None else kind.when(test, name)
-    for name, titles in (("name_m", "Mr|Mr\\.|Sir|Herr|Herrn|Monsieur|Señor|Sr\\."), ("name_f", "Mrs|Mrs\\.|Ms|Ms\\.|Miss|Madam|Frau|Madame|Mme|Señora|Sra\\."), ("name", "Dr|Dr\\.|Prof|Prof\\.|Professor|Doctor")):
+    for name, titles in (("name_m", "Mr|Mr\\.|Sir|Herr|Herrn|Monsieur|Señor|Sr\\."), ("name_f", "Mrs|Mrs\\.|Ms|Ms\\.|Miss|Madam|Frau|Madame|Mme|Señora|Sra\\."), ("name", "Dr|Dr\\.|Prof|Prof\\.|Professor|Doctor|name is")):
         kind = kind.when(F.regexp_like(context, F.lit(f"(?:^|[^\\p{{L}}])(?:{titles}) $")), name)
     return kind.otherwise("secret")
 
@@ -159,8 +163,9 @@ def surrogate(entity: Column, kind: Column, stream: Column, drawn: Column) -> Co
     length = F.length(entity)
     tiled = F.substr(F.repeat(stream, F.ceil(length / F.length(stream)).cast("int") + 1), F.lit(1), length)
     secret = F.when(F.regexp_like(entity, F.lit(r"^[0-9a-f]+$")), tiled).otherwise(F.concat(prefix, F.substr(drawn, F.length(prefix) + 1)))
+    hexed = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(c == ":", c).otherwise(F.substr(stream, F.pmod(i, F.length(stream)) + 1, F.lit(1)))), "")
     phone = F.when(entity.startswith("+1"), F.concat(F.lit("+1"), F.substr(drawn, F.lit(3)))).otherwise(drawn)
-    return (F.when(kind == "ip", octets).when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone)
+    return (F.when(kind == "ip", octets).when(kind == "ipv6", hexed).when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone)
             .when(kind == "iban", F.concat(F.left(entity, F.lit(2)), F.substr(drawn, F.lit(3)))).when(kind == "card", _with_check_digit(drawn))
             .when(kind.startswith("name"), _name(entity, kind, stream)).otherwise(drawn))
 
@@ -171,18 +176,30 @@ def regrouped(mention: Column, entity: Column, replacement: Column, kind: Column
         taken = F.length(F.regexp_replace(F.substr(mention, F.lit(1), at), r"[ .\-/()]", ""))
         return F.when(F.regexp_like(character, F.lit(r"[ .\-/()]")), character).otherwise(F.substr(replacement, taken + 1, F.lit(1)))
 
-    grouped = F.array_join(F.transform(F.split(mention, ""), one), "")
+    grouped = F.concat(F.array_join(F.transform(F.split(mention, ""), one), ""), F.substr(replacement, F.length(entity) + 1))  # what a crowded form adds
     return (F.when(kind.isin("card", "phone", "ssn", "iban") & (mention != entity), grouped)
             .when((kind == "email") & (mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(replacement)).otherwise(replacement))
 
 
-def assigned(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFrame:
+def longer(one: Column, kind: Column, stream: Column, attempt: int) -> Column:
+    """A surrogate with so many further characters as its form has been too crowded for."""
+    more = attempt - LONGER + 1
+    if more < 1:
+        return one
+    hexes = F.substr(F.repeat(stream, 1 + more // 256), F.lit(1), F.lit(more))
+    letters, digits = F.translate(hexes, "0123456789", "ghijklmnop"), F.translate(hexes, "abcdef", "012345")
+    return F.when(kind == "email", F.concat(letters, one)).when(kind.startswith("name") | (kind == "secret"), F.concat(one, letters)).otherwise(
+        F.concat(one, digits))
+
+
+def assigned(entities: DataFrame, key: str) -> DataFrame:
     """``entity``, ``sort``, ``surrogate`` of each distinct (entity, sort), all surrogates distinct and none an entity.
 
     A name met after forms of address of one gender has that gender.
 
     Each round draws for those without one; of equal draws the one with the smallest hash stays,
-    unless an earlier round gave it away or it is itself an entity of the data.
+    unless an earlier round gave it away or it is itself an entity of the data. From some round
+    on the forms grow, so a round leaves a small part of the one before.
     """
     genders = entities.groupBy("entity", "sort").agg(F.min("kind").alias("low"), F.max("kind").alias("high"), F.min(F.when(F.col("kind") != "name", F.col("kind"))).alias("least"))
     agreed = F.when(F.col("sort") != "name", F.col("low")).when(F.col("least").isNull() | (F.col("least") == F.col("high")), F.col("high")).when(
@@ -190,10 +207,12 @@ def assigned(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFra
     known = stored(genders.select("entity", "sort", agreed.alias("kind")), "entities")
     open_, done = known, None
     taken_forms = known.select(F.col("entity").alias("drawn"))
-    for attempt in range(attempts):
+    attempt = 0
+    while True:
         streamed = open_.withColumn("stream", stream_of(F.col("entity"), F.col("sort"), F.lit(attempt), key))
         streamed = streamed.withColumn("letters", lettered(F.col("entity"), F.col("stream")))
-        drawn = stored(streamed.select("entity", "sort", surrogate(F.col("entity"), F.col("kind"), F.col("stream"), F.col("letters")).alias("drawn")), "drawn")
+        made = surrogate(F.col("entity"), F.col("kind"), F.col("stream"), F.col("letters"))
+        drawn = stored(streamed.select("entity", "sort", longer(made, F.col("kind"), F.col("stream"), attempt).alias("drawn")), "drawn")
         order = F.struct(F.xxhash64("entity", "sort").alias("x"), "entity", "sort")
         first = drawn.groupBy("drawn").agg(F.min(order).alias("first"))
         free = first.join(taken_forms, "drawn", "left_anti")
@@ -202,16 +221,18 @@ def assigned(entities: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFra
         given = stored(free.select(F.col("first.entity").alias("entity"), F.col("first.sort").alias("sort"), F.col("drawn").alias("surrogate")), "surrogates")
         done = given if done is None else done.unionByName(given)
         open_ = open_.join(given.select("entity", "sort"), ["entity", "sort"], "left_anti")
-        if attempt % 8 == 7:
-            open_ = stored(open_, "open")
+        attempt += 1
+        if attempt % 8 == 0:
+            open_, done = stored(open_, "open"), stored(done, "surrogates")
         if open_.isEmpty():
             return done
-    raise ValueError("more entities of one form than it has surrogates")
 
 
-def replace(df: DataFrame, text: str = "text", key: str = "surrogates", counts: bool = True) -> DataFrame:
+def replace(df: DataFrame, key: str, text: str = "text", counts: bool = True) -> DataFrame:
     """The frame with its entities replaced in ``text``, and ``n_entities`` if ``counts``.
 
+    Whoever has the ``key`` can tell which surrogate an entity has, so it is to be kept secret.
+
     Texts with entities are cut at them once; only the entities are shuffled and given
     surrogates, and come back to their text by a row number's place in a stored table.
     """
@@ -233,13 +254,26 @@ def replace(df: DataFrame, text: str = "text", key: str = "surrogates", counts:
     given = assigned(real, key)
     replaced = regrouped(F.col("mention"), F.col("entity"), F.col("surrogate"), F.col("kind"))
     new = typed.join(given, ["entity", "sort"], "left").select(
-        row, "at", F.coalesce(replaced, "mention").alias("new"), F.col("surrogate").isNotNull().cast("int").alias("changed"))
-    lists = new.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("_new"), F.sum("changed").cast("int").alias("_changed"))
+        row, "at", F.coalesce(replaced, "mention").alias("new"), F.col("surrogate").isNotNull().cast("int").alias("changed"),
+        F.when(F.col("sort") == "name", F.struct((-F.length("mention")).alias("less"), "mention", F.col("surrogate").alias("by"))).alias("called"))
+    lists = new.groupBy(row).agg(
+        F.array_sort(F.collect_list(F.struct("at", "new"))).alias("_new"), F.sum("changed").cast("int").alias("_changed"),
+        F.array_sort(F.collect_set("called")).alias("_called"))
     joined = cut.join(lists, row, "left")
     after = F.transform("_new", lambda x: x["new"])
     woven = F.array_join(F.flatten(F.zip_with(F.col(pieces), after, lambda a, b: F.array(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))), "")
-    whole = F.when(F.col("_changed") > 0, woven).otherwise(body).alias(text)
-    changed = joined.select(
-        *(whole if c == text else F.col(f"`{c}`") for c in names), *([F.coalesce("_changed", F.lit(0)).alias("n_entities")] if counts else []))
+    # names of several words, also where the document repeats them without a form of address; longer ones first
+    called = F.filter("_called", lambda c: c["mention"].contains(" ") & c["by"].isNotNull())
+
+    def whole_name(c: Column) -> Column:
+        return F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), c["mention"], F.lit(r"\E(?![\p{L}\p{N}])"))
+
+    places = F.struct(woven.alias("text"), F.lit(0).alias("n"))
+    again = F.aggregate(called, places, lambda acc, c: F.struct(
+        F.regexp_replace(acc["text"], whole_name(c), c["by"]).alias("text"),
+        (acc["n"] + F.size(F.regexp_extract_all(acc["text"], whole_name(c), F.lit(0)))).alias("n")))
+    ended = joined.withColumn("_ended", F.when((F.col("_changed") > 0) & (F.size(called) > 0), again).when(F.col("_changed") > 0, places))
+    whole = F.coalesce(F.col("_ended.text"), body).alias(text)
+    n = (F.coalesce("_changed", F.lit(0)) + F.coalesce("_ended.n", F.lit(0))).cast("int").alias("n_entities")
+    changed = ended.select(*(whole if c == text else F.col(f"`{c}`") for c in names), *([n] if counts else []))
     return plain.unionByName(changed)
-

@@ -180,7 +180,7 @@ def test_surrogates_keep_form_and_identity(spark):
         203: f"Card {OTHER_CARD} and Dr. Rosa Diaz.",
     }
     got = {}
-    for r in rows_of(surrogates.replace(frame(spark, awkward() + list(texts.items())))):
+    for r in rows_of(surrogates.replace(frame(spark, awkward() + list(texts.items())), "k")):
         got.setdefault(r["doc_id"], r)
     for doc, text in awkward():
         if doc in (1, 2, 3, 6, 8, 9, 12):
@@ -194,9 +194,41 @@ def test_surrogates_keep_form_and_identity(spark):
     third = re.fullmatch(rf"Mr\. (\w+ \w+) met Ms\. (\w+ \w+); Mr\. ([А-Яа-я]+ [А-Яа-я]+) too\. No card: {NO_CARD}, version 4\.0, 12345\.", got[202]["text"])
     assert third and third[2] != "Rosa Diaz"
     assert f"Dr. {third[2]}." in got[203]["text"]
-    again = {r["doc_id"]: r["text"] for r in rows_of(surrogates.replace(frame(spark, list(texts.items()))))}
+    again = {r["doc_id"]: r["text"] for r in rows_of(surrogates.replace(frame(spark, list(texts.items())), "k"))}
     assert all(again[d] == got[d]["text"] for d in texts)
-    assert rows_of(surrogates.replace(frame(spark, []))) == []
+    assert rows_of(surrogates.replace(frame(spark, []), "k")) == []
+
+
+def test_nothing_personal_is_left(spark):
+    texts = {
+        1: '{"password": "hunter2hunter2"} and password=hunter3hunter3 or token: abcdef123456789',
+        2: "Amex 378282246310005, grouped 3782 822463 10005; other 4222222222222; no card 378282246310006.",
+        3: "My name is Alice Johnson. Dr. Alice Johnson wrote. Alice Johnson left, Alice Johnsonville stays.",
+        4: "Host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 or fe80::1ff:fe23:4567:890a at 10:30:45.",
+        5: "The secret: nothing at all, a key to everything; password is what you know. He said: 'tomorrow morning'.",
+    }
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in rows_of(surrogates.replace(frame(spark, list(texts.items())), "k"))}
+    for gone in ("hunter2", "hunter3", "abcdef123456789"):
+        assert gone not in got[1][0]
+    assert got[1][1] == 3 and got[1][0].startswith('{"password": "') and len(got[1][0]) == len(texts[1])
+    assert re.fullmatch(r"Amex \d{15}, grouped \d{4} \d{6} \d{5}; other \d{13}; no card 378282246310006\.", got[2][0])
+    one, two, three = re.findall(r"\d[\d ]+\d", got[2][0])[:3]
+    assert one == two.replace(" ", "") != "378282246310005" and surrogates_luhn(one) and surrogates_luhn(three)
+    name = re.fullmatch(r"My name is (\w+ \w+)\. Dr\. (\w+ \w+) wrote\. (\w+ \w+) left, Alice Johnsonville stays\.", got[3][0])
+    assert name and name[1] == name[2] == name[3] != "Alice Johnson" and got[3][1] == 3
+    assert re.fullmatch(r"Host (?:[0-9a-f]{4}:){7}[0-9a-f]{4} or [0-9a-f]{4}::[0-9a-f]{3}:[0-9a-f]{4}:[0-9a-f]{4}:[0-9a-f]{4} at 10:30:45\.", got[4][0]) and got[4][1] == 2
+    assert got[5] == (texts[5], 0)
+    other = {r["doc_id"]: r["text"] for r in rows_of(surrogates.replace(frame(spark, list(texts.items())), "another key"))}
+    assert all(other[d] != got[d][0] for d in (1, 2, 3, 4))
+
+
+def test_crowded_forms_grow(spark):
+    """As many addresses as their form has surrogates, each of them an entity."""
+    entities = spark.range(676).selectExpr("concat(char(97 + id % 26), '@', char(97 + id div 26), '.co') AS entity").selectExpr("entity", "'email' AS kind", "'email' AS sort").distinct()
+    given = rows_of(surrogates.assigned(entities, "k"))
+    assert len(given) == entities.count() == len({r["surrogate"] for r in given})
+    assert not {r["surrogate"] for r in given} & {r["entity"] for r in given}
+    assert all(re.fullmatch(r"[a-p]*[a-z]@[a-z]\.co", r["surrogate"]) for r in given)
 
 
 def surrogates_luhn(number: str) -> bool:
@@ -213,7 +245,7 @@ def test_surrogates_of_a_crowded_form_stay_distinct(spark):
     given = rows_of(surrogates.assigned(entities, "k"))
     assert len({r["surrogate"] for r in given}) == len({r["entity"] for r in given}) == 300
     assert not {r["surrogate"] for r in given} & {r["entity"] for r in given}
-    assert surrogates.replace(df).count() == 100
+    assert surrogates.replace(df, "k").count() == 100
 
 
 # -- toxicity
