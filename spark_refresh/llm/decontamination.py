@@ -33,7 +33,9 @@ WINDOW = 5
 SHARE = 0.8
 CONSISTENT = 0.9  # of an item's values
 LITERALS = 3
-MOST_BITS = 24  # the bit map has at most 2^24 bits, 16 for each window of up to a million
+BITS = 64  # of the bit map for each window, two of them set
+MOST_BITS = 24  # the bit map has at most 2^24 bits, so it serves up to 260,000 windows with full sharpness
+SECOND = 26  # place in the hash of the second bit's number
 NAME = r"(?<=[\p{L}\p{N},;:%&*#$)'’\"] )\p{Lu}\p{Ll}[\p{L}'’]*"
 UNITS = ("kg|g|mg|lbs?|pounds?|ounces?|km|cm|mm|m|miles?|feet|foot|inch(?:es)?|yards?|l|ml|litres?|liters?|gallons?|h|hours?|minutes?|seconds?|"
          "days?|weeks?|months?|years?|dollars?|cents?|euros?|pence|percent|degrees?|mph|kmh|kw|watts?|volts?|hz|kb|mb|gb|tb")
@@ -90,11 +92,12 @@ def item_windows(cut: DataFrame, parts: Column, literals: int) -> DataFrame:
 
 
 def bit_map(windows: DataFrame) -> tuple[list[int], int]:
-    """Bits set for the windows' hashes, as longs, and the number of bits (as a power of two)."""
-    n = windows.count()
-    power = max(10, min(MOST_BITS, (n * 16).bit_length()))
-    at = F.col("hash").bitwiseAND(F.lit((1 << power) - 1))
-    words = windows.select(F.shiftright(at, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast((hash & {(1 << power) - 1}) & 63 as int))").alias("bit"))
+    """Two bits set for each of the windows' hashes, as longs, and the number of bits (as a power of two)."""
+    hashes = windows.select("hash").distinct()
+    power = max(10, min(MOST_BITS, (hashes.count() * BITS).bit_length()))
+    mask = F.lit((1 << power) - 1)
+    both = hashes.select(F.explode(F.array(F.col("hash").bitwiseAND(mask), F.shiftright("hash", SECOND).bitwiseAND(mask))).alias("at"))
+    words = both.select(F.shiftright("at", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
     out = [0] * (1 << (power - 6))
     for r in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
         out[r["word"]] = r["bits"]
@@ -142,11 +145,14 @@ def marked(named: DataFrame, forms: dict, lengths: list[int]) -> DataFrame:
 
 
 def _passed(hashes: Column, maps: Column, mask: int) -> Column:
-    """``place`` and ``hash`` of the windows whose bit is set."""
+    """``place`` and ``hash`` of the windows whose bits are set."""
+
+    def is_set(at: Column) -> Column:
+        return F.getbit(F.get(maps, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
     def maybe(i: Column) -> Column:
-        at = F.get(maps, F.shiftright(F.get(hashes, i).bitwiseAND(F.lit(mask)), 6).cast("int"))
-        return F.getbit(at, F.get(hashes, i).bitwiseAND(F.lit(63)).cast("int")) == 1
+        h, every = F.get(hashes, i), F.lit(mask)
+        return is_set(h.bitwiseAND(every)) & is_set(F.shiftright(h, SECOND).bitwiseAND(every))
 
     n = F.size(hashes)
     places = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
