@@ -17,6 +17,8 @@ from spark_refresh.schemas import DEFAULT_SLOTS, QUEUE
 from spark_refresh.sources.scratch import fresh_folder, written
 from spark_refresh.sources.tracking import tracking_scan
 from spark_refresh.streaming import refresh as stream
+from spark_refresh.streaming.distinct import late_rows as late_rows_of
+from spark_refresh.streaming.distinct import once_each
 
 from . import fixtures as fx
 from .registry import query
@@ -466,3 +468,39 @@ def event_load(spark: SparkSession, folder: str) -> DataFrame:
     return history.select(
         "source_table", "event_time", "status", "num_records", "error",
         F.lit(history.count()).cast("bigint").alias("loaded"), F.lit(waiting).alias("waiting"))
+
+
+DELIVERIES = 4
+
+
+@query(f"""
+WITH bounds AS (SELECT CAST(floor(epoch(min(ts))) AS BIGINT) AS low, CAST(floor(epoch(max(ts))) AS BIGINT) AS high FROM events),
+numbered AS (
+    SELECT upper(event_type) || '.T' || CAST(user_id % 10 AS VARCHAR) AS source_table, event_id,
+           least((CAST(floor(epoch(ts)) AS BIGINT) - low) * {DELIVERIES} // (high - low + 1), {DELIVERIES - 1}) = 0 AND event_id % 13 = 0 AS late
+    FROM events, bounds)
+SELECT source_table, count(*) FILTER (NOT late) AS n, (SELECT count(*) FROM numbered WHERE late) AS late_rows
+FROM numbered GROUP BY source_table
+""")
+def stream_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in four deliveries: some come twice at once, some again in the next one, and some
+    of the first only in the last, too late."""
+    events, base = fx.table(spark, folder, "events"), fresh_folder(spark, "deliveries")
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    quarter = F.least(F.floor((at - low) * DELIVERIES / (high - low + 1)), F.lit(DELIVERIES - 1))
+    number, held = F.col("event_id"), (quarter == 0) & (F.col("event_id") % 13 == 0)
+    rows = events.select(fx.source_table().alias("source_table"), "event_id", F.col("ts").cast("timestamp").alias("event_time"), quarter.alias("quarter"), held.alias("held"))
+    for i in range(DELIVERIES):
+        own = rows.where((F.col("quarter") == i) & ~F.col("held"))
+        again = rows.where((F.col("quarter") == i - 1) & ~F.col("held") & (number % 7 == 0))
+        sent = own.unionByName(own.where(number % 10 == 0)).unionByName(again)
+        if i == DELIVERIES - 1:
+            sent = sent.unionByName(rows.where("held"))
+        sent.drop("quarter", "held").coalesce(1).write.mode("append").parquet(f"{base}/events")
+    source = spark.readStream.schema("source_table string, event_id bigint, event_time timestamp").option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+    kept = once_each(source, f"{int(0.2 * (high - low))} seconds", ["event_id"])
+    run = kept.writeStream.format("parquet").option("path", f"{base}/kept").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
+    late = F.lit(late_rows_of(run)).cast("bigint").alias("late_rows")
+    return spark.read.parquet(f"{base}/kept").groupBy("source_table").agg(F.count(F.lit(1)).alias("n")).select("source_table", "n", late)
