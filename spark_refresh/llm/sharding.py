@@ -1,7 +1,7 @@
 """Shards of near equal size by sampled splitters, with built-in functions only.
 
-Records are ordered by (hash of the text, hash of the id), so equal texts lie together. A sample of keys,
-drawn in proportion to size, gives quantile boundaries; each record falls into a range by a
+Records are ordered by (hash of the text, hash of the id, row number), so equal texts lie
+together. A sample of keys, drawn in proportion to size, gives quantile boundaries; each record falls into a range by a
 binary search in them. The exact size of each range and of what lies before it in its range
 give each record its place in the whole order, and the shard is the share of all bytes at
 that place. A group of equal texts stays whole while it is small against a shard; larger
@@ -31,7 +31,7 @@ def binary_search(keys: list, key: Column) -> Column:
     if not keys:
         return F.lit(0)
     steps = [1 << i for i in range(len(keys).bit_length() - 1, -1, -1)]
-    sorted_keys = F.arrays_zip(longs([h for h, _ in keys]).alias("h"), longs([d for _, d in keys]).alias("d"))
+    sorted_keys = F.arrays_zip(*(longs([k[i] for k in keys]).alias(name) for i, name in enumerate("hdr")))
 
     def step(at: Column, width: Column) -> Column:
         inside = (at + width) <= len(keys)
@@ -45,26 +45,28 @@ def longs(values: list[int]) -> Column:
     return F.expr(f"array({', '.join(f'{v}L' if v > -(1 << 63) else 'bigint(-9223372036854775808)' for v in values)})")
 
 
-def splitters(sized: DataFrame, ranges: int, total: int) -> list[tuple[int, int]]:
+LOWEST = -(1 << 63)
+
+
+def splitters(sized: DataFrame, ranges: int, total: int) -> list[tuple[int, int, int]]:
     """Boundaries of about equal bytes from a size-weighted sample of bounded number.
 
     A hash that is drawn for several boundaries belongs to a group larger than a range: only
-    such groups are cut, by id.
+    such groups are cut, by id, and rows of one text and id by their numbers.
     """
     wanted = ranges * PER_RANGE
-    chance = F.least(F.lit(1.0), F.col("size") * F.lit(wanted / max(total, 1)))
-    drawn = F.pmod(F.xxhash64("h", "d", F.lit("draw")), F.lit(1 << 30)) / F.lit(1 << 30) < chance
-    weight = F.greatest(F.lit(1.0), F.col("size") * F.lit(wanted / max(total, 1)))
-    sample = [(r["h"], r["d"], r["w"]) for r in sized.where(drawn).select("h", "d", weight.alias("w")).collect()]
-    sample.sort()
-    share, reached, chosen = sum(w for _, _, w in sample) / ranges, 0.0, []
-    for h, d, w in sample:
-        if reached + w >= share * (len(chosen) + 1) and len(chosen) < ranges - 1:
-            chosen.append((h, d))
+    share = F.col("size") * F.lit(wanted / max(total, 1))
+    drawn = F.pmod(F.xxhash64("r", F.lit("draw")), F.lit(1 << 30)) / F.lit(1 << 30) < F.least(F.lit(1.0), share)
+    weight = F.greatest(F.lit(1.0), share)
+    sample = sorted(tuple(r) for r in sized.where(drawn).select("h", "d", "r", weight).collect())
+    step, reached, chosen = sum(s[3] for s in sample) / ranges, 0.0, []
+    for h, d, r, w in sample:
+        if reached + w >= step * (len(chosen) + 1) and len(chosen) < ranges - 1:
+            chosen.append((h, d, r))
         reached += w
-    often = {a[0] for a, b in zip(chosen, chosen[1:], strict=False) if a[0] == b[0]}
-    lowest = -(1 << 63)
-    return sorted({(h, d if h in often else lowest) for h, d in chosen})
+    texts = {a[0] for a, b in zip(chosen, chosen[1:], strict=False) if a[0] == b[0]}
+    rows = {a[:2] for a, b in zip(chosen, chosen[1:], strict=False) if a[:2] == b[:2]}
+    return sorted({(h, d if h in texts else LOWEST, r if (h, d) in rows else LOWEST) for h, d, r in chosen})
 
 
 def shard(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 8) -> DataFrame:
@@ -74,7 +76,7 @@ def shard(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int
     size = F.coalesce(F.octet_length(body), F.lit(0)).cast("long") + 1
     sized = stored(
         df.select(df[doc_id].alias("doc_id"), size.alias("size"), F.crc32(raw).alias("text_crc32"),
-                  F.xxhash64(body).alias("h"), F.xxhash64(df[doc_id]).alias("d")),
+                  F.xxhash64(body).alias("h"), F.xxhash64(df[doc_id]).alias("d"), F.monotonically_increasing_id().alias("r")),
         "sized",
     )
     found = sized.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
@@ -82,8 +84,8 @@ def shard(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int
     ranges = max(FEWEST, min(MOST, rows // ROWS))
     chosen = splitters(sized, ranges, total)
 
-    ranged = sized.withColumn("range", binary_search(chosen, F.struct("h", "d")))
-    within = Window.partitionBy("range").orderBy("h", "d")
+    ranged = sized.withColumn("range", binary_search(chosen, F.struct("h", "d", "r")))
+    within = Window.partitionBy("range").orderBy("h", "d", "r")
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     group = Window.partitionBy("range", "h")
     placed = stored(
@@ -99,7 +101,7 @@ def shard(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int
         bytes_before.append(b)
         n, b = n + sums.get(i, (0, 0))[0], b + sums.get(i, (0, 0))[1]
 
-    often = sorted({h for h, d in chosen if d != -(1 << 63)})
+    often = sorted({h for h, d, _ in chosen if d != LOWEST})
     cut = (F.col("group_size") > F.lit(KEPT_WHOLE * total / shards)) | F.col("h").isin(often)
     start = F.when(cut, F.col("at")).otherwise(F.col("group_at")) + F.get(longs(bytes_before), F.col("range"))
     number = F.least(F.lit(shards - 1), F.floor(start * shards / F.lit(max(total, 1)))).cast("int")

@@ -7,12 +7,13 @@ import zlib
 from collections import Counter
 
 from cases import awkward, frame, prose, rows_of
+from pyspark.sql import functions as F
 
 from spark_refresh.llm import repeats, sharding
 
 
 def test_shards_hold_equal_bytes_and_whole_groups(spark):
-    rows = awkward() + [(1000 + i, prose(i % 900, 40 + i % 50)) for i in range(2500)] + [(9000 + i, "hot copy") for i in range(1500)]
+    rows = awkward() + [(1000 + i, prose(i % 900, 40 + i % 50)) for i in range(2500)] + [(9000 + i, "hot copy") for i in range(1500)] + [(8000, "one row again and again")] * 2500
     got = rows_of(sharding.shard(frame(spark, rows)))
     want = Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows)
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
@@ -28,6 +29,14 @@ def test_shards_hold_equal_bytes_and_whole_groups(spark):
     assert rows_of(sharding.shard(frame(spark, []))) == []
 
 
+def test_equal_rows_are_no_single_draw_or_range(spark):
+    df = spark.range(40_000).selectExpr("id AS r", "CAST(5 AS BIGINT) AS h", "CAST(6 AS BIGINT) AS d", "CAST(10 AS BIGINT) AS size")
+    keys = sharding.splitters(df, 64, 400_000)
+    assert len(keys) > 50 and len({k[2] for k in keys}) > 50
+    sizes = df.groupBy(sharding.binary_search(keys, F.struct("h", "d", "r")).alias("range")).count().collect()
+    assert max(r["count"] for r in sizes) < 4 * 40_000 / 64
+
+
 def brute(rows: list[tuple]) -> Counter:
     first: dict[tuple, int] = {}
     cut = [(d, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in rows]

@@ -107,3 +107,43 @@ def test_nearest_vectors(spark):
     assert sorted((r["rank"], r["vec_id"]) for r in few) == [(1, 3), (2, 4)]
     assert rows_of(hashing_search.search(vectors(spark, bad))) in ([], rows_of(hashing_search.search(vectors(spark, bad))))
     assert rows_of(hashing_search.search(vectors(spark, []))) == []
+
+
+@pytest.mark.parametrize(("size", "least"), [(20, 0.85), (50, 0.9), (200, 0.9), (800, 0.9)])
+def test_bands_find_texts_at_the_bound(size, least):
+    """Every fifth word differs, at random places: the share of such pairs with an equal band."""
+    r, met = random.Random(size), 0
+    for _ in range(120):
+        words = [word(r) + word(r) for _ in range(size)]
+        other = list(words)
+        for at in r.sample(range(size), size // 5):
+            other[at] = f"x{r.randrange(10**9)}"
+        one, two = (near_duplicates.sketch(near_duplicates.word_ids(" ".join(w), {})) for w in (words, other))
+        met += bool((one == two).any())
+    assert met / 120 >= least
+
+
+def test_links_against_all_pairs(spark):
+    """Classes by all pairs, without any filter before the alignment."""
+    r, texts = random.Random(12), []
+    for _ in range(40):
+        words = [word(r) + word(r) for _ in range(r.choice([12, 40, 90]))]
+        texts += [edited(words, r, int(len(words) * share)) for share in (0, 0.03, 0.1, 0.16, 0.3)]
+    ids = [near_duplicates.word_ids(" ".join(t), {}) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    linked = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_duplicates.within(ids[i], ids[j]):
+                linked += 1
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    got = {x["doc_id"]: x["class_id"] for x in rows_of(near_duplicates.classes(frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])))}
+    together = [(i, j) for i in range(len(texts)) for j in range(i) if find(i) == find(j)]
+    assert all(find(i) == find(c) for i, c in got.items())
+    assert linked > 100 and sum(got[i] == got[j] for i, j in together) >= 0.95 * len(together)
