@@ -7,15 +7,19 @@
    the order of their words are far likelier to agree than texts that share words only.
    K-mers are short because the similarity is that of edits: where every fifth word differs,
    half of the k-mers of three words are still the same, but a third of those of five.
-3. In each band's bucket, and in finer parts of it by length and by the next bands, every
-   text is compared with one leader: at most as many pairs as members, however large the
-   bucket. Leaders differ between bands and parts, so a text that fails with one meets others.
-   This goes in ``ROUNDS_OF_BANDS``: the texts that the links so far have put into one class
-   are one member of a part, so only classes that are still apart are compared.
+3. In each band's bucket, members whose lengths and words allow the similarity are compared.
+   The words of a text are counted in ``BINS`` bins; what two texts share in each bin bounds
+   from above how many words they can share, so no similar pair is passed over. Buckets of
+   many members are compared block by block.
 4. A pair is a link if the edit similarity of the words (1 - distance / longer length) is at
    least ``SIMILARITY``, decided by an alignment within the band of diagonals that allows it.
-5. Classes are the connected components of the links, found by label propagation over stored
-   tables.
+5. This goes in ``PASSES``. The first are for what is easily found: of a class so far one
+   member stands in a bucket, each with the first that it may be similar to. The last one takes
+   every pair of a bucket whose classes differ, in the first bucket that the two share: a few
+   pairs of two classes, then all those of classes that are still apart. So two texts with an
+   equal band and the similarity are in one class, whatever else fills their bucket.
+6. Classes are the connected components of the links, found by label propagation over stored
+   tables; each pass joins the classes of the one before.
 
 Null and empty texts are in classes of their own, each row by itself; texts shorter than a
 shingle are compared as a whole, by equality. Rows with null ids get a null class. Of equal
@@ -36,10 +40,12 @@ from .common import stored
 SHINGLE = 3
 SIMILARITY = 0.8
 BANDS = 28
-ROUNDS_OF_BANDS = ((0, 1, False), (1, BANDS, True))  # first and last band, whether buckets are cut finer
+PASSES = ((1, False), (BANDS, False), (BANDS, True))  # bands, whether every pair of a bucket is compared
+FEW = 4  # pairs of two classes that are aligned before all others, about
+BINS = 1024  # of the words of a text
+BLOCK = 2048  # members of a bucket that are compared with as many others at once, about
 LARGE = 1000  # a class with more than this part of all texts is joined apart
 SKETCHED = 40_000  # k-mers whose hashes for all bands are made together
-LENGTH_STEP = 0.45  # of logarithms of lengths; similar ones differ by less than half of it
 WORD = re.compile(r"\w+")
 ROUNDS = 60
 
@@ -210,8 +216,17 @@ def _furthest(a, b, most: int) -> bool:
     return False
 
 
+def bag(ids) -> tuple[int, bytes]:
+    """How many words of a text fall in each bin: a scale, and a byte for each bin, rounded up."""
+    import numpy as np
+
+    counts = np.bincount(ids % BINS, minlength=BINS)
+    scale = int(counts.max()) // 255 + 1
+    return scale, (-(-counts // scale)).astype(np.uint8).tobytes()
+
+
 def _sketched(batches: Iterator) -> Iterator:
-    """(doc, text) to (doc, h, g, n, ids, bands)."""
+    """(doc, text) to (doc, h, g, n, ids, bands, scale, bag)."""
     import pyarrow as pa
     import xxhash
 
@@ -223,16 +238,17 @@ def _sketched(batches: Iterator) -> Iterator:
             raw = ids.tobytes()
             rows.append((
                 xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), len(ids),
-                raw, sketch(ids).astype("i8") if len(ids) else []))
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
+                raw, sketch(ids).astype("i8") if len(ids) else [], *bag(ids)))
+        columns = list(zip(*rows, strict=True)) or [[]] * 7
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-             pa.array(columns[3], pa.binary()), pa.array(columns[4], pa.list_(pa.int64()))],
-            names=["doc", "h", "g", "n", "ids", "bands"])
+             pa.array(columns[3], pa.binary()), pa.array(columns[4], pa.list_(pa.int64())), pa.array(columns[5], pa.int64()),
+             pa.array(columns[6], pa.binary())],
+            names=["doc", "h", "g", "n", "ids", "bands", "scale", "bag"])
 
 
 def _verified(batches: Iterator) -> Iterator:
-    """(a, b, a_ids, b_ids) to the pairs (a, b) that are links."""
+    """(one, other, a_ids, b_ids) to the classes (a, b) that a link joins."""
     import numpy as np
     import pyarrow as pa
 
@@ -243,69 +259,168 @@ def _verified(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def parts_of(texts: DataFrame, first: int, last: int, finer: bool) -> DataFrame:
-    """(doc, class, part) of texts that share a bucket of the bands from ``first`` to before ``last``.
+def bucketed(texts: DataFrame) -> DataFrame:
+    """(doc, at, bucket) of the texts that share a bucket of a band with another."""
+    exploded = texts.select("doc", F.posexplode("bands").alias("at", "key"))
+    keyed = stored(exploded.select("doc", F.col("at").cast("tinyint").alias("at"), F.xxhash64("at", "key").alias("bucket")), "bands")
+    crowded = keyed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    return stored(keyed.join(crowded.select("bucket"), "bucket", "left_semi"), "buckets")
+
+
+def cells(buckets: DataFrame, texts: DataFrame, every: bool) -> DataFrame:
+    """Members of the buckets that hold several classes, in cells whose members are compared.
+
+    Unless ``every`` member is wanted, one stands for its class in a bucket. A bucket of more
+    than ``BLOCK`` members is dealt over blocks; it has a cell for each two of them, in which
+    only those of different blocks (``side``) are compared.
+    """
+    if not every:
+        buckets = buckets.groupBy("bucket", "class").agg(F.min("doc").alias("doc"), F.min("at").alias("at"))
+    several = buckets.groupBy("bucket").agg(F.min("class").alias("one"), F.max("class").alias("other"), F.count("*").alias("members"))
+    blocks = several.where("one < other").select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = buckets.join(blocks, "bucket").withColumn("side", F.pmod(F.xxhash64("doc", "bucket"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("side", "met"), F.greatest("side", "met")
+    placed = met.select("doc", "class", "at", "side", (low < high).alias("across"), F.xxhash64("bucket", low, high).alias("cell"))
+    more = F.col("bands") if every else F.array().cast("array<bigint>")
+    return placed.join(texts.select("doc", "n", "scale", "bag", more.alias("bands")), "doc").select(
+        "cell", "class", "doc", "at", "side", "across", "n", "scale", "bag", "bands")
+
+
+def alike(rows, every: bool):
+    """Pairs of members of a cell, of different classes, whose lengths and bags let them be similar.
+
+    Rows come in order of cells. With ``every``, all such pairs, once each; else each member's first.
+    """
+    import numpy as np
 
-    A bucket is cut by length, twice with shifted bounds so that lengths which can be similar
-    meet, and further by the next bands: a passage that many texts share fills a bucket with
-    texts that are not similar, and the finer parts bring those together that are. Of texts
-    of one class one stands in a part.
+    cell, group, doc, band, side, across, n, scale = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(8))
+    kind = np.uint16 if scale.max() <= 257 else np.uint32
+    bags = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(-1, BINS).astype(kind) * scale.astype(kind)[:, None]
+    bands = np.array(rows.column(9).to_pylist(), np.int64) if every else None
+    earlier = np.arange(BANDS) < band[:, None]
+    waiting, start, found = np.arange(len(cell)), np.searchsorted(cell, cell), []
+    for at in range(len(cell)):
+        waiting = waiting[start[waiting] + at < waiting]
+        if not len(waiting):
+            break
+        first = start[waiting] + at
+        longer = np.maximum(n[first], n[waiting])
+        most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+        fit = (group[first] != group[waiting]) & (longer - np.minimum(n[first], n[waiting]) <= most)
+        fit = np.flatnonzero(fit & (~across[waiting] | (side[first] != side[waiting])))
+        shared = np.minimum(bags[first[fit]], bags[waiting[fit]]).sum(axis=1, dtype=np.int64)
+        near = longer[fit] - shared <= most[fit]
+        if every:  # a pair is taken in the first band that both share
+            near &= ~((bands[first[fit]] == bands[waiting[fit]]) & earlier[waiting[fit]]).any(axis=1)
+        fit, shared = fit[near], shared[near]
+        found.append((first[fit], waiting[fit], shared * 1000 // longer[fit]))
+        if not every:
+            waiting = np.delete(waiting, fit)
+    one, two, share = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    swapped = group[one] > group[two]
+    one, two = np.where(swapped, two, one), np.where(swapped, one, two)
+    return group[one], group[two], doc[one], doc[two], share
+
+
+def _paired(every: bool):
+    """Members in order of cells to (a, b, one, other, share): classes, and their members to compare."""
+
+    def pair(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def pairs(rows):
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in alike(rows, every)], names=["a", "b", "one", "other", "share"])
+
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch]).combine_chunks()
+            whole = rows.column(0).to_numpy().searchsorted(rows.column(0)[-1].as_py()) if len(rows) else 0
+            if whole:  # the last cell may go on in the next batch
+                yield pairs(rows.slice(0, whole))
+            rest = rows.slice(whole)
+        if rest is not None and len(rest):
+            yield pairs(rest)
+
+    return pair
+
+
+def candidates(members: DataFrame, every: bool) -> DataFrame:
+    """(a, b, one, other, share): members ``one`` and ``other`` of the classes ``a`` and ``b`` to compare.
+
+    Unless ``every`` pair is wanted, two classes have one.
     """
-    chosen = F.slice("bands", first + 1, last - first)
-    keyed = stored(texts.select("doc", "class", F.posexplode(chosen).alias("at", "key")), "bands")
-    crowded = keyed.groupBy("at", "key").agg(F.min("class").alias("one"), F.max("class").alias("other")).where("one < other")
-    shared = keyed.join(crowded.select("at", "key"), ["at", "key"], "left_semi")
-    lengths = F.log(F.col("n").cast("double")) / F.lit(LENGTH_STEP)
-    narrow, shifted, band = F.floor(lengths), F.floor(lengths + 0.5), F.col("at") + first
-    after = F.get("bands", (band + 1) % F.size("bands"))
-    parts = [F.xxhash64(F.lit(1), band, "key", narrow), F.xxhash64(F.lit(2), band, "key", shifted)]
-    if finer:
-        parts += [F.xxhash64(F.lit(3), band, "key", after, narrow), F.xxhash64(F.lit(4), band, "key", after, shifted)]
-    members = shared.select("doc", "class", "at", "key").join(texts.select("doc", "n", "bands"), "doc").select("doc", "class", F.explode(F.array(*parts)).alias("part"))
-    return stored(members.groupBy("part", "class").agg(F.min("doc").alias("doc")), "parts")
-
-
-def candidates(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the members of parts with the leader of their part."""
-    leaders = members.groupBy("part").agg(F.min(F.struct(F.xxhash64("doc", "part").alias("x"), "doc")).alias("first"), F.count("*").alias("members"))
-    pairs = members.join(leaders.where("members > 1").select("part", F.col("first.doc").alias("leader")), "part").where("doc != leader")
-    return pairs.select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
+    ordered = members.repartition("cell").sortWithinPartitions("cell", "class", "doc")
+    pairs = ordered.mapInArrow(_paired(every), "a bigint, b bigint, one bigint, other bigint, share bigint")
+    return pairs if every else best(pairs, 1)
+
+
+def best(pairs: DataFrame, most: int) -> DataFrame:
+    """At most so many pairs of two classes, of those that may share most words."""
+    drawn = F.pmod(F.xxhash64("one", "other"), F.lit(most)).alias("drawn")
+    return pairs.groupBy("a", "b", drawn).agg(F.max(F.struct("share", "one", "other")).alias("pair")).select("a", "b", "pair.one", "pair.other", "pair.share")
+
+
+def aligned(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(node, root) of the classes that the links among the pairs join."""
+    both = pairs.join(ids.select(F.col("doc").alias("one"), F.col("ids").alias("a_ids")), "one").join(
+        ids.select(F.col("doc").alias("other"), F.col("ids").alias("b_ids")), "other").select("a", "b", "a_ids", "b_ids")
+    return components(stored(both.mapInArrow(_verified, "a bigint, b bigint"), "links"))
+
+
+def followed(roots: DataFrame | None, joined: DataFrame) -> DataFrame:
+    """(node, root) of all that are in another's class, after classes have been joined."""
+    moved = joined.where("node != root")
+    if roots is not None:
+        before = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+        moved = moved.unionByName(before.select("node", F.coalesce("next", "root").alias("root")))
+    return stored(moved, "classes")
 
 
 def links(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with the text that stands for each, pairs of texts that are similar)."""
+    """(rows with the text that stands for each, (node, root) of the texts that are in another's class)."""
     source = df.where(df[doc_id].isNotNull()).select(df[doc_id].cast("long").alias("doc"), df[text].cast("string").alias("text"))
-    sketched = stored(source.mapInArrow(_sketched, "doc bigint, h bigint, g bigint, n bigint, ids binary, bands array<bigint>"), "sketches", "zstd")
+    sketched = stored(
+        source.mapInArrow(_sketched, "doc bigint, h bigint, g bigint, n bigint, ids binary, bands array<bigint>, scale bigint, bag binary"),
+        "sketches", "zstd")
     full = sketched.where("n > 0")
     groups = stored(full.groupBy("h", "g").agg(F.min("doc").alias("stands")), "texts")
     standing = full.join(groups, (full["h"] == groups["h"]) & (full["g"] == groups["g"]) & (full["doc"] == groups["stands"]), "left_semi")
-    texts = stored(standing.dropDuplicates(["doc", "h", "g"]).select(F.xxhash64("h", "g").alias("doc"), "n", "ids", "bands"), "standing", "zstd")
-    ids, found, classed = texts.select("doc", "ids"), None, texts.select("doc", "n", "bands", F.col("doc").alias("class"))
-    for first, last, finer in ROUNDS_OF_BANDS:
-        pairs = candidates(parts_of(classed, first, last, finer))
-        both = pairs.join(ids.select(F.col("doc").alias("a"), F.col("ids").alias("a_ids")), "a").join(
-            ids.select(F.col("doc").alias("b"), F.col("ids").alias("b_ids")), "b").select("a", "b", "a_ids", "b_ids")
-        verified = stored(both.mapInArrow(_verified, "a bigint, b bigint"), "links")
-        found = verified if found is None else found.unionByName(verified)
-        if last < BANDS:
-            classed = texts.join(components(found, 2).withColumnRenamed("node", "doc"), "doc", "left").select(
-                "doc", "n", "bands", F.coalesce("root", "doc").alias("class"))
+    texts = stored(standing.dropDuplicates(["doc", "h", "g"]).select(F.xxhash64("h", "g").alias("doc"), "n", "ids", "bands", "scale", "bag"), "standing", "zstd")
+    buckets, ids, roots, tried = bucketed(texts), texts.select("doc", "ids"), None, None
+    for bands, every in PASSES:
+        classed = buckets.where(F.col("at") < bands).withColumn("class", F.col("doc"))
+        if roots is not None:
+            classed = classed.drop("class").join(roots.withColumnRenamed("node", "doc"), "doc", "left").select(
+                "doc", "at", "bucket", F.coalesce("root", "doc").alias("class"))
+        pairs = candidates(cells(classed, texts, every), every)
+        if tried is not None:
+            pairs = pairs.join(tried, (F.least("one", "other") == tried["x"]) & (F.greatest("one", "other") == tried["y"]), "left_anti")
+        pairs = stored(pairs, "pairs")
+        some = stored(best(pairs, FEW), "few") if every else pairs
+        joined = aligned(some, ids)
+        roots = followed(roots, joined)
+        if every:
+            rest = pairs.join(some.select("one", "other"), ["one", "other"], "left_anti")
+            for side in ("a", "b"):
+                now = joined.select(F.col("node").alias(side), F.col("root").alias("now"))
+                rest = rest.join(now, side, "left").withColumn(side, F.coalesce("now", side)).drop("now")
+            roots = followed(roots, aligned(stored(rest.where("a != b"), "rest"), ids))
+        tested = pairs.select(F.least("one", "other").alias("x"), F.greatest("one", "other").alias("y"))
+        tried = tested if tried is None else tried.unionByName(tested)
     members = sketched.select("doc", F.when(F.col("n") > 0, F.xxhash64("h", "g")).alias("words"))
-    return members, found
+    return members, roots
 
 
-def components(pairs: DataFrame, most: int | None = None) -> DataFrame:
+def components(pairs: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component, of nodes that have a pair.
 
-    With ``most`` rounds at most: nodes with one root are connected, but a component may still
-    have several.
-
     Each round links every node with the smallest node near it and then with the smallest of
     that one's, over stored tables, until nothing changes; chains shrink by halving.
     """
     edges = stored(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "edges")
     state = stored(edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")), "roots")
-    for _ in range(most or ROUNDS):
+    for _ in range(ROUNDS):
         near = edges.join(state.select(F.col("node").alias("b"), F.col("root").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
         hooked = state.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("root").alias("before"), F.least("root", "near").alias("root"))
         # a root that its members see a smaller root from follows them
@@ -316,15 +431,13 @@ def components(pairs: DataFrame, most: int | None = None) -> DataFrame:
         if state.where("root != before").isEmpty():
             break
     else:
-        if most is None:
-            raise RuntimeError("components did not settle")
+        raise RuntimeError("components did not settle")
     return state.select("node", "root")
 
 
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``class_id`` (the smallest id of its class) and ``class_size`` of each row."""
-    members, found = links(df, doc_id, text)
-    roots = components(found)
+    members, roots = links(df, doc_id, text)
     rooted = members.join(roots.withColumnRenamed("node", "words"), "words", "left").select(
         "doc", F.coalesce("root", "words").alias("root"))
     # rows of one id are one document, whatever its texts are; without words each is by itself

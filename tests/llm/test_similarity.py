@@ -147,3 +147,36 @@ def test_links_against_all_pairs(spark):
     together = [(i, j) for i in range(len(texts)) for j in range(i) if find(i) == find(j)]
     assert all(find(i) == find(c) for i, c in got.items())
     assert linked > 100 and sum(got[i] == got[j] for i, j in together) >= 0.95 * len(together)
+
+
+def test_similar_texts_meet_in_buckets_that_others_fill(spark, monkeypatch):
+    """Pairs at the bound under a passage that all texts hold: each two with an equal band end in one class."""
+    r, texts = random.Random(31), []
+    passage = [word(r) + word(r) for _ in range(150)]
+    for _ in range(80):
+        own = [word(r) + word(r) for _ in range(50)]
+        other = list(own)
+        for at in r.sample(range(50), 38):  # 38 of 200 words differ
+            other[at] = f"x{r.randrange(10**9)}"
+        texts += [passage + own, passage + other]
+    ids = [near_duplicates.word_ids(" ".join(t), {}) for t in texts]
+    sketches = [near_duplicates.sketch(x) for x in ids]
+    pairs = [(i, i + 1) for i in range(0, len(texts), 2) if (sketches[i] == sketches[i + 1]).any()]
+    assert len(pairs) > 70 and all(near_duplicates.within(ids[i], ids[j]) for i, j in pairs)
+    df = frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    for block in (near_duplicates.BLOCK, 16):
+        monkeypatch.setattr(near_duplicates, "BLOCK", block)
+        got = {x["doc_id"]: x["class_id"] for x in rows_of(near_duplicates.classes(df))}
+        assert all(got[i] == got[j] for i, j in pairs)
+        assert all(near_duplicates.within(ids[i], ids[c]) for i, c in got.items())
+
+
+def test_bags_bound_what_texts_share():
+    r = random.Random(8)
+    for size in (1, 30, 400, 70_000):
+        a = np.array([r.randrange(size // 3 + 1) for _ in range(size)], np.uint32)
+        b = np.concatenate((a[: size // 2], np.full(size // 3, 7, np.uint32)))
+        (one, x), (two, y) = near_duplicates.bag(a), near_duplicates.bag(b)
+        bound = np.minimum(*(np.frombuffer(v, np.uint8).astype(int) * s for s, v in ((one, x), (two, y)))).sum()
+        shared = np.minimum(*(np.bincount(v, minlength=size + 8) for v in (a, b))).sum()
+        assert bound >= shared
