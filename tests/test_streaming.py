@@ -330,3 +330,19 @@ def test_recover_empties_on_request(spark):
     assert queue.last_load_time(state.queue(), state.history()).first()[0] is None and state.latest_event() is None
     never_made = RefreshState(spark, fresh_folder(spark, "state"))
     assert queue.queue_length(never_made.queue()).first()[0] == 0
+
+
+def test_deliveries_are_written_by_many_tasks(spark, small, tmp_path, monkeypatch):
+    from checks import states
+
+    spark.read.parquet(f"{small}/events.parquet").repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    folder = str(tmp_path / "deliveries")
+    monkeypatch.setattr(states, "fresh_folder", lambda *_: folder)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = sorted(map(tuple, states.stream_distinct(spark, str(tmp_path)).collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    monkeypatch.undo()
+    assert got == sorted(map(tuple, states.stream_distinct(spark, small).collect()))
+    assert len(list((tmp_path / "deliveries" / "events").glob("*.parquet"))) > 3 * states.DELIVERIES
