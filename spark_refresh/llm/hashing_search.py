@@ -3,17 +3,22 @@
 1. Vectors get a further component that makes all of one norm, so the largest inner product
    is the smallest angle. A rotation, several times over, is learned on a bounded sample
    (alternating between the signs and the best rotation to them) and gives each vector
-   ``BITS`` bits. Every vector is coded.
+   ``BITS`` bits. Every vector is coded. A query's further component is 0: it has no part in
+   the inner product.
 2. A code is cut into substrings of 16 bits, and each is indexed: rows in order of its value,
-   by block of rows. If two codes differ in at most r bits, one of the m substrings differs
-   in at most r // m: probing those values of every substring finds all codes within r.
-3. The radius is calibrated on the sample: the distance within which it has almost all of the
-   nearest of its own queries, with a margin. What is within it is ranked by the exact inner
-   product in double precision, ties to the smaller id. A query that finds fewer than asked
-   within the radius compares all rows of the block, so the result is never short.
+   by block of rows. A query probes the values nearest to its own in every substring, those
+   first that differ in the bits where it lies nearest to the boundary.
+3. How many values are probed, and the distance between codes within which a row counts, are
+   calibrated on the sample, so that each finds almost all of the nearest of its own queries
+   (as many of them as the sample's share of all rows leaves of the ``k`` nearest, so less is
+   probed as rows grow). What is within is ranked by the exact inner product in double
+   precision, ties to the smaller id. A query that finds fewer than asked in all blocks
+   compares all rows, so the result is never short.
 
 Equal vectors are one entry with its smallest ids: no more of them can be among the nearest.
 Queries are compared in blocks with blocks of entries, and the best of each block are merged.
+Blocks of entries grow with the rows up to ``BLOCK``, so until there are ``BLOCKS`` such blocks a
+query probes no more often however many rows there are; only the rows it finds grow.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite numbers
 take no part, nor do rows with null ids. Repeated ids are one row, that with the smallest
@@ -22,9 +27,6 @@ vector. With no vectors the result is empty.
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,9 +35,13 @@ from .common import stored
 BITS = 256
 SUBSTRING = 16
 SAMPLE = 8192  # vectors to learn from, at most
-QUERIES = 256  # of the sample, to calibrate the radius
-RECALL = 0.97  # of the sample's nearest within the radius
-BLOCK = 4096  # entries in a block, about
+QUERIES = 1024  # of the sample, to calibrate the radius and the probes
+RECALL = 0.97  # of the sample's nearest within the radius, and as many within the probes
+BLOCK = 65536  # entries in a block, at most about, and
+BLOCK_BYTES = 32 << 20  # bytes of their vectors
+QUESTIONS = 8192  # in a block, at most about
+BLOCKS = 4  # blocks of either that are made at least, of
+LEAST = 1024  # at least
 TOP = 20
 
 
@@ -78,6 +84,32 @@ def codes(vectors, model):
     return out
 
 
+def projected(asked, model):
+    """Queries on the axes of the bits: the sign is the bit, the size how far it is from turning."""
+    import numpy as np
+
+    _, _, projection = model
+    return np.concatenate((asked, np.zeros((len(asked), 1))), axis=1) @ projection
+
+
+def probes():
+    """All differences of a substring, nearest first: which of its bits differ, by the rank of
+    their distances from the boundary (as far as these are for normal numbers on average)."""
+    import numpy as np
+
+    far = np.sort(np.abs(np.random.default_rng(5).standard_normal((4096, SUBSTRING))), axis=1).mean(axis=0)
+    bits = (np.arange(1 << SUBSTRING)[:, None] >> np.arange(SUBSTRING) & 1).astype(np.float32)
+    return bits[np.argsort(bits @ far, kind="stable")]
+
+
+def ranked(at):
+    """For each substring of projected queries, its bits' values in the code, nearest to the boundary first."""
+    import numpy as np
+
+    place = np.packbits(np.eye(SUBSTRING, dtype=bool), axis=1).view("<u2").ravel()
+    return place[np.argsort(np.abs(at).reshape(len(at), -1, SUBSTRING), axis=2)]
+
+
 def distances(a, b):
     """Differing bits between one code and many."""
     import numpy as np
@@ -85,57 +117,74 @@ def distances(a, b):
     return np.bitwise_count(a.view("<u8") ^ b.view("<u8")).sum(axis=1, dtype=np.int64)
 
 
-def calibrated(vectors, model, k: int = TOP) -> int:
-    """The radius within which the sample has RECALL of the nearest of its queries."""
+def calibrated(vectors, model, k: int = TOP) -> tuple[int, int]:
+    """The radius within which the sample has RECALL of the nearest of its queries, and the probes that find as many."""
     import numpy as np
 
     code = codes(vectors, model)
-    found = []
     step = max(1, len(vectors) // QUERIES)
-    for q in range(0, len(vectors), step):
+    at = projected(vectors[::step], model)
+    own, places = np.packbits(at > 0, axis=1).view("<u2"), ranked(at)
+    steps = probes() @ (1 << np.arange(SUBSTRING)).astype(np.float32)
+    nth = np.empty(1 << SUBSTRING, np.int64)
+    nth[steps.astype(np.int64)] = np.arange(1 << SUBSTRING)
+    found, first = [], []
+    for i, q in enumerate(range(0, len(vectors), step)):
         score = vectors @ vectors[q]
         score[q] = -np.inf
-        near = np.argsort(-score)[:k]
-        found.append(distances(code[q], code[near]))
-    return int(np.quantile(np.concatenate(found), RECALL)) + 1 if found else BITS
+        near = np.argsort(-score)[: min(k, len(score) - 1)]
+        found.append(distances(own[i], code[near]))
+        differs = (code[near] ^ own[i])[:, :, None] & places[i] != 0
+        first.append(nth[differs @ (1 << np.arange(SUBSTRING))].min(axis=1))
+    if not any(map(len, found)):
+        return BITS, 1 << SUBSTRING
+    return int(np.quantile(np.concatenate(found), RECALL)) + 1, int(np.quantile(np.concatenate(first), RECALL)) + 1
 
 
 class Index:
-    """A block's substrings, each in order of value."""
+    """A block's substrings, each with the rows of each value."""
 
     def __init__(self, code) -> None:
         import numpy as np
 
-        self.code = code
-        self.order, self.values, self.starts = [], [], []
-        for s in range(code.shape[1]):
-            order = np.argsort(code[:, s], kind="stable")
-            values, starts = np.unique(code[order, s], return_index=True)
-            self.order.append(order)
-            self.values.append(values)
-            self.starts.append(np.append(starts, len(order)))
-
-    def within(self, query, radius: int):
-        """Places of all codes within the radius of a query's."""
+        self.words = np.ascontiguousarray(code.view("<u8").T)
+        self.order = np.argsort(code, axis=0, kind="stable").T.ravel().astype(np.int32)
+        rows = np.concatenate([np.bincount(code[:, s], minlength=1 << SUBSTRING) for s in range(code.shape[1])])
+        self.starts = np.concatenate(([0], np.cumsum(rows))).astype(np.int32)
+        self.filled = rows > 0
+        self.hit = np.zeros(len(code), bool)
+
+    def within(self, query, values, radius: int):
+        """Places of the codes that share a probed value with a query's and are within the
+        radius. ``values``: the values to probe, each as its place in the tables one after the other."""
         import numpy as np
 
-        near = radius // len(self.order)
-        hit = np.zeros(len(self.code), bool)
-        for s, order in enumerate(self.order):
-            probed = np.bitwise_count(self.values[s] ^ query[s]) <= near
-            # mark the rows of the probed values: their runs in the substring's order
-            edges = np.zeros(len(order) + 1, np.int32)
-            edges[self.starts[s][:-1][probed]] += 1
-            edges[self.starts[s][1:][probed]] -= 1
-            hit[order[np.cumsum(edges[:-1]) > 0]] = True
-        places = np.flatnonzero(hit)
-        return places[distances(query, self.code[places]) <= radius]
+        values = values[np.flatnonzero(self.filled.take(values))]
+        start = self.starts.take(values)
+        n = self.starts.take(values + 1) - start
+        before = np.cumsum(n) - n
+        # the runs of the probed values, one after the other
+        runs = np.arange(n.sum()) + np.repeat(start - before, n)
+        self.hit[self.order.take(runs)] = True
+        places = np.flatnonzero(self.hit)
+        self.hit[places] = False
+        apart = np.bitwise_count(self.words.take(places, axis=1) ^ query.view("<u8")[:, None]).sum(axis=0, dtype=np.int16)
+        return places[apart <= radius]
+
+
+def probe_values(own, at, bits):
+    """The values that projected queries probe, as ``Index.within`` takes them, of codes ``own``;
+    a column of ``bits`` is a probe."""
+    import numpy as np
 
+    n, m = own.shape
+    steps = (ranked(at).reshape(-1, SUBSTRING).astype(np.float32) @ bits).astype(np.int32).reshape(n, m, -1)
+    tables = np.arange(m, dtype=np.int32)[:, None] << SUBSTRING
+    return ((steps ^ own[:, :, None].astype(np.int32)) + tables).reshape(n, -1)
 
-def _floats(column, dim: int):
-    import numpy as np
 
-    return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, dim)
+def _floats(column, dim: int):
+    return column.combine_chunks().flatten().to_numpy().reshape(-1, dim)
 
 
 def search(
@@ -161,66 +210,64 @@ def search(
 
     asked = stored(rows.where(F.col("id") % every == 0), "asked")
     distinct = stored(asked.groupBy("v").agg(F.min("id").alias("question")), "questions")
-    n = grouped.count()
-    longest = float(grouped.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()[0])
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    n, ids, longest = grouped.agg(F.count("*"), F.sum(F.size("ids")), F.max(norm)).first()
     sample = sampled(grouped, n)
     model = (longest, *learn(sample, longest))
-    radius = calibrated(sample, model, k)
-    blocks = max(1, -(-n // BLOCK))
-    question_blocks = max(1, -(-distinct.count() // BLOCK))
-    shipped = spark.sparkContext.broadcast((model, radius, dim, k))
-
-    def packed(df: DataFrame, name: str) -> DataFrame:
-        import pyarrow as pa
-
-        def pack(batches: Iterator) -> Iterator:
+    radius, probed = calibrated(sample, model, max(1, round(k * min(1, len(sample) / n))))
+    block = max(1, min(BLOCK, BLOCK_BYTES // (8 * dim)))
+    blocks = max(-(-n // block), min(BLOCKS, -(-n // LEAST)))
+    asking = distinct.count()
+    shipped = spark.sparkContext.broadcast((model, radius, probed, dim, k))
+
+    def compare(everything: bool):
+        def best(entries, questions):
             import numpy as np
-
-            for batch in batches:
-                data = [struct.pack(f"<{dim}d", *v) for v in batch.column(1).to_pylist()]
-                code = codes(np.frombuffer(b"".join(data), "<f8").reshape(-1, dim), shipped.value[0]) if data else []
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(data, pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()), *batch.columns[2:]],
-                    names=[name, "data", "code", *batch.schema.names[2:]])
-
-        more = ", ids array<bigint>" if "ids" in df.columns else ""
-        return df.mapInArrow(pack, f"{name} bigint, data binary, code binary{more}")
-
-    left = packed(grouped.select("entry", "v", "ids"), "entry").withColumn("block", F.pmod(F.xxhash64("entry"), F.lit(blocks)))
-    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(question_blocks - 1))))
-    right = packed(distinct.select("question", "v"), "question").withColumn("part", F.pmod(F.xxhash64("question"), F.lit(question_blocks)).cast("int"))
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-
-    def compare(entries, questions):
-        import numpy as np
-        import pyarrow as pa
-
-        _, radius, dim, k = shipped.value
-        schema = pa.schema([("question", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-        if not entries.num_rows or not questions.num_rows:
-            return schema.empty_table()
-        vectors, asked = _floats(entries.column("data"), dim), _floats(questions.column("data"), dim)
-        code = np.frombuffer(b"".join(entries.column("code").to_pylist()), "<u2").reshape(len(vectors), -1)
-        probe = np.frombuffer(b"".join(questions.column("code").to_pylist()), "<u2").reshape(len(asked), -1)
-        ids = entries.column("ids").to_pylist()
-        index, out = Index(code), []
-        for q, question in enumerate(questions.column("question").to_pylist()):
-            places = index.within(probe[q], radius)
-            if len(places) <= k:
-                places = np.arange(len(vectors))
-            score = (vectors[places] * asked[q]).sum(axis=1)
-            if len(places) > k + 1:
-                least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-                kept = score >= least
-                places, score = places[kept], score[kept]
-            found = [(-s, i) for p, s in zip(places.tolist(), score.tolist(), strict=True) for i in ids[p]]
-            out.extend((question, i, -s) for s, i in sorted(found)[: k + 1])
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
-
-    met = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(compare, "question bigint, vec_id bigint, score double")
-    order = Window.partitionBy("question").orderBy(F.desc("score"), "vec_id")
-    best = stored(met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1), "best")
+            import pyarrow as pa
+
+            model, radius, probed, dim, k = shipped.value
+            schema = pa.schema([("question", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+            if not entries.num_rows or not questions.num_rows:
+                return schema.empty_table()
+            vectors, asked = _floats(entries.column("v"), dim), _floats(questions.column("v"), dim)
+            ids = entries.column("ids").to_pylist()
+            index, bits, out = Index(codes(vectors, model)), np.ascontiguousarray(probes()[:probed].T), []
+            for q, question in enumerate(questions.column("question").to_pylist()):
+                if everything:
+                    places = np.arange(len(vectors))
+                else:
+                    if q % 16 == 0:
+                        at = projected(asked[q : q + 16], model)
+                        own = np.packbits(at > 0, axis=1).view("<u2")
+                        values = probe_values(own, at, bits)
+                    places = index.within(own[q % 16], values[q % 16], radius)
+                score = (vectors[places] * asked[q]).sum(axis=1)
+                if len(places) > k + 1:
+                    least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+                    kept = score >= least
+                    places, score = places[kept], score[kept]
+                found = [(-s, i) for p, s in zip(places.tolist(), score.tolist(), strict=True) for i in ids[p]]
+                out.extend((question, i, -s) for s, i in sorted(found)[: k + 1])
+            columns = list(zip(*out, strict=True)) or [[], [], []]
+            return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+
+        return best
+
+    def met(questions: DataFrame, n: int, everything: bool) -> DataFrame:
+        """The best ``k + 1`` of each of ``n`` questions, of the rows found for it or of all rows."""
+        parts = max(1, -(-n // QUESTIONS), min(BLOCKS, -(-n // LEAST)))
+        left = grouped.select("v", "ids", F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        right = questions.select("question", "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("question"), F.lit(parts)).cast("int").alias("part"))
+        found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(compare(everything), "question bigint, vec_id bigint, score double")
+        order = Window.partitionBy("question").orderBy(F.desc("score"), "vec_id")
+        return stored(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1), "best")
+
+    best = met(distinct, asking, False)
+    enough = best.groupBy("question").agg(F.count("*").alias("n")).where(F.col("n") >= min(k + 1, ids)).select("question")
+    short = stored(distinct.join(enough, "question", "left_anti"), "short")
+    rest = short.count()
+    if rest:
+        best = best.join(short.select("question"), "question", "left_anti").unionByName(met(short, rest, True))
     return answers(asked, distinct, best, k)
 
 

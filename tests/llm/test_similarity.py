@@ -109,6 +109,43 @@ def test_nearest_vectors(spark):
     assert rows_of(hashing_search.search(vectors(spark, []))) == []
 
 
+def test_probes_leave_most_unstructured_vectors_out():
+    random_ = np.random.default_rng(9)
+    x = random_.standard_normal((20_000, 64))
+    longest = float(np.sqrt((x * x).sum(axis=1)).max())
+    model = (longest, *hashing_search.learn(x[:8000], longest))
+    radius, probed = hashing_search.calibrated(x[:8000], model, 8)
+    index, bits = hashing_search.Index(hashing_search.codes(x, model)), np.ascontiguousarray(hashing_search.probes()[:probed].T)
+    at = hashing_search.projected(x[:200], model)
+    own = np.packbits(at > 0, axis=1).view("<u2")
+    values = hashing_search.probe_values(own, at, bits)
+    looked = hit = 0
+    for q in range(200):
+        looked += len(index.within(own[q], values[q], hashing_search.BITS))
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len(set(index.within(own[q], values[q], radius).tolist()) & set(np.argsort(-score)[:20].tolist()))
+    assert looked / 200 < 0.5 * len(x)
+    assert hit / 200 >= 0.9 * 20
+
+
+def test_a_query_that_finds_too_few_compares_all(spark, monkeypatch):
+    monkeypatch.setattr(hashing_search, "BLOCK", 256)
+    monkeypatch.setattr(hashing_search, "QUESTIONS", 24)
+    monkeypatch.setattr(hashing_search, "calibrated", lambda *_: (0, 1))  # only equal codes are found
+    random_ = np.random.default_rng(3)
+    x = random_.standard_normal((1200, 16)).astype(np.float32).astype(float)
+    x[100:140] = x[40] * random_.uniform(1, 1.5, (40, 1)).astype(np.float32)  # these find enough
+    got: dict[int, list] = {}
+    for r in sorted(rows_of(hashing_search.search(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]))), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    x = x.astype(np.float32).astype(float)
+    assert set(got) == set(range(0, 1200, 20)) and all(len(found) == 20 for found in got.values())
+    for q in (0, 500, 1180):
+        score = x @ x[q]
+        assert got[q] == [i for i in np.argsort(-score, kind="stable").tolist() if i != q][:20]
+
+
 @pytest.mark.parametrize(("size", "least"), [(20, 0.85), (50, 0.9), (200, 0.9), (800, 0.9)])
 def test_bands_find_texts_at_the_bound(size, least):
     """Every fifth word differs, at random places: the share of such pairs with an equal band."""
