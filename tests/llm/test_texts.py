@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import regex
 from cases import awkward, frame, prose, rows_of
+from pyspark.sql import functions as F
 
 from spark_refresh.llm import decontamination, extraction, surrogates, toxicity
 
@@ -346,3 +347,13 @@ def test_every_sequence_takes_part_in_the_score(spark, most):
     got = {x["doc_id"]: x["score"] for x in rows_of(toxicity.score(df, table, most=most))}
     assert set(got) == set(want)
     assert max(abs(got[d] - want[d]) for d in want) < 1e-6
+
+
+def test_windows_are_hashed_without_copies(spark):
+    rows = [(i, list(range(n))) for i, n in enumerate((0, 1, 4, 5, 6, 40))]
+    df = spark.createDataFrame(rows, "id int, parts array<long>").repartition(1)
+    windows = F.expr("transform(sequence(1, size(parts) - 4), i -> xxhash64(slice(parts, i, 5)))")
+    got = df.select("parts", decontamination.window_hashes(F.col("parts"), 5).alias("hashes"))
+    assert "xxhash64(slice(" not in got._jdf.queryExecution().analyzed().toString()  # a slice copies all of the array
+    for r in got.withColumn("wanted", F.when(F.size("parts") > 4, windows).otherwise(F.array().cast("array<bigint>"))).collect():
+        assert r["hashes"] == r["wanted"]
